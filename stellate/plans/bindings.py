@@ -12,25 +12,13 @@ suffixes, a leading quote, a hyphen without spaces, or a shifted postcode.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.operators.reconcile import reconcile
 from stellate.plans.tables import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(key: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[key] = fn
-        if sql is not None:
-            ORACLE[key] = sql.strip()
-        return fn
-    return deco
+from stellate.plans.registry import ORACLE, QUERIES, register  # noqa: F401
 
 
 # --------------------------------------------------------------------------
@@ -108,3 +96,7 @@ def q_reconcile(spark, d):
     return reconcile(profile_source(spark, d), detail_source(spark, d),
                      keys=("school_name", "postcode"), name_col="school_name",
                      id_col="profile_id", order_by=("school_id",))
+
+
+# the other bindings register themselves on import
+from stellate.plans import bind_ops  # noqa: E402,F401
