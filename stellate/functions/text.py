@@ -57,6 +57,16 @@ def safe_int(value) -> Column:
     return _c(value).try_cast("int")
 
 
+def truncating_int(value) -> Column:
+    """String -> int the way a non-ANSI cast reads it: ``'12.7'`` -> 12.
+
+    Integer or decimal literals (surrounding spaces allowed) keep their
+    integer part; everything else, and values beyond 32 bits, become null.
+    """
+    whole = F.regexp_extract(F.trim(_c(value).cast("string")), r"^([+-]?[0-9]+)(\.[0-9]*)?$", 1)
+    return whole.try_cast("int")
+
+
 def postcode_prefix(region, width: int = 4) -> Column:
     """Leading ``width`` characters as an int: ``'2000, NSW'`` -> 2000, ``'0800'`` -> 800."""
     return F.substring(_c(region), 1, width).try_cast("int")
