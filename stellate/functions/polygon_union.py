@@ -1,0 +1,229 @@
+"""Union of a handful of polygons, with numpy (runs inside one Spark task).
+
+Used by the grouped-map dissolve; a group holds a bounded number of
+polygons (see ``operators.geometry.dissolve``).
+
+Method: every ring edge is split at every point where it meets another
+edge (crossings and collinear overlaps); a piece is kept when the region
+on exactly one of its sides is covered by some input polygon, oriented with
+the covered side on its left; pieces are chained into rings; rings with
+positive signed area are shells, negative ones holes, and every hole goes
+to the smallest shell that contains it.
+
+Geometry is ``[polygon][ring][point] -> (x, y)`` nested lists.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+SNAP = 9          # decimals kept on every vertex
+CHUNK = 512
+
+
+def _rings(polys):
+    """Yield (polygon index, closed ring array) for every non-degenerate ring."""
+    for pi, poly in enumerate(polys):
+        for ring in poly or []:
+            a = np.round(np.asarray([p[:2] for p in ring], dtype=float), SNAP)
+            if len(a) < 3:
+                continue
+            if not np.array_equal(a[0], a[-1]):
+                a = np.vstack([a, a[:1]])
+            if len(a) >= 4:
+                yield pi, a
+
+
+def _segments(polys):
+    segs, owner = [], []
+    for pi, ring in _rings(polys):
+        s = np.hstack([ring[:-1], ring[1:]])
+        s = s[np.any(s[:, :2] != s[:, 2:], axis=1)]
+        segs.append(s)
+        owner.append(np.full(len(s), pi))
+    if not segs:
+        return np.zeros((0, 4)), np.zeros(0, dtype=int)
+    return np.vstack(segs), np.concatenate(owner)
+
+
+def _split_params(S):
+    """For every segment, the sorted parameters in (0, 1) where it must be cut."""
+    n = len(S)
+    p, r = S[:, :2], S[:, 2:] - S[:, :2]
+    lo, hi = np.minimum(S[:, :2], S[:, 2:]), np.maximum(S[:, :2], S[:, 2:])
+    cuts = [[] for _ in range(n)]
+    rr = np.einsum("ij,ij->i", r, r)
+    for start in range(0, n, CHUNK):
+        idx = np.arange(start, min(n, start + CHUNK))
+        ov = ((lo[idx, None, 0] <= hi[None, :, 0]) & (hi[idx, None, 0] >= lo[None, :, 0]) &
+              (lo[idx, None, 1] <= hi[None, :, 1]) & (hi[idx, None, 1] >= lo[None, :, 1]))
+        ov[np.arange(len(idx)), idx] = False
+        ii, jj = np.nonzero(ov)
+        if len(ii) == 0:
+            continue
+        i, j = idx[ii], jj
+        pi, ri, qj, sj = p[i], r[i], p[j], r[j]
+        qp = qj - pi
+        den = ri[:, 0] * sj[:, 1] - ri[:, 1] * sj[:, 0]
+        scale = np.sqrt(rr[i] * np.einsum("ij,ij->i", sj, sj))
+        cross_qp_r = qp[:, 0] * ri[:, 1] - qp[:, 1] * ri[:, 0]
+        par = np.abs(den) <= 1e-12 * np.maximum(scale, 1e-300)
+        # proper crossings
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (qp[:, 0] * sj[:, 1] - qp[:, 1] * sj[:, 0]) / den
+            u = cross_qp_r / den
+        ok = ~par & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)
+        for a, b in zip(i[ok], t[ok]):
+            cuts[a].append(b)
+        # collinear overlaps: cut at the other segment's end points
+        col = par & (np.abs(cross_qp_r) <= 1e-12 * np.maximum(np.sqrt(rr[i] * np.einsum("ij,ij->i", qp, qp)), 1e-300))
+        if col.any():
+            ic, qc, sc = i[col], qj[col], sj[col]
+            for end in (qc, qc + sc):
+                tt = np.einsum("ij,ij->i", end - p[ic], r[ic]) / rr[ic]
+                m = (tt > 0) & (tt < 1)
+                for a, b in zip(ic[m], tt[m]):
+                    cuts[a].append(b)
+    return cuts
+
+
+def _pieces(S, cuts):
+    out = []
+    for k, c in enumerate(cuts):
+        ts = np.unique(np.concatenate([[0.0, 1.0], np.asarray(c, dtype=float)]))
+        pts = np.round(S[k, :2] + ts[:, None] * (S[k, 2:] - S[k, :2]), SNAP)
+        pts[0], pts[-1] = S[k, :2], S[k, 2:]
+        seg = np.hstack([pts[:-1], pts[1:]])
+        out.append(seg[np.any(seg[:, :2] != seg[:, 2:], axis=1)])
+    return np.vstack(out) if out else np.zeros((0, 4))
+
+
+def _covered(points, S, owner, n_polys):
+    """True where a point lies inside at least one polygon (even-odd per polygon)."""
+    res = np.zeros(len(points), dtype=bool)
+    x1, y1, x2, y2 = S[:, 0], S[:, 1], S[:, 2], S[:, 3]
+    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    for start in range(0, len(points), CHUNK):
+        P = points[start:start + CHUNK]
+        px, py = P[:, 0:1], P[:, 1:2]
+        straddle = (y1[None, :] > py) != (y2[None, :] > py)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            xint = x1[None, :] + (py - y1[None, :]) * (x2 - x1)[None, :] / (y2 - y1)[None, :]
+        hit = straddle & (px < xint)
+        # segments are stored polygon by polygon: sum crossings per polygon
+        parity = np.add.reduceat(hit.astype(np.int32), starts, axis=1)
+        res[start:start + CHUNK] = ((parity % 2) == 1).any(axis=1)
+    return res
+
+
+def _signed_area(ring):
+    x, y = ring[:, 0], ring[:, 1]
+    return 0.5 * float(np.sum(x[:-1] * y[1:] - x[1:] * y[:-1]))
+
+
+def _simplify(ring):
+    """Drop vertices lying on a straight run; keep the ring closed."""
+    pts = ring[:-1]
+    changed = True
+    while changed and len(pts) > 3:
+        changed = False
+        prev, nxt = np.roll(pts, 1, axis=0), np.roll(pts, -1, axis=0)
+        cr = (pts[:, 0] - prev[:, 0]) * (nxt[:, 1] - pts[:, 1]) - (pts[:, 1] - prev[:, 1]) * (nxt[:, 0] - pts[:, 0])
+        dot = (pts[:, 0] - prev[:, 0]) * (nxt[:, 0] - pts[:, 0]) + (pts[:, 1] - prev[:, 1]) * (nxt[:, 1] - pts[:, 1])
+        drop = (np.abs(cr) <= 1e-12 * (1 + np.abs(pts).max())) & (dot > 0)
+        if drop.any():
+            k = int(np.argmax(drop))
+            pts = np.delete(pts, k, axis=0)
+            changed = True
+    start = int(np.lexsort((pts[:, 1], pts[:, 0]))[0])
+    pts = np.roll(pts, -start, axis=0)
+    return np.vstack([pts, pts[:1]])
+
+
+def _chain(pieces):
+    """Link oriented pieces into closed rings (leftmost turn at shared vertices,
+    so shells that touch at a point stay separate)."""
+    key = lambda x, y: (round(x, SNAP), round(y, SNAP))
+    out_edges: dict = {}
+    for k, (x1, y1, x2, y2) in enumerate(pieces):
+        out_edges.setdefault(key(x1, y1), []).append(k)
+    used = np.zeros(len(pieces), dtype=bool)
+    rings = []
+    for k0 in range(len(pieces)):
+        if used[k0]:
+            continue
+        ring = [pieces[k0, :2]]
+        k = k0
+        used[k] = True
+        start = key(*pieces[k0, :2])
+        for _ in range(len(pieces) + 1):
+            end = key(*pieces[k, 2:])
+            ring.append(pieces[k, 2:])
+            if end == start:
+                break
+            cand = [c for c in out_edges.get(end, []) if not used[c]]
+            if not cand:
+                break
+            if len(cand) > 1:
+                dx, dy = pieces[k, 2] - pieces[k, 0], pieces[k, 3] - pieces[k, 1]
+                ang = []
+                for c in cand:
+                    ex, ey = pieces[c, 2] - pieces[c, 0], pieces[c, 3] - pieces[c, 1]
+                    ang.append(np.arctan2(dx * ey - dy * ex, dx * ex + dy * ey))
+                k = cand[int(np.argmax(ang))]
+            else:
+                k = cand[0]
+            used[k] = True
+        r = np.asarray(ring)
+        if len(r) >= 4 and key(*r[0]) == key(*r[-1]):
+            rings.append(r)
+    return rings
+
+
+def _point_in_ring(pt, ring):
+    x, y = pt
+    x1, y1, x2, y2 = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
+    straddle = (y1 > y) != (y2 > y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        xint = x1 + (y - y1) * (x2 - x1) / (y2 - y1)
+    return bool(np.sum(straddle & (x < xint)) % 2)
+
+
+def union(polys):
+    """Union of polygons given as ``[polygon][ring][point]``; same shape out."""
+    polys = [p for p in polys if p]
+    S, owner = _segments(polys)
+    if len(S) == 0:
+        return []
+    pieces = _pieces(S, _split_params(S))
+    d = pieces[:, 2:] - pieces[:, :2]
+    length = np.sqrt(np.einsum("ij,ij->i", d, d))
+    normal = np.stack([-d[:, 1], d[:, 0]], axis=1) / length[:, None]
+    span = float(np.max(S.max(axis=0)[[0, 2]]) - np.min(S.min(axis=0)[[0, 2]]) +
+                 np.max(S.max(axis=0)[[1, 3]]) - np.min(S.min(axis=0)[[1, 3]]))
+    eps = np.maximum(np.minimum(1e-7 * max(span, 1.0), 0.1 * length), 1e-12)[:, None]
+    mid = (pieces[:, :2] + pieces[:, 2:]) / 2
+    n_polys = len(polys)
+    left = _covered(mid + eps * normal, S, owner, n_polys)
+    right = _covered(mid - eps * normal, S, owner, n_polys)
+    keep = left != right
+    kept = pieces[keep]
+    flip = right[keep]
+    kept[flip] = kept[flip][:, [2, 3, 0, 1]]
+    kept = np.unique(np.round(kept, SNAP), axis=0)
+    rings = [_simplify(r) for r in _chain(kept)]
+    rings = [r for r in rings if len(r) >= 4 and abs(_signed_area(r)) > 0]
+    shells = [r for r in rings if _signed_area(r) > 0]
+    holes = [r for r in rings if _signed_area(r) < 0]
+    shells.sort(key=lambda r: (r[0, 0], r[0, 1]))
+    out = [[s] for s in shells]
+    areas = [_signed_area(s) for s in shells]
+    for h in sorted(holes, key=lambda r: (r[0, 0], r[0, 1])):
+        probe = (h[0] + h[1]) / 2
+        best = None
+        for i, s in enumerate(shells):
+            if _point_in_ring(probe, s) and (best is None or areas[i] < areas[best]):
+                best = i
+        if best is not None:
+            out[best].append(h)
+    return [[r.tolist() for r in poly] for poly in out]
