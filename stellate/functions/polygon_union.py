@@ -47,11 +47,11 @@ def _segments(polys):
 
 
 def _split_params(S):
-    """For every segment, the sorted parameters in (0, 1) where it must be cut."""
+    """Cut points as (segment index, parameter in (0, 1)) arrays."""
     n = len(S)
     p, r = S[:, :2], S[:, 2:] - S[:, :2]
     lo, hi = np.minimum(S[:, :2], S[:, 2:]), np.maximum(S[:, :2], S[:, 2:])
-    cuts = [[] for _ in range(n)]
+    seg_out, t_out = [], []
     rr = np.einsum("ij,ij->i", r, r)
     for start in range(0, n, CHUNK):
         idx = np.arange(start, min(n, start + CHUNK))
@@ -73,29 +73,46 @@ def _split_params(S):
             t = (qp[:, 0] * sj[:, 1] - qp[:, 1] * sj[:, 0]) / den
             u = cross_qp_r / den
         ok = ~par & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)
-        for a, b in zip(i[ok], t[ok]):
-            cuts[a].append(b)
+        seg_out.append(i[ok])
+        t_out.append(t[ok])
         # collinear overlaps: cut at the other segment's end points
-        col = par & (np.abs(cross_qp_r) <= 1e-12 * np.maximum(np.sqrt(rr[i] * np.einsum("ij,ij->i", qp, qp)), 1e-300))
+        col = par & (np.abs(cross_qp_r) <= 1e-12 * np.maximum(
+            np.sqrt(rr[i] * np.einsum("ij,ij->i", qp, qp)), 1e-300))
         if col.any():
             ic, qc, sc = i[col], qj[col], sj[col]
             for end in (qc, qc + sc):
                 tt = np.einsum("ij,ij->i", end - p[ic], r[ic]) / rr[ic]
                 m = (tt > 0) & (tt < 1)
-                for a, b in zip(ic[m], tt[m]):
-                    cuts[a].append(b)
-    return cuts
+                seg_out.append(ic[m])
+                t_out.append(tt[m])
+    if not seg_out:
+        return np.zeros(0, dtype=int), np.zeros(0)
+    return np.concatenate(seg_out), np.concatenate(t_out)
 
 
 def _pieces(S, cuts):
-    out = []
-    for k, c in enumerate(cuts):
-        ts = np.unique(np.concatenate([[0.0, 1.0], np.asarray(c, dtype=float)]))
-        pts = np.round(S[k, :2] + ts[:, None] * (S[k, 2:] - S[k, :2]), SNAP)
-        pts[0], pts[-1] = S[k, :2], S[k, 2:]
-        seg = np.hstack([pts[:-1], pts[1:]])
-        out.append(seg[np.any(seg[:, :2] != seg[:, 2:], axis=1)])
-    return np.vstack(out) if out else np.zeros((0, 4))
+    """Split segments at their cut parameters (vectorised)."""
+    seg, t = cuts
+    n = len(S)
+    has_cut = np.zeros(n, dtype=bool)
+    has_cut[seg] = True
+    whole = S[~has_cut]
+    if not len(seg):
+        return whole
+    cut_idx = np.flatnonzero(has_cut)
+    seg_all = np.concatenate([seg, cut_idx, cut_idx])
+    t_all = np.concatenate([t, np.zeros(len(cut_idx)), np.ones(len(cut_idx))])
+    order = np.lexsort((t_all, seg_all))
+    seg_all, t_all = seg_all[order], t_all[order]
+    keep = np.r_[True, (seg_all[1:] != seg_all[:-1]) | (t_all[1:] != t_all[:-1])]
+    seg_all, t_all = seg_all[keep], t_all[keep]
+    pts = np.round(S[seg_all, :2] + t_all[:, None] * (S[seg_all, 2:] - S[seg_all, :2]), SNAP)
+    pts[t_all == 0.0] = S[seg_all[t_all == 0.0], :2]
+    pts[t_all == 1.0] = S[seg_all[t_all == 1.0], 2:]
+    same = seg_all[1:] == seg_all[:-1]
+    split = np.hstack([pts[:-1][same], pts[1:][same]])
+    out = np.vstack([whole, split])
+    return out[np.any(out[:, :2] != out[:, 2:], axis=1)]
 
 
 def _covered(points, S, owner, n_polys):
@@ -131,9 +148,8 @@ def _simplify(ring):
         cr = (pts[:, 0] - prev[:, 0]) * (nxt[:, 1] - pts[:, 1]) - (pts[:, 1] - prev[:, 1]) * (nxt[:, 0] - pts[:, 0])
         dot = (pts[:, 0] - prev[:, 0]) * (nxt[:, 0] - pts[:, 0]) + (pts[:, 1] - prev[:, 1]) * (nxt[:, 1] - pts[:, 1])
         drop = (np.abs(cr) <= 1e-12 * (1 + np.abs(pts).max())) & (dot > 0)
-        if drop.any():
-            k = int(np.argmax(drop))
-            pts = np.delete(pts, k, axis=0)
+        if drop.any() and (~drop).sum() >= 3:
+            pts = pts[~drop]
             changed = True
     start = int(np.lexsort((pts[:, 1], pts[:, 0]))[0])
     pts = np.roll(pts, -start, axis=0)

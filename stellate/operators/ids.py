@@ -7,9 +7,9 @@
    shared by a third of the rows does not make one partition huge when the
    order is total) and sort inside each partition;
 2. tag every row with its partition and its position inside it, and
-   materialise that once with a reliable ``checkpoint`` so the counts and
+   materialise that once so the counts and
    the rows below come from the same physical partitioning, also after an
-   executor loss;
+   executor loss (written once as Parquet in the shared checkpoint folder);
 3. count rows per partition (one row per partition: bounded by the
    partition count), turn the counts into running offsets, broadcast them;
 4. id = offset of the partition + position inside it + 1.
@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.session import ensure_checkpoint_dir
+from stellate.session import materialize
 
 _PART, _MONO, _FIRST, _OFF, _N = "__stl_part", "__stl_mono", "__stl_first", "__stl_off", "__stl_n"
 
@@ -39,14 +39,12 @@ def assign_ids(df: DataFrame, order_by: Sequence, name: str = "id",
                first: bool = True, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = dense rank 1..n of each row under ``order_by``."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order = [_col(c) for c in order_by]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(max(n, 1), *order)
-                .sortWithinPartitions(*order)
-                .select("*", F.spark_partition_id().alias(_PART),
-                        F.monotonically_increasing_id().alias(_MONO))
-                .checkpoint(eager=True))
+    tagged = materialize(df.repartitionByRange(max(n, 1), *order)
+                           .sortWithinPartitions(*order)
+                           .select("*", F.spark_partition_id().alias(_PART),
+                                   F.monotonically_increasing_id().alias(_MONO)), "ids")
     # one row per partition: size bounded by the partition count
     per_part = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N), F.min(_MONO).alias(_FIRST))
     offsets = per_part.select(

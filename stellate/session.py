@@ -73,3 +73,16 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/stellate-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the plan) and, unlike an RDD checkpoint of an unpersisted frame, computes
+    the plan only once.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
