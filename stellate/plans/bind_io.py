@@ -122,3 +122,33 @@ def q_kml_source(spark, d):
     write_kml(r, path, "p_partkey", "description")
     k = read_kml(spark, path)
     return k.select("Name", centre_code("Description").alias("centre_code"), to_wkt("geometry").alias("wkt"))
+
+
+@register("xlsx_source", """SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS customer_name,
+  CAST(c_acctbal AS VARCHAR) AS acct_bal, c_mktsegment AS mkt_segment FROM customer""")
+def q_xlsx_source(spark, d):
+    from stellate.sources.xlsx import read_xlsx, write_xlsx
+    c = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("Customer Name"),
+        F.col("c_acctbal").alias("Acct Bal"), F.col("c_mktsegment").alias("MKT Segment"))
+    path = scratch_dir(spark, "xlsx")
+    write_xlsx(c, path)
+    return read_xlsx(spark, path)
+
+
+def _cw_rect_wkt_sql() -> str:
+    from stellate.plans.bind_geo import _pt
+    pts = [_pt("x0", "y0"), _pt("x0", "y0 + h"), _pt("x0 + w", "y0 + h"), _pt("x0 + w", "y0"), _pt("x0", "y0")]
+    return "'POLYGON ((' || " + " || ', ' || ".join(pts) + " || '))'"
+
+
+@register("shapefile_source", f"""SELECT CAST(p_partkey AS VARCHAR) AS USE_ID, p_name AS NAME,
+  {_cw_rect_wkt_sql()} AS wkt FROM ({RECT_SQL}) r""")
+def q_shapefile_source(spark, d):
+    from stellate.sources.shapefile import read_shapefile, write_shapefile
+    r = parts_as_rectangles(spark, d).select(F.col("p_partkey").alias("USE_ID"), F.col("p_name").alias("NAME"),
+                                             "geometry")
+    path = scratch_dir(spark, "shp")
+    write_shapefile(r, path)
+    s = read_shapefile(spark, path)
+    return s.select("USE_ID", "NAME", to_wkt("geometry").alias("wkt"))
