@@ -99,4 +99,5 @@ def q_reconcile(spark, d):
 
 
 # the other bindings register themselves on import
-from stellate.plans import bind_catchment, bind_geo, bind_io, bind_ops, bind_similarity, bind_star  # noqa: E402,F401
+from stellate.plans import (bind_catchment, bind_geo, bind_io, bind_ops, bind_similarity,  # noqa: E402,F401
+                            bind_star, bind_streaming)
