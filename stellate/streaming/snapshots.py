@@ -48,10 +48,15 @@ def ingest_snapshots(spark: SparkSession, root: str, columns: Sequence[str],
                    .select(*[F.col(f"`{c}`") for c in columns], "_metadata"))
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = newest_snapshot_rows(batch).drop("_metadata")
-        write_partitioned(transform(rows), out_path, partition_cols)
+        # the micro-batch is used by three actions: read it once
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            rows = newest_snapshot_rows(batch).drop("_metadata")
+            write_partitioned(transform(rows), out_path, partition_cols)
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")).start()
