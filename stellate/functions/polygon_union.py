@@ -21,11 +21,28 @@ SNAP = 9          # decimals kept on every vertex
 CHUNK = 512
 
 
+def _as_points(ring):
+    """Ring -> (n, 2) float array; accepts lists or arrays of [x, y(, z)]."""
+    try:
+        a = np.asarray(ring, dtype=float)
+    except (TypeError, ValueError):
+        a = np.asarray([np.asarray(p, dtype=float)[:2] for p in ring], dtype=float)
+    if a.ndim != 2 or a.shape[0] == 0:
+        if a.dtype == object or a.ndim == 1:
+            a = np.asarray([np.asarray(p, dtype=float)[:2] for p in ring], dtype=float)
+        if a.ndim != 2 or a.shape[0] == 0:
+            return None
+    return a[:, :2]
+
+
 def _rings(polys):
     """Yield (polygon index, closed ring array) for every non-degenerate ring."""
     for pi, poly in enumerate(polys):
-        for ring in poly or []:
-            a = np.round(np.asarray([p[:2] for p in ring], dtype=float), SNAP)
+        for ring in poly if poly is not None else []:
+            a = _as_points(ring)
+            if a is None:
+                continue
+            a = np.round(a, SNAP)
             if len(a) < 3:
                 continue
             if not np.array_equal(a[0], a[-1]):
@@ -159,10 +176,12 @@ def _simplify(ring):
 def _chain(pieces):
     """Link oriented pieces into closed rings (leftmost turn at shared vertices,
     so shells that touch at a point stay separate)."""
-    key = lambda x, y: (round(x, SNAP), round(y, SNAP))
+    # pieces are already snapped, so exact coordinates are the vertex keys
+    key = lambda x, y: (x, y)
+    starts = [tuple(r) for r in pieces[:, :2].tolist()]
     out_edges: dict = {}
-    for k, (x1, y1, x2, y2) in enumerate(pieces):
-        out_edges.setdefault(key(x1, y1), []).append(k)
+    for k, st in enumerate(starts):
+        out_edges.setdefault(st, []).append(k)
     used = np.zeros(len(pieces), dtype=bool)
     rings = []
     for k0 in range(len(pieces)):
@@ -207,7 +226,7 @@ def _point_in_ring(pt, ring):
 
 def union(polys):
     """Union of polygons given as ``[polygon][ring][point]``; same shape out."""
-    polys = [p for p in polys if p]
+    polys = [p for p in polys if p is not None and len(p)]
     S, owner = _segments(polys)
     if len(S) == 0:
         return []
