@@ -12,9 +12,7 @@ from stellate.plans.registry import register
 from stellate.plans.tables import table
 
 
-def _sql_reconcile(*a, **k):
-    from stellate.plans.bindings import sql_reconcile
-    return sql_reconcile(*a, **k)
+from stellate.plans.sql_text import sql_reconcile as _sql_reconcile
 
 
 ID_ORDER = ["school_id", "school_name", "postcode"]
