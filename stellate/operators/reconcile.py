@@ -5,31 +5,45 @@ Semantics (per key = e.g. (name, postcode)):
 1. pass 1: left and right rows with equal keys are matched; one row per key;
 2. left rows with no match stay (``left_only``); right rows with no match
    (``right_only``) whose name carries a campus suffix (``'% - %'``) get the
-   suffix stripped and are matched against ``left_only`` in a left join;
+   suffix stripped and are matched against ``left_only`` (a left join);
    other unmatched right rows are discarded;
-3. the union of both passes has one row per distinct left key;
+3. the union of both passes has one row per distinct left key (null keys
+   never match, but equal null keys collapse, as in a dedupe);
 4. a dense id ordered by ``id_order`` is put first.
 
 Survivors are deterministic: the smallest row under the left ``order_by``,
-the remaining left columns, then the right columns (nulls last).  Because
-that order is lexicographic over (left part, right part), the smallest
-joined pair for a key is (smallest left row, smallest right row), so each
-side is reduced to one row per key *before* it is joined.  Every join below
-is therefore 1:1 per key: a key shared by a third of both inputs costs a
-partial aggregation, not a quadratic fan-out.  Both sides are hash
-partitioned on the keys once and the joins reuse that partitioning.
+the remaining left columns, then the right columns (nulls last).  That order
+is lexicographic over (left part, right part), so the smallest joined pair
+of a key is (smallest left row, smallest right row).
+
+Plan: no joins at all, two aggregations.
+
+* **Aggregation 1** groups the union of both sides by key (rows with a null
+  key are kept apart per side, since nulls never match) and keeps each
+  side's smallest row: one shuffle, with map-side partial aggregation, gives
+  matched, left-only and right-only keys at once.
+* **Aggregation 2** re-keys that single output -- right-only campus names are
+  stripped, everything else keeps its key -- and groups again: a left-only
+  key picks up the smallest stripped right row that lands on it; matched
+  keys pass through unchanged.
+
+So every input row crosses the network once, hot keys are reduced inside
+the map tasks, and there is no fan-out and no join skew to handle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from stellate.functions.text import campus_base_name, has_campus_suffix
-from stellate.operators.dedupe import dedupe
+from stellate.operators.dedupe import order_key, survivor_order
 from stellate.operators.ids import assign_ids
 
+_L, _LO, _R, _RO, _NK, _TAG = "__stl_l", "__stl_lo", "__stl_r", "__stl_ro", "__stl_nk", "__stl_tag"
+
 
 def strip_campus(df: DataFrame, name_col: str) -> DataFrame:
     """Rows whose name has a campus suffix, with the suffix removed."""
@@ -37,6 +51,21 @@ def strip_campus(df: DataFrame, name_col: str) -> DataFrame:
               .withColumn(name_col, campus_base_name(name_col)))
 
 
+def _any_null(keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
+def _side(df: DataFrame, keys, cols, order, own: tuple[str, str], other: tuple[str, str],
+          other_types: tuple) -> DataFrame:
+    row = F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(None).alias("__stl_none"))
+    return df.select(*keys, row.alias(own[0]), order_key(df, order).alias(own[1]),
+                     F.lit(None).cast(other_types[0]).alias(other[0]),
+                     F.lit(None).cast(other_types[1]).alias(other[1]))
+
+
 def reconcile(left: DataFrame, right: DataFrame,
               keys: Sequence[str] = ("school_name", "postcode"),
               name_col: str = "school_name",
@@ -51,18 +80,47 @@ def reconcile(left: DataFrame, right: DataFrame,
     overlap = (set(left.columns) & set(right.columns)) - set(keys)
     if overlap:
         raise ValueError(f"non-key columns on both sides: {sorted(overlap)}")
+    lcols = [c for c in left.columns if c not in keys]
+    rcols = [c for c in right.columns if c not in keys]
+    lord = survivor_order(left, keys, order_by)
+    rord = survivor_order(right, keys, right_order_by)
 
-    lk = dedupe(left, keys, order_by)            # one row per left key
-    rk = dedupe(right, keys, right_order_by)     # one row per right key
+    # types of the per-side payloads, to pad the other side with typed nulls
+    lt = left.select(F.struct(*[F.col(c) for c in lcols]).alias("a"), order_key(left, lord).alias("b")).schema
+    rt = right.select(F.struct(*[F.col(c) for c in rcols]).alias("a"), order_key(right, rord).alias("b")).schema
+    ltypes = (lt["a"].dataType, lt["b"].dataType)
+    rtypes = (rt["a"].dataType, rt["b"].dataType)
+    rk = right.select(*keys, *rcols)
+    for k in keys:                       # align key types (left's win)
+        rk = rk.withColumn(k, F.col(k).try_cast(left.schema[k].dataType))
+    lside = _side(left, keys, lcols, lord, (_L, _LO), (_R, _RO), rtypes).withColumn(_NK, F.lit("L"))
+    rside = _side(rk, keys, rcols, rord, (_R, _RO), (_L, _LO), ltypes).withColumn(_NK, F.lit("R"))
+    both = lside.unionByName(rside).withColumn(_NK, F.when(_any_null(keys), F.col(_NK)))
 
-    matched = lk.join(rk, keys, "inner")
-    left_only = lk.join(rk, keys, "left_anti")
-    right_only = rk.join(lk, keys, "left_anti")
-    # several campuses may strip to one key: keep the smallest right row
-    stripped = dedupe(strip_campus(right_only, name_col), keys, right_order_by)
-    second = left_only.join(stripped, keys, "left")
+    # aggregation 1: smallest row of each side per key
+    a1 = both.groupBy(*keys, _NK).agg(F.min_by(_L, _LO).alias(_L), F.min_by(_R, _RO).alias(_R),
+                                      F.min(_RO).alias(_RO))
+    has_l, has_r = F.col(_L).isNotNull(), F.col(_R).isNotNull()
+    tag = (F.when(has_l & has_r, F.lit("M")).when(has_l, F.lit("L"))
+            .when(has_r & has_campus_suffix(name_col), F.lit("R")))
+    rekeyed = (a1.withColumn(_TAG, tag).where(F.col(_TAG).isNotNull())
+                 .withColumn(name_col, F.when(F.col(_TAG) == "R", campus_base_name(name_col))
+                                        .otherwise(F.col(name_col)))
+                 .withColumn(_NK, F.when(_any_null(keys), F.col(_TAG))))
 
-    out = matched.unionByName(second)            # disjoint keys: no re-dedupe
+    # aggregation 2: left-only keys pick up the smallest stripped right row
+    zero = F.lit(0)
+    a2 = rekeyed.groupBy(*keys, _NK).agg(
+        F.min_by(F.struct(F.col(_L).alias("l"), F.col(_R).alias("r")),
+                 F.when(F.col(_TAG) == "M", zero)).alias("m"),
+        F.min_by(_L, F.when(F.col(_TAG) == "L", zero)).alias("lo"),
+        F.min_by(_R, F.when(F.col(_TAG) == "R", F.col(_RO))).alias("rs"))
+    lrow = F.coalesce(F.col("m.l"), F.col("lo"))
+    rrow = F.when(F.col("m").isNotNull(), F.col("m.r")).otherwise(F.col("rs"))
+    out = (a2.where(lrow.isNotNull())
+             .select(*keys, lrow.alias(_L), rrow.alias(_R))
+             .select(*keys, *[F.col(f"{_L}.{c}").alias(c) for c in lcols],
+                     *[F.col(f"{_R}.{c}").alias(c) for c in rcols]))
     if id_col is None:
         return out
     order = list(id_order) if id_order is not None else list(order_by) + keys
