@@ -44,7 +44,7 @@ def get_session(master: str | None = None, cores: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -86,3 +86,36 @@ def materialize(df, name: str = "table"):
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``stellate`` importable in the Python workers (once per application).
+
+    The package is zipped on the driver and added with ``addPyFile``; Spark
+    distributes it to every executor, so the pandas functions that run in
+    tasks can import it wherever the driver was started from.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="stellate-pyfiles-"), "stellate.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.join("stellate", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Checkpoint folder + package shipping: call before running pipelines."""
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
