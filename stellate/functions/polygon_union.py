@@ -236,7 +236,9 @@ def union(polys):
     normal = np.stack([-d[:, 1], d[:, 0]], axis=1) / length[:, None]
     span = float(np.max(S.max(axis=0)[[0, 2]]) - np.min(S.min(axis=0)[[0, 2]]) +
                  np.max(S.max(axis=0)[[1, 3]]) - np.min(S.min(axis=0)[[1, 3]]))
-    eps = np.maximum(np.minimum(1e-7 * max(span, 1.0), 0.1 * length), 1e-12)[:, None]
+    # offset of the side probes: far above rounding noise, far below any
+    # feature the 1e-9 vertex snap can represent
+    eps = np.maximum(np.minimum(1e-9 * max(span, 1.0), 0.01 * length), 1e-12)[:, None]
     mid = (pieces[:, :2] + pieces[:, 2:]) / 2
     n_polys = len(polys)
     left = _covered(mid + eps * normal, S, owner, n_polys)
