@@ -35,14 +35,14 @@ def _as_points(ring):
     return a[:, :2]
 
 
-def _rings(polys):
+def _rings(polys, snap=SNAP):
     """Yield (polygon index, closed ring array) for every non-degenerate ring."""
     for pi, poly in enumerate(polys):
         for ring in poly if poly is not None else []:
             a = _as_points(ring)
             if a is None:
                 continue
-            a = np.round(a, SNAP)
+            a = np.round(a, snap)
             if len(a) < 3:
                 continue
             if not np.array_equal(a[0], a[-1]):
@@ -51,9 +51,9 @@ def _rings(polys):
                 yield pi, a
 
 
-def _segments(polys):
+def _segments(polys, snap=SNAP):
     segs, owner = [], []
-    for pi, ring in _rings(polys):
+    for pi, ring in _rings(polys, snap):
         s = np.hstack([ring[:-1], ring[1:]])
         s = s[np.any(s[:, :2] != s[:, 2:], axis=1)]
         segs.append(s)
@@ -107,7 +107,7 @@ def _split_params(S):
     return np.concatenate(seg_out), np.concatenate(t_out)
 
 
-def _pieces(S, cuts):
+def _pieces(S, cuts, snap=SNAP):
     """Split segments at their cut parameters (vectorised)."""
     seg, t = cuts
     n = len(S)
@@ -123,7 +123,7 @@ def _pieces(S, cuts):
     seg_all, t_all = seg_all[order], t_all[order]
     keep = np.r_[True, (seg_all[1:] != seg_all[:-1]) | (t_all[1:] != t_all[:-1])]
     seg_all, t_all = seg_all[keep], t_all[keep]
-    pts = np.round(S[seg_all, :2] + t_all[:, None] * (S[seg_all, 2:] - S[seg_all, :2]), SNAP)
+    pts = np.round(S[seg_all, :2] + t_all[:, None] * (S[seg_all, 2:] - S[seg_all, :2]), snap)
     pts[t_all == 0.0] = S[seg_all[t_all == 0.0], :2]
     pts[t_all == 1.0] = S[seg_all[t_all == 1.0], 2:]
     same = seg_all[1:] == seg_all[:-1]
@@ -173,7 +173,7 @@ def _simplify(ring):
     return np.vstack([pts, pts[:1]])
 
 
-def _chain(pieces):
+def _chain(pieces, closed_only=True):
     """Link oriented pieces into closed rings (leftmost turn at shared vertices,
     so shells that touch at a point stay separate)."""
     # pieces are already snapped, so exact coordinates are the vertex keys
@@ -184,6 +184,7 @@ def _chain(pieces):
         out_edges.setdefault(st, []).append(k)
     used = np.zeros(len(pieces), dtype=bool)
     rings = []
+    closed = [True]
     for k0 in range(len(pieces)):
         if used[k0]:
             continue
@@ -212,7 +213,9 @@ def _chain(pieces):
         r = np.asarray(ring)
         if len(r) >= 4 and key(*r[0]) == key(*r[-1]):
             rings.append(r)
-    return rings
+        else:
+            closed[0] = False
+    return rings if not closed_only else (rings, closed[0])
 
 
 def _point_in_ring(pt, ring):
@@ -224,21 +227,20 @@ def _point_in_ring(pt, ring):
     return bool(np.sum(straddle & (x < xint)) % 2)
 
 
-def union(polys):
-    """Union of polygons given as ``[polygon][ring][point]``; same shape out."""
-    polys = [p for p in polys if p is not None and len(p)]
-    S, owner = _segments(polys)
+def _union_at(polys, snap: int):
+    """(union, True) or (None, False) when some boundary fails to close."""
+    S, owner = _segments(polys, snap)
     if len(S) == 0:
-        return []
-    pieces = _pieces(S, _split_params(S))
+        return [], True
+    pieces = _pieces(S, _split_params(S), snap)
     d = pieces[:, 2:] - pieces[:, :2]
     length = np.sqrt(np.einsum("ij,ij->i", d, d))
     normal = np.stack([-d[:, 1], d[:, 0]], axis=1) / length[:, None]
     span = float(np.max(S.max(axis=0)[[0, 2]]) - np.min(S.min(axis=0)[[0, 2]]) +
                  np.max(S.max(axis=0)[[1, 3]]) - np.min(S.min(axis=0)[[1, 3]]))
     # offset of the side probes: far above rounding noise, far below any
-    # feature the 1e-9 vertex snap can represent
-    eps = np.maximum(np.minimum(1e-9 * max(span, 1.0), 0.01 * length), 1e-12)[:, None]
+    # feature the vertex snap can represent
+    eps = np.maximum(np.minimum(10.0 ** -snap * max(span, 1.0), 0.01 * length), 1e-12)[:, None]
     mid = (pieces[:, :2] + pieces[:, 2:]) / 2
     n_polys = len(polys)
     left = _covered(mid + eps * normal, S, owner, n_polys)
@@ -247,8 +249,11 @@ def union(polys):
     kept = pieces[keep]
     flip = right[keep]
     kept[flip] = kept[flip][:, [2, 3, 0, 1]]
-    kept = np.unique(np.round(kept, SNAP), axis=0)
-    rings = [_simplify(r) for r in _chain(kept)]
+    kept = np.unique(np.round(kept, snap), axis=0)
+    chained, closed = _chain(kept)
+    if not closed:
+        return None, False
+    rings = [_simplify(r) for r in chained]
     rings = [r for r in rings if len(r) >= 4 and abs(_signed_area(r)) > 0]
     shells = [r for r in rings if _signed_area(r) > 0]
     holes = [r for r in rings if _signed_area(r) < 0]
@@ -263,4 +268,20 @@ def union(polys):
                 best = i
         if best is not None:
             out[best].append(h)
-    return [[r.tolist() for r in poly] for poly in out]
+    return [[r.tolist() for r in poly] for poly in out], True
+
+
+def union(polys):
+    """Union of polygons given as ``[polygon][ring][point]``; same shape out.
+
+    Vertices are snapped to 1e-9; if a boundary then fails to close (nearly
+    degenerate input), the union is retried with coarser snaps (1e-7, 1e-5),
+    and as a last resort the inputs are returned unmerged, so no area is
+    ever dropped.
+    """
+    polys = [p for p in polys if p is not None and len(p)]
+    for snap in (SNAP, 7, 5):
+        out, ok = _union_at(polys, snap)
+        if ok:
+            return out
+    return [[[[float(p[0]), float(p[1])] for p in ring] for ring in poly] for poly in polys]
