@@ -81,6 +81,23 @@ def top_matches(pairs: DataFrame, n: int = 500) -> DataFrame:
     return pairs.orderBy("confidence", "name_a", "name_b").limit(n)
 
 
+def closest_pairs(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None, n: int = 500,
+                  bounds=(0.2, 0.4, 0.6, 0.8)) -> DataFrame:
+    """Exact top-``n`` pairs without enumerating every pair that shares a gram.
+
+    For growing distance bounds ``d`` the prefix-filtered join returns every
+    pair closer than ``d``; as soon as there are at least ``n`` of them, the
+    ``n`` smallest (total order: distance, then names) are all among them,
+    so they are the answer.  Only the counts reach the driver.  The last
+    resort is the full join (bound 1).
+    """
+    for d in bounds:
+        close = similarity_join(a, b, col_a, col_b, max_distance=d)
+        if close.count() >= n:
+            return top_matches(close, n)
+    return top_matches(similarity_join(a, b, col_a, col_b, max_distance=1.0), n)
+
+
 def lsh_join(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None,
              max_distance: float = 1.0, num_hash_tables: int = 20,
              num_features: int = 1 << 18, seed: int = 7) -> DataFrame:

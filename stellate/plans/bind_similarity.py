@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stellate.operators.similarity import lsh_join, similarity_join, top_matches
+from stellate.operators.similarity import closest_pairs, lsh_join, similarity_join
 from stellate.plans.registry import register
 from stellate.plans.tables import table
 
@@ -32,7 +32,7 @@ def q_fuzzy_exact_close(spark, d):
 
 @register("top_matches", f"SELECT * FROM ({_GRAMS_SQL}) x ORDER BY confidence, name_a, name_b LIMIT 500")
 def q_top_matches(spark, d):
-    return top_matches(similarity_join(_names(spark, d), _names(spark, d), "p_name"), 500)
+    return closest_pairs(_names(spark, d), _names(spark, d), "p_name", n=500)
 
 
 @register("fuzzy_lsh")

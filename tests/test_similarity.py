@@ -49,3 +49,15 @@ def test_top_matches_and_lsh(spark):
     approx = lsh_join(df, df, "n", num_hash_tables=10).collect()
     assert all(0.0 <= r["confidence"] < 1.0 for r in approx)
     assert len(approx) <= len(_brute(names, names, 1.0))
+
+
+def test_closest_pairs_equals_full_top_k(spark):
+    from stellate.operators.similarity import closest_pairs
+    rnd = random.Random(4)
+    words = ["saint", "mary", "college", "primary", "high", "north", "west"]
+    names = [" ".join(rnd.sample(words, rnd.randint(1, 3))) for _ in range(80)]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    for k in (5, 40, 400):
+        want = [tuple(r) for r in top_matches(similarity_join(df, df, "n"), k).collect()]
+        got = [tuple(r) for r in closest_pairs(df, df, "n", n=k).collect()]
+        assert sorted(got) == sorted(want), k
