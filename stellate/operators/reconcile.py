@@ -45,12 +45,6 @@ from stellate.operators.ids import assign_ids
 _L, _LO, _R, _RO, _NK, _TAG = "__stl_l", "__stl_lo", "__stl_r", "__stl_ro", "__stl_nk", "__stl_tag"
 
 
-def strip_campus(df: DataFrame, name_col: str) -> DataFrame:
-    """Rows whose name has a campus suffix, with the suffix removed."""
-    return (df.filter(has_campus_suffix(name_col))
-              .withColumn(name_col, campus_base_name(name_col)))
-
-
 def _any_null(keys: Sequence[str]) -> Column:
     cond = F.lit(False)
     for k in keys:

@@ -19,8 +19,6 @@ sharing a gram is a result, and the gram join *is* the result.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,8 +118,3 @@ def lsh_join(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None,
     lsh = model.stages[-1]
     return lsh.approxSimilarityJoin(ha, hb, max_distance, "confidence").select(
         F.col("datasetA.name").alias("name_a"), F.col("datasetB.name").alias("name_b"), "confidence")
-
-
-def prefix_length(n: int, t: float) -> int:
-    """Prefix size used for a set of ``n`` grams at similarity threshold ``t``."""
-    return n - math.ceil(n * t - 1e-9) + 1

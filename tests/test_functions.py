@@ -85,3 +85,11 @@ def test_json_rows(spark):
     df = spark.createDataFrame([(1, None, "café"), (2, "", "x")], "a int, b string, c string")
     got = sorted(r[0] for r in json_rows(df).collect())
     assert got == ['{"a":"1","b":"None","c":"café"}', '{"a":"2","b":"","c":"x"}']
+
+
+def test_run_timestamp_and_zeros(spark):
+    import datetime as dt
+    from stellate.sources.snapshots import run_timestamp
+    assert run_timestamp(dt.datetime(2024, 3, 5, 7, 8, 9)) == "2024-03-05-07-08-09"
+    df = spark.createDataFrame([("0042",), ("0000",), ("7",)], "s string")
+    assert sorted(r[0] for r in df.select(T.strip_leading_zeros("s")).collect()) == ["", "42", "7"]
