@@ -118,3 +118,8 @@ def lsh_join(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None,
     lsh = model.stages[-1]
     return lsh.approxSimilarityJoin(ha, hb, max_distance, "confidence").select(
         F.col("datasetA.name").alias("name_a"), F.col("datasetB.name").alias("name_b"), "confidence")
+
+
+def short_names(df: DataFrame, col: str) -> int:
+    """How many non-null names are too short for trigrams (``lsh_join`` skips them)."""
+    return df.agg(F.count(F.when(F.length(col) < GRAM, 1)).alias("n")).first()["n"]

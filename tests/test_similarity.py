@@ -61,3 +61,9 @@ def test_closest_pairs_equals_full_top_k(spark):
         want = [tuple(r) for r in top_matches(similarity_join(df, df, "n"), k).collect()]
         got = [tuple(r) for r in closest_pairs(df, df, "n", n=k).collect()]
         assert sorted(got) == sorted(want), k
+
+
+def test_short_names_reported(spark):
+    from stellate.operators.similarity import short_names
+    df = spark.createDataFrame([("ab",), ("",), (None,), ("abc",)], "n string")
+    assert short_names(df, "n") == 2
