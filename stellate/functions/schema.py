@@ -43,3 +43,37 @@ def apply_mapping(df: DataFrame, specs: Sequence[tuple[str, str, str, str]]) ->
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename present columns; absent ones are ignored."""
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """Type text columns from their content: bigint, else double, else string.
+
+    One aggregation counts, per column, the non-null values and how many of
+    them cast cleanly to bigint and to double; only those counts reach the
+    driver.  A column whose every non-null value converts gets that type
+    (blanks become null, so an integer column with gaps stays integral).
+    """
+    text = [c for c, t in df.dtypes if t == "string"]
+    if not text:
+        return df
+    aggs = []
+    for i, c in enumerate(text):
+        v = F.nullif(F.trim(F.col(f"`{c}`")), F.lit(""))
+        aggs += [F.count(v).alias(f"n{i}"), F.count(v.try_cast("bigint")).alias(f"i{i}"),
+                 F.count(v.try_cast("double")).alias(f"d{i}")]
+    stats = df.agg(*aggs).first()
+    cols = []
+    for c in df.columns:
+        if c not in text:
+            cols.append(F.col(f"`{c}`"))
+            continue
+        i = text.index(c)
+        n, ni, nd = stats[f"n{i}"], stats[f"i{i}"], stats[f"d{i}"]
+        v = F.nullif(F.trim(F.col(f"`{c}`")), F.lit(""))
+        if n and ni == n:
+            cols.append(v.try_cast("bigint").alias(c))
+        elif n and nd == n:
+            cols.append(v.try_cast("double").alias(c))
+        else:
+            cols.append(F.col(f"`{c}`"))
+    return df.select(*cols)

@@ -4,7 +4,9 @@ Files are loaded with Spark's ``binaryFile`` source (any Hadoop file
 system); each workbook is parsed inside a task with the standard library
 (an .xlsx file is a zip of XML parts), one workbook per row.  A first pass
 reads only the header rows to fix the output schema: every column is text,
-headers normalised (lower case, spaces to ``_``); typing is a later step.
+headers normalised (lower case, spaces to ``_``).  ``infer=True`` then types
+the columns from their content (bigint, double or text) with one
+aggregation, as a spreadsheet reader would.
 
 Options follow the source jobs: ``sheet`` is the 0-based sheet position
 (default 1, the second sheet) and ``header_row`` the 0-based row holding
@@ -22,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.functions.schema import normal_name
+from stellate.functions.schema import infer_types, normal_name
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -88,7 +90,12 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, header_row: int = 0,
-              glob: str = "*.xlsx") -> DataFrame:
+              glob: str = "*.xlsx", infer: bool = False) -> DataFrame:
+    """Rows of one sheet of every workbook under ``path`` (text columns).
+
+    With ``infer`` the columns are typed from their content
+    (``functions.schema.infer_types``: bigint, double or text).
+    """
     files = _files(spark, path, glob)
 
     def header_pass(batches):
@@ -122,7 +129,8 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, header_row: int =
             if out:
                 yield pd.DataFrame(out, columns=columns)
 
-    return files.mapInPandas(rows_pass, schema)
+    out = files.mapInPandas(rows_pass, schema)
+    return infer_types(out) if infer else out
 
 
 # ---- fixture writer ------------------------------------------------------------------------

@@ -99,3 +99,15 @@ def test_snapshot_stream_is_incremental(spark):
     q = ingest_snapshots(spark, root, ["year", "v"], ident, out, ["year"], ckpt)
     assert rows(spark.read.parquet(out), "year", "v") == [(2020, "a"), (2021, "c")]
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_xlsx_type_inference(spark):
+    path = scratch_dir(spark, "xlsx-types")
+    os.makedirs(_local(path), exist_ok=True)
+    wb = workbook_bytes([("Notes", [["x"]]), ("Data", [["Postcode", "Share", "Name"], [2000, 12.5, "A"],
+                                                       [None, 7, "B"], [800, 3, "C"]])])
+    with open(os.path.join(_local(path), "p.xlsx"), "wb") as f:
+        f.write(wb)
+    df = read_xlsx(spark, path, infer=True)
+    assert dict(df.dtypes) == {"postcode": "bigint", "share": "double", "name": "string"}
+    assert rows(df) == [(None, 7.0, "B"), (800, 3.0, "C"), (2000, 12.5, "A")]
