@@ -56,16 +56,31 @@ def parse_shp(content: bytes) -> list:
     return out
 
 
-def parse_dbf(content: bytes) -> tuple[list[str], list[list[str | None]]]:
-    """(field names, records as text) of a .dbf file; deleted records skipped."""
-    nrec, hlen, rlen = struct.unpack("<IHH", content[4:12])
+def dbf_fields(content: bytes) -> list[tuple[str, str, int, int]]:
+    """(name, type letter, length, decimals) of every .dbf field."""
+    hlen = struct.unpack("<H", content[8:10])[0]
     fields = []
     pos = 32
     while pos < hlen - 1 and content[pos] != 0x0D:
         name = content[pos:pos + 11].split(b"\x00", 1)[0].decode("latin-1")
-        length = content[pos + 16]
-        fields.append((name, length))
+        fields.append((name, chr(content[pos + 11]), content[pos + 16], content[pos + 17]))
         pos += 32
+    return fields
+
+
+def spark_type(kind: str, decimals: int) -> str:
+    """Spark type for a .dbf field type (numbers typed, everything else text)."""
+    if kind in ("N", "F"):
+        return "bigint" if kind == "N" and decimals == 0 else "double"
+    if kind == "L":
+        return "boolean"
+    return "string"
+
+
+def parse_dbf(content: bytes) -> tuple[list[str], list[list[str | None]]]:
+    """(field names, records as text) of a .dbf file; deleted records skipped."""
+    nrec, hlen, rlen = struct.unpack("<IHH", content[4:12])
+    fields = [(name, length) for name, _k, length, _d in dbf_fields(content)]
     rows = []
     for i in range(nrec):
         rec = content[hlen + i * rlen: hlen + (i + 1) * rlen]
@@ -90,19 +105,27 @@ def _pairs(spark: SparkSession, path: str) -> DataFrame:
     return part("shp").join(part("dbf"), "base")
 
 
-def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
+def read_shapefile(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
+    """Attributes (text, or typed from the .dbf field types with ``typed``) and geometry."""
     pairs = _pairs(spark, path)
 
     def header_pass(batches):
         for pdf in batches:
-            yield pd.DataFrame({"base": pdf["base"], "fields": [parse_dbf(c)[0] for c in pdf["dbf"]]})
+            f = [dbf_fields(c) for c in pdf["dbf"]]
+            yield pd.DataFrame({"base": pdf["base"], "fields": [[x[0] for x in ff] for ff in f],
+                                "types": [[spark_type(x[1], x[3]) for x in ff] for ff in f]})
 
-    heads = pairs.select("base", "dbf").mapInPandas(header_pass, "base string, fields array<string>").collect()
+    heads = pairs.select("base", "dbf").mapInPandas(
+        header_pass, "base string, fields array<string>, types array<string>").collect()
     columns: list[str] = []
+    types: dict[str, str] = {}
     for h in sorted(heads, key=lambda r: r["base"]):
-        for c in h["fields"]:
+        for c, t in zip(h["fields"], h["types"]):
             if c not in columns:
                 columns.append(c)
+                types[c] = t
+            elif types[c] != t:
+                types[c] = "string"          # files disagree: keep text
     schema = ", ".join([f"`{c}` string" for c in columns] + [f"geometry {GEOM_TYPE}"])
 
     def rows_pass(batches):
@@ -120,7 +143,11 @@ def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=columns + ["geometry"])
 
-    return pairs.mapInPandas(rows_pass, schema)
+    out = pairs.mapInPandas(rows_pass, schema)
+    if not typed:
+        return out
+    return out.select(*[(F.col(f"`{c}`").try_cast(types[c]) if types[c] != "string" else F.col(f"`{c}`")).alias(c)
+                        for c in columns], "geometry")
 
 
 # ---- fixture writer --------------------------------------------------------------------------
@@ -158,10 +185,14 @@ def _dbf_bytes(columns: list[str], rows: list[list]) -> bytes:
     texts = [["" if v is None else str(v) for v in r] for r in rows]
     widths = [max([1] + [len(t[j].encode()) for t in texts]) for j in range(len(columns))]
     widths = [min(w, 254) for w in widths]
+    # integer columns are declared numeric (N, 0 decimals), the rest text (C)
+    kinds = [b"N" if rows and all(r[j] is None or (isinstance(r[j], int) and not isinstance(r[j], bool))
+                                  for r in rows) else b"C" for j in range(len(columns))]
     hlen = 32 + 32 * len(columns) + 1
     rlen = 1 + sum(widths)
     head = struct.pack("<BBBBIHH20x", 3, 124, 1, 1, len(rows), hlen, rlen)
-    fields = b"".join(struct.pack("<11sc4xBB14x", c.encode()[:10], b"C", w, 0) for c, w in zip(columns, widths))
+    fields = b"".join(struct.pack("<11sc4xBB14x", c.encode()[:10], k, w, 0)
+                      for c, k, w in zip(columns, kinds, widths))
     body = b"".join(b" " + b"".join(t[j].encode()[:widths[j]].ljust(widths[j]) for j in range(len(columns)))
                     for t in texts)
     return head + fields + b"\r" + body + b"\x1a"

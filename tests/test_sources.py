@@ -111,3 +111,14 @@ def test_xlsx_type_inference(spark):
     df = read_xlsx(spark, path, infer=True)
     assert dict(df.dtypes) == {"postcode": "bigint", "share": "double", "name": "string"}
     assert rows(df) == [(None, 7.0, "B"), (800, 3.0, "C"), (2000, 12.5, "A")]
+
+
+def test_shapefile_typed_attributes(spark):
+    path = scratch_dir(spark, "shp-typed")
+    sq = [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]
+    df = spark.createDataFrame([(101, "A", sq), (None, "B", sq)], f"USE_ID bigint, NAME string, g {GEOM_TYPE}")
+    write_shapefile(df, path, "g")
+    t = read_shapefile(spark, path, typed=True)
+    assert dict(t.dtypes)["USE_ID"] == "bigint" and dict(t.dtypes)["NAME"] == "string"
+    assert rows(t.select("USE_ID", "NAME")) == [(None, "B"), (101, "A")]
+    assert dict(read_shapefile(spark, path).dtypes)["USE_ID"] == "string"
