@@ -14,23 +14,24 @@ from stellate.functions.schema import normalise_headers
 
 
 def read_csv(spark: SparkSession, path: str, normalise: bool = True,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, encoding: str = "UTF-8") -> DataFrame:
     """CSV with a header row, every column a string; headers normalised.
 
     With ``columns`` (raw header names) the schema is declared up front and
-    Spark skips the header-sampling job.
+    Spark skips the header-sampling job.  ``encoding`` names the file
+    charset (e.g. ``ISO-8859-1`` for extracts that are not UTF-8).
     """
-    r = spark.read.option("header", True)
+    r = spark.read.option("header", True).option("encoding", encoding)
     if columns:
         r = r.schema(StructType([StructField(c, StringType()) for c in columns]))
     df = r.csv(path)
     return normalise_headers(df) if normalise else df
 
 
-def read_csv_tree(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_tree(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Every CSV file below ``path`` (recursively), header names kept as they are."""
     return (spark.read.option("header", True).option("recursiveFileLookup", True)
-                 .option("pathGlobFilter", "*.csv").csv(path))
+                 .option("encoding", encoding).option("pathGlobFilter", "*.csv").csv(path))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -122,3 +122,12 @@ def test_shapefile_typed_attributes(spark):
     assert dict(t.dtypes)["USE_ID"] == "bigint" and dict(t.dtypes)["NAME"] == "string"
     assert rows(t.select("USE_ID", "NAME")) == [(None, "B"), (101, "A")]
     assert dict(read_shapefile(spark, path).dtypes)["USE_ID"] == "string"
+
+
+def test_csv_encoding(spark):
+    path = scratch_dir(spark, "latin1")
+    os.makedirs(_local(path), exist_ok=True)
+    with open(os.path.join(_local(path), "a.csv"), "wb") as f:
+        f.write("School Name,Postcode\nSt André,2000\n".encode("latin-1"))
+    df = read_csv(spark, path, encoding="ISO-8859-1")
+    assert [tuple(r) for r in df.collect()] == [("St André", "2000")]
