@@ -55,7 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     from the session.  Only a local-mode session without one (tests, the
     benchmark) gets a private temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # Spark Connect: no driver-side context
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -99,8 +105,11 @@ def ship_package(spark: SparkSession) -> None:
     tasks can import it wherever the driver was started from.
     """
     import zipfile
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:                      # Spark Connect
+        sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -111,7 +120,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.join("stellate", os.path.relpath(full, pkg)))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(app)
 
 
