@@ -22,7 +22,6 @@ import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stellate.functions.schema import infer_types, normal_name
 
