@@ -50,7 +50,7 @@ def build(hashes: DataFrame, n_blocks: int, k: int) -> np.ndarray:
             .withColumn("slice", F.floor(F.col("h").bitwiseAND(n_blocks - 1) / per).cast("long"))
             .groupBy("slice").applyInArrow(fill, "slice long, bits binary"))
     out = np.zeros(n_blocks * WORDS, np.uint64)
-    for row in made.toLocalIterator():
+    for row in made.collect():
         out[row["slice"] * per * WORDS:(row["slice"] + 1) * per * WORDS] = np.frombuffer(row["bits"], np.uint64)
     return out
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import packing
-from stellate.llm.common import table
+from stellate.llm import language_model, packing
+from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,3 +22,9 @@ def query(fn):
 @query
 def op1_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return language_model.score(docs, held_out(docs["doc_id"], 7, 2))
