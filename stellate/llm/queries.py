@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import language_model, packing
+from stellate.llm import jaccard_join, language_model, packing
 from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,8 @@ def op1_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
 def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return language_model.score(docs, held_out(docs["doc_id"], 7, 2))
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, d, "documents"))
