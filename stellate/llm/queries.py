@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stellate.llm import jaccard_join, language_model, packing
+from stellate.llm import jaccard_join, language_model, packing, pii, toxicity
 from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,18 @@ def op3_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_join.join_documents(table(spark, d, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    labels = table(spark, d, "labels").select("doc_id", F.col("toxic").alias("label"))
+    held = held_out(F.col("doc_id"), 3, 1)
+    scored = toxicity.score(docs, toxicity.train(docs, labels, ~held), ["doc_id"])
+    return scored.withColumn("held_out", held).withColumn(
+        "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@query
+def op9_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find(table(spark, d, "documents"))

@@ -117,6 +117,14 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarr
     return out
 
 
+def prefix_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lengths: tuple[int, ...],
+                  table: np.ndarray = SAME) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length: (numbers of the ranges that are longer, hash of their first bytes)."""
+    long_enough = [np.flatnonzero(end - start > n) for n in lengths]
+    out = [(at, hashes(data, start[at], start[at] + n, table)) for n, at in zip(lengths, long_enough)]
+    return [(at, mix64(h ^ np.uint64(n))) for n, (at, h) in zip(lengths, out)]
+
+
 def windows(word: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, index of the first word) of every n-word window inside one text."""
     m = len(word) - n + 1
