@@ -28,6 +28,14 @@ LOWER = SAME.copy()
 LOWER[65:91] += 32
 
 
+def fold(data: np.ndarray) -> np.ndarray:
+    """Lower case for ASCII and Latin-1 letters, byte for byte."""
+    out = LOWER[data]
+    second = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    out[second] += 0x20
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply); input and output uint64."""
     x = x ^ (x >> np.uint64(30))

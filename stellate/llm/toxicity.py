@@ -50,12 +50,13 @@ class Sentences:
 
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         self.start, self.end, doc = scan.spans(data, offs, scan.NON_ALNUM)
-        word = scan.hashes(data, self.start, self.end, scan.LOWER)
-        breaks = np.cumsum(BREAK[data], dtype=np.int64)[self.start] if len(data) else self.start
+        data, breaks_at = scan.fold(data), BREAK[data]
+        word = scan.hashes(data, self.start, self.end)
+        breaks = np.cumsum(breaks_at, dtype=np.int64)[self.start] if len(data) else self.start
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (breaks[1:] != breaks[:-1])
         sentence = np.cumsum(new) - 1
-        parts = scan.prefix_hashes(data, self.start, self.end, PREFIXES, scan.LOWER)
+        parts = scan.prefix_hashes(data, self.start, self.end, PREFIXES)
         self.feature = (np.concatenate([word, *(h for _, h in parts)]) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
         self.sentence = np.concatenate([sentence, *(sentence[at] for at, _ in parts)])
         self.first = np.flatnonzero(new)
