@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import jaccard_join, language_model, packing, pii, toxicity
+from stellate.llm import decontamination, jaccard_join, language_model, line_quality, packing, pii, toxicity
 from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,13 @@ def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.find(table(spark, d, "documents"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return line_quality.judge(table(spark, d, "documents"), "source")
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
