@@ -254,3 +254,20 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
     return (rows.join(place, "node", "left")
             .select(real.alias("doc_id"), F.col("size").alias("n_shingles"),
                     F.when(F.col("size") == 0, real).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def deduplicate(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id.
+
+    Rows that share an id stay or go together; of rows that share id and text one stays.
+    """
+    joined = materialize(join_documents(docs, n, similarity).groupBy("doc_id").agg(
+        F.max(F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("first"), F.count("*").alias("rows")), "kept")
+    gone = joined.filter("not first").select(F.col("doc_id").alias("other_id"))
+    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["other_id"]), "left_anti")
+    several = joined.filter("first and rows > 1").select(F.col("doc_id").alias("other_id"))
+    if several.limit(1).count() == 0:
+        return out
+    match = out["doc_id"].cast("long").eqNullSafe(several["other_id"])
+    once = out.join(several, match, "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.join(several, match, "left_anti").unionByName(once)

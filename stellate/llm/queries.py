@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontamination, jaccard_join, language_model, line_quality, packing, pii, toxicity
+from stellate.llm import (
+    decontamination, jaccard_join, language_model, licenses, line_quality, packing, pii, toxicity, url_filter, warc)
 from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,32 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op2_benchmark_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op5_license_scans(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, d, "documents"))
+
+
+ORACLE["op5_license_scans"] = licenses.oracle()
+
+
+@query
+def op6_url_filters(spark: SparkSession, d: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, d, "pages"))
+
+
+@query
+def op7_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.read(*warc.write(table(spark, d, "pages"))).drop("url")
+
+
+ORACLE["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS keeper FROM p),
+t AS (SELECT *, octet_length(encode(payload)) AS bytes FROM k),
+r AS (SELECT *, bytes >= 1000 AND page_id <> keeper AS again FROM t)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN keeper END AS refers_to
+FROM r"""

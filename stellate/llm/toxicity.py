@@ -183,3 +183,9 @@ def score(docs: DataFrame, model: np.ndarray, keep: list[str]) -> DataFrame:
 
     out = inner.mapInArrow(run, ", ".join(kinds + made))
     return out.select(*[F.col(f"in{i}").alias(c) for i, c in enumerate(keep)], *[m.split()[0] for m in made])
+
+
+def reject(docs: DataFrame, model: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more."""
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own"), docs["text"])
+    return score(own, model, ["own"]).filter(F.col("score") < threshold).select("own.*")
