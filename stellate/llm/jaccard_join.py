@@ -24,13 +24,11 @@ Shingles are told apart by 64-bit hashes, sets by 63 bits over all of them.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stellate.llm import bits, scan
 from stellate.llm.common import documents, materialize
@@ -38,23 +36,26 @@ from stellate.llm.components import components
 
 WORDS = 5
 SIMILARITY = (80, 100)
-#: First size of each band and its number of blocks; from 4096 on bands grow by 4.
-BANDS = ((4, 1024), (16, 32), (64, 80), (256, 300), (1024, 1200))
+#: Blocks for sets of 2^b to 2^(b+1) - 1 shingles, from b = 0 on; beyond the list 1 for 3.5 shingles of the largest.
+#: So many that a set's sketch has more than D blocks that are not zero, short of odds below 1e-20.
+BLOCKS = (4096, 4096, 4096, 1024, 512, 512, 64, 88, 160, 310, 602)
 SMALL_GROUP = 12
+#: Blocks that more sets hold rank alike.
+MOST_HELD = (1 << 12) - 1
 FILTER_BLOCKS = 1 << 17
-SEEDS = 8
+SEED = 1
 NULL_ID = -(1 << 63)
 
 
 def band(size: int) -> int:
-    return max(0, int(math.log(max(size, 4), 4) + 1e-9) - 1)
+    return size.bit_length() - 1
 
 
 def band_blocks(b: int) -> int:
-    return BANDS[b][1] if b < len(BANDS) else 1200 * 4 ** (b - len(BANDS) + 1)
+    return BLOCKS[b] if b < len(BLOCKS) else int(2 ** (b + 1) / 3.5)
 
 
-def most_different(size: int, similarity: tuple[int, int] = SIMILARITY) -> int:
+def most_different(size, similarity: tuple[int, int] = SIMILARITY) -> int:
     """Largest symmetric difference of a set of ``size`` with a set at the similarity or above."""
     a, b = similarity
     return size * (b - a) // a
@@ -101,8 +102,16 @@ def sketch_blocks(key: np.ndarray, k: int, b: int, seed: int) -> np.ndarray:
 INDEX_SCHEMA = "k long, v long, w long"
 
 
+def _rows(k: np.ndarray, v: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (k, v, w)], ["k", "v", "w"])
+
+
 def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) -> DataFrame:
-    """Rows (block hash, node and slot, 0), (doc_id, node, size + 1) and (node and slot, size, -1 - blocks)."""
+    """Rows of three kinds, told apart by w.
+
+    Blocks: (block hash, node and slot, 0); texts: (doc_id, node, -1 - 2 * size);
+    sketches: (size, node and slot, -2 - 2 * number of blocks).
+    """
     a, c = similarity
 
     def run(batches):
@@ -110,8 +119,7 @@ def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) ->
         for part, data, offs in scan.blocks(batches):
             key, bound, node = shingle_sets(data, offs, n)
             size = np.diff(bound)
-            ids = part.column("doc_id").fill_null(NULL_ID).to_numpy()
-            out = [[ids], [scan.signed(node)], [size + 1]]
+            out = [[part.column("doc_id").fill_null(NULL_ID).to_numpy()], [scan.signed(node)], [-1 - 2 * size]]
             for d in np.flatnonzero(size * (c - a) >= a).tolist():      # smaller sets only have equal partners
                 name = int(node[d])
                 if name in seen:                                         # copies: once a task
@@ -119,44 +127,139 @@ def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) ->
                 seen.add(name)
                 s = int(size[d])
                 own = band(s)
-                slots = [own] + [own + 1] * (band(s * c // a) > own)
-                for slot, b in enumerate(slots):
+                for slot, b in enumerate([own] + [own + 1] * (band(s * c // a) > own)):
                     made = sketch_blocks(key[bound[d]:bound[d + 1]], band_blocks(b), b, seed)
-                    v = np.uint64(name | slot).astype(np.int64)
-                    out[0] += [scan.signed(made), v.reshape(1)]
-                    out[1] += [np.full(len(made), v), np.array([s])]
-                    out[2] += [np.zeros(len(made), np.int64), np.array([-1 - len(made)])]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["k", "v", "w"])
+                    if len(made) <= most_different(s, similarity):
+                        raise ValueError("a sketch has too few blocks; take another seed")
+                    v = np.array([name | slot], np.uint64).view(np.int64)
+                    out[0] += [scan.signed(made), np.array([s])]
+                    out[1] += [np.repeat(v, len(made)), v]
+                    out[2] += [np.zeros(len(made), np.int64), np.array([-2 - 2 * len(made)])]
+            yield _rows(*(np.concatenate(x) for x in out))
 
     return texts.mapInArrow(run, INDEX_SCHEMA)
 
 
+def _runs(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row, number of rows) of each run of equal values."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(k), 1), bool), k[1:] != k[:-1]]))
+    return first, np.diff(np.append(first, len(k)))
+
+
 def _shared_blocks(batches):
-    """Of rows sorted by (k, v): block rows whose k more than one v holds, once each; other rows as they are."""
-    last = None              # the last block row: k, v, already passed on
-    for batch in batches:
-        k, v, w = (batch.column(c).to_numpy() for c in ("k", "v", "w"))
-        other = w != 0
-        if other.any():
-            yield batch.filter(pa.array(other))
-        k, v = k[~other], v[~other]
+    """Of rows sorted by (k, v): the block rows whose k more than one v holds, once each; other rows as they are.
+
+    k becomes (number of holders, run number): its order is rarest first.  A run
+    beyond ``MOST_HELD`` is passed on as it comes, so none is gathered.
+    """
+    number = TaskContext.get().partitionId() << 31
+    k = v = np.zeros(0, np.int64)
+    long_run = None
+    for batch in _and_last(batches):
+        if batch is not None:
+            nk, nv, nw = (batch.column(c).to_numpy() for c in ("k", "v", "w"))
+            other = nw != 0
+            if other.any():
+                yield _rows(nk[other], nv[other], nw[other])
+            k, v = np.concatenate([k, nk[~other]]), np.concatenate([v, nv[~other]])
         if not len(k):
             continue
-        if last is not None:
-            k, v = np.concatenate([[last[0]], k]), np.concatenate([[last[1]], v])
         fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])
         k, v = k[fresh], v[fresh]
-        same = k[1:] == k[:-1]
-        take = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        done = last is not None and last[2]
-        passed = bool(take[-1]) if len(k) > 1 else done
-        if done:
-            take[0] = False
-        last = (k[-1], v[-1], passed)
-        at = np.flatnonzero(take)
-        if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(k[at]), pa.array(v[at]), pa.array(np.zeros(len(at), np.int64))],
-                                             ["k", "v", "w"])
+        if long_run is not None and (same := int(np.searchsorted(k, long_run[0], "right"))):
+            new = v[:same] != long_run[2]
+            yield _rows(np.full(int(new.sum()), long_run[1]), v[:same][new], np.zeros(int(new.sum())))
+            long_run = (*long_run[:2], v[same - 1])
+            k, v = k[same:], v[same:]
+        first, held = _runs(k)
+        done = len(first) if batch is None else len(first) - 1
+        stop = first[done] if done < len(first) else len(k)
+        ids = number + np.arange(done) + (np.minimum(held[:done], MOST_HELD) << 51)
+        number += done
+        take = np.repeat(held[:done] > 1, held[:done])
+        yield _rows(np.repeat(ids, held[:done])[take], v[:stop][take], np.zeros(int(take.sum())))
+        k, v = k[stop:], v[stop:]
+        if len(k) > MOST_HELD:
+            long_run = (k[0], number + (MOST_HELD << 51), v[-1])
+            number += 1
+            yield _rows(np.full(len(k), long_run[1]), v, np.zeros(len(k)))
+            k = v = k[:0]
+
+
+def _and_last(batches):
+    """The batches that have rows, then None."""
+    yield from (b for b in batches if b.num_rows)
+    yield None
+
+
+def _prefixes(similarity: tuple[int, int]):
+    """Of rows sorted by (v, w, k): each sketch's rarest D + 1 blocks, as far as shared, as (k, node, size); texts as they are."""
+    def run(batches):
+        k = v = w = np.zeros(0, np.int64)
+        for batch in _and_last(batches):
+            if batch is not None:
+                new = [batch.column(c).to_numpy() for c in ("k", "v", "w")]
+                text = (new[2] < 0) & (new[2] & 1 == 1)
+                if text.any():
+                    yield _rows(*(x[text] for x in new))
+                k, v, w = (np.concatenate([x, y[~text]]) for x, y in zip((k, v, w), new))
+            if not len(k):
+                continue
+            fresh = np.concatenate([[True], (v[1:] != v[:-1]) | (k[1:] != k[:-1]) | (w[1:] != w[:-1])])
+            k, v, w = k[fresh], v[fresh], w[fresh]
+            first, rows = _runs(v)
+            done = len(first) if batch is None else len(first) - 1
+            stop = first[done] if done < len(first) else len(k)
+            at, shared = first[:done], rows[:done] - 1
+            size, blocks = k[at], (-2 - w[at]) // 2
+            need = most_different(size, similarity) + 1 - (blocks - shared)
+            place = np.arange(stop) - np.repeat(at, rows[:done])
+            keep = (place > 0) & (place <= np.repeat(need, rows[:done]))
+            yield _rows(k[:stop][keep], v[:stop][keep] & ~1, np.repeat(size, rows[:done])[keep])
+            k, v, w = k[stop:], v[stop:], w[stop:]
+    return run
+
+
+def _candidates(similarity: tuple[int, int]):
+    """Of rows (block, node, size) sorted by block and node: pairs (u, v, 0), and the members of large groups as they are."""
+    a, c = similarity
+
+    def pairs(u, v, us, vs):
+        near = (us * c >= vs * a) & (vs * c >= us * a) & (u != v)
+        return _rows(u[near], v[near], np.zeros(int(near.sum())))
+
+    def run(batches):
+        k = v = w = np.zeros(0, np.int64)
+        large = None                             # block, first node and its size of a large group still going on
+        for batch in _and_last(batches):
+            if batch is not None:
+                k, v, w = (np.concatenate([x, batch.column(n).to_numpy()]) for x, n in zip((k, v, w), "kvw"))
+            if not len(k):
+                continue
+            fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])
+            k, v, w = k[fresh], v[fresh], w[fresh]
+            if large is not None and (same := int(np.searchsorted(k, large[0], "right"))):
+                yield pairs(np.full(same, large[1]), v[:same], np.full(same, large[2]), w[:same])
+                yield _rows(k[:same], v[:same], w[:same])
+                k, v, w = k[same:], v[same:], w[same:]
+            first, rows = _runs(k)
+            if not len(first):
+                continue
+            done = len(first) if batch is None or rows[-1] > SMALL_GROUP else len(first) - 1
+            if done == len(first):
+                large = (k[first[-1]], v[first[-1]], w[first[-1]]) if rows[-1] > SMALL_GROUP else None
+            stop = first[done] if done < len(first) else len(k)
+            size = np.repeat(rows[:done], rows[:done])
+            few = size <= SMALL_GROUP
+            for d in range(1, SMALL_GROUP):
+                at = np.flatnonzero(few[d:] & (k[d:stop] == k[:max(stop - d, 0)]))
+                yield pairs(v[at], v[at + d], w[at], w[at + d])
+            many = np.flatnonzero(~few)
+            head = np.repeat(first[:done], rows[:done])[many]
+            yield pairs(v[head], v[many], w[head], w[many])
+            yield _rows(k[many], v[many], w[many])
+            k, v, w = k[stop:], v[stop:], w[stop:]
+    return run
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, similarity: tuple[int, int]) -> DataFrame:
@@ -192,56 +295,32 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, similarity: tuple[int,
     return materialize(both.filter(linked).select("u", "v"), "links")
 
 
-def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int] = SIMILARITY,
+                   seed: int = SEED) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row."""
     texts = documents(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     a, c = similarity
-    allowed = F.floor(F.col("size") * (c - a) / a)
-    for seed in range(SEEDS):
-        index = materialize(_index(texts, n, similarity, seed).repartition("k").sortWithinPartitions("k", "v")
-                            .mapInArrow(_shared_blocks, INDEX_SCHEMA), "index")
-        sketched = index.filter("w < 0").select(
-            F.col("k").alias("v"), F.col("v").alias("size"), (-1 - F.col("w")).alias("blocks")).distinct()
-        if sketched.filter(F.col("blocks") <= allowed).limit(1).count() == 0:   # else some set met no pigeonhole
-            break
-    else:
-        raise RuntimeError("no seed gives every set enough blocks")
-    rows = index.filter("w > 0").select(F.col("k").alias("doc_id"), F.col("v").alias("node"), (F.col("w") - 1).alias("size"))
-
-    blocks = index.filter("w = 0").select("k", "v")
-    ranked = blocks.join(blocks.groupBy("k").agg(F.count("*").alias("held")), "k").join(sketched, "v")
-    order = Window.partitionBy("v").orderBy("held", "k")
-    full = Window.partitionBy("v")
-    alone = F.col("blocks") - F.count("*").over(full)
-    prefix = (ranked.withColumn("place", F.row_number().over(order) + alone)
-              .filter(F.col("place") <= allowed + 1)
-              .select("k", F.col("v").bitwiseAND(F.lit(-2)).alias("node"), "size"))
-    prefix = materialize(prefix.distinct(), "prefix")
-    groups = prefix.groupBy("k").agg(F.count("*").alias("members"), F.min(F.struct("node", "size")).alias("first"))
-    prefix = materialize(prefix.join(groups.filter("members > 1"), "k"), "groups")
-
-    def near(one: str, two: str):
-        return (F.col(one) * c >= F.col(two) * a) & (F.col(two) * c >= F.col(one) * a)
-
-    small = prefix.filter(F.col("members") <= SMALL_GROUP).select("k", "node", "size")
-    large = prefix.filter(F.col("members") > SMALL_GROUP)
-    left = small.select("k", F.col("node").alias("u"), F.col("size").alias("us"))
-    right = small.select("k", F.col("node").alias("v"), F.col("size").alias("vs"))
-    pairs = left.join(right, "k").filter(F.col("u") < F.col("v")).filter(near("us", "vs")).select("u", "v").union(
-        large.select(F.col("first.node").alias("u"), F.col("first.size").alias("us"),
-                     F.col("node").alias("v"), F.col("size").alias("vs"))
-        .filter((F.col("u") < F.col("v")) & near("us", "vs")).select("u", "v"))
-    links = _verified(pairs.distinct(), texts, n, similarity)
+    blocks = (_index(texts, n, similarity, seed).repartition("k").sortWithinPartitions("k", "v")
+              .mapInArrow(_shared_blocks, INDEX_SCHEMA))
+    is_text = (F.col("w") < 0) & (F.col("w").bitwiseAND(1) == 1)
+    index = materialize(blocks.repartition(F.when(is_text, F.col("k")).otherwise(F.col("v")))
+                        .sortWithinPartitions("v", "w", "k").mapInArrow(_prefixes(similarity), INDEX_SCHEMA), "index")
+    rows = index.filter("w < 0").select(
+        F.col("k").alias("doc_id"), F.col("v").alias("node"), F.floor((-1 - F.col("w")) / 2).cast("long").alias("size"))
+    found = materialize(index.filter("w > 0").repartition("k").sortWithinPartitions("k", "v")
+                        .mapInArrow(_candidates(similarity), INDEX_SCHEMA), "candidates")
+    links = _verified(found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct(), texts, n, similarity)
     roots = materialize(components(links), "roots")
 
-    placed = large.join(roots, "node", "left").select(
-        "k", "node", "size", F.coalesce("root", "node").alias("root"))
+    large = found.filter("w > 0").select("k", F.col("v").alias("node"), F.col("w").alias("size"))
+    placed = large.join(roots, "node", "left").select("k", "node", "size", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     placed = materialize(placed.join(mixed.select("k"), "k"), "mixed")
     if placed.limit(1).count():
         one = placed.select("k", F.col("node").alias("u"), F.col("size").alias("us"), F.col("root").alias("ur"))
         two = placed.select("k", F.col("node").alias("v"), F.col("size").alias("vs"), F.col("root").alias("vr"))
-        across = one.join(two, "k").filter((F.col("ur") < F.col("vr")) & near("us", "vs")).select(
+        near = (F.col("us") * c >= F.col("vs") * a) & (F.col("vs") * c >= F.col("us") * a)
+        across = one.join(two, "k").filter((F.col("ur") < F.col("vr")) & near).select(
             F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         more = _verified(across, texts, n, similarity)
         roots = materialize(components(links.union(more)), "roots")
