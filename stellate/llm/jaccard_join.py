@@ -14,7 +14,8 @@ contain an equal one: only these are joined, so frequent blocks drop out
 unless a text consists of them.  Sets that share a block are candidates: in
 small groups all pairs, in large ones each with the group's first set, then,
 after components are known, each pair across components.  Every candidate is
-verified on the sets themselves.  Equal sets are one node of the graph.
+verified: whole sketches that differ in too many bits rule a pair out, the
+sets themselves decide the rest.  Equal sets are one node of the graph.
 
 Texts: null counts as empty; texts without words have an empty set and stay
 alone.  Repeated rows are equal sets.  A null id takes part; the smallest id
@@ -99,17 +100,35 @@ def sketch_blocks(key: np.ndarray, k: int, b: int, seed: int) -> np.ndarray:
     return scan.mix64(parity[keep] ^ scan.mix64(block[first][keep] + np.uint64(((b + 1) << 40) + (seed << 56))))
 
 
-INDEX_SCHEMA = "k long, v long, w long"
+INDEX_SCHEMA = "k long, v long, w long, s binary"
 
 
-def _rows(k: np.ndarray, v: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (k, v, w)], ["k", "v", "w"])
+def _rows(k: np.ndarray, v: np.ndarray, w: np.ndarray, s: list | None = None) -> pa.RecordBatch:
+    sketch = pa.nulls(len(k), pa.binary()) if s is None else pa.array(s, pa.binary())
+    return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in (k, v, w)), sketch], ["k", "v", "w", "s"])
+
+
+def whole_sketch(key: np.ndarray) -> bytes:
+    """Parity of the shingles by bit position, in as many bits as the band's largest size."""
+    bits_used = 1 << max(6, int(len(key)).bit_length())
+    place = scan.mix64(key ^ np.uint64(0x6A09E667F3BCC909)) & np.uint64(bits_used - 1)
+    return np.packbits((np.bincount(place.astype(np.int64), minlength=bits_used) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Differing bits of rows of bytes; the longer sketches are folded onto the shorter ones' length."""
+    while one.shape[1] != two.shape[1]:
+        if one.shape[1] < two.shape[1]:
+            one, two = two, one
+        half = one.shape[1] // 2
+        one = one[:, :half] ^ one[:, half:]
+    return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
 
 
 def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) -> DataFrame:
     """Rows of three kinds, told apart by w.
 
-    Blocks: (block hash, node and slot, 0); texts: (doc_id, node, -1 - 2 * size);
+    Blocks: (block hash, node and slot, 0); texts: (doc_id, node, -1 - 2 * size, sketch of the whole set);
     sketches: (size, node and slot, -2 - 2 * number of blocks).
     """
     a, c = similarity
@@ -120,6 +139,7 @@ def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) ->
             key, bound, node = shingle_sets(data, offs, n)
             size = np.diff(bound)
             out = [[part.column("doc_id").fill_null(NULL_ID).to_numpy()], [scan.signed(node)], [-1 - 2 * size]]
+            sketches = [None] * part.num_rows
             for d in np.flatnonzero(size * (c - a) >= a).tolist():      # smaller sets only have equal partners
                 name = int(node[d])
                 if name in seen:                                         # copies: once a task
@@ -127,6 +147,7 @@ def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) ->
                 seen.add(name)
                 s = int(size[d])
                 own = band(s)
+                sketches[d] = whole_sketch(key[bound[d]:bound[d + 1]])
                 for slot, b in enumerate([own] + [own + 1] * (band(s * c // a) > own)):
                     made = sketch_blocks(key[bound[d]:bound[d + 1]], band_blocks(b), b, seed)
                     if len(made) <= most_different(s, similarity):
@@ -135,7 +156,8 @@ def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) ->
                     out[0] += [scan.signed(made), np.array([s])]
                     out[1] += [np.repeat(v, len(made)), v]
                     out[2] += [np.zeros(len(made), np.int64), np.array([-2 - 2 * len(made)])]
-            yield _rows(*(np.concatenate(x) for x in out))
+            k, v, w = (np.concatenate(x) for x in out)
+            yield _rows(k, v, w, sketches + [None] * (len(k) - part.num_rows))
 
     return texts.mapInArrow(run, INDEX_SCHEMA)
 
@@ -160,7 +182,7 @@ def _shared_blocks(batches):
             nk, nv, nw = (batch.column(c).to_numpy() for c in ("k", "v", "w"))
             other = nw != 0
             if other.any():
-                yield _rows(nk[other], nv[other], nw[other])
+                yield batch.filter(pa.array(other))
             k, v = np.concatenate([k, nk[~other]]), np.concatenate([v, nv[~other]])
         if not len(k):
             continue
@@ -201,7 +223,7 @@ def _prefixes(similarity: tuple[int, int]):
                 new = [batch.column(c).to_numpy() for c in ("k", "v", "w")]
                 text = (new[2] < 0) & (new[2] & 1 == 1)
                 if text.any():
-                    yield _rows(*(x[text] for x in new))
+                    yield batch.filter(pa.array(text))
                 k, v, w = (np.concatenate([x, y[~text]]) for x, y in zip((k, v, w), new))
             if not len(k):
                 continue
@@ -262,9 +284,32 @@ def _candidates(similarity: tuple[int, int]):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, similarity: tuple[int, int]) -> DataFrame:
+def _near(pairs: DataFrame, sketches: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` (u, v) whose sketches differ in no more bits than the sets may at the similarity."""
+    a, c = similarity
+
+    def run(batches):
+        for b in batches:
+            us, vs = (b.column(n).to_numpy() for n in ("us", "vs"))
+            most = (us + vs) * (c - a) // (c + a)
+            lengths = [np.array([len(x) for x in b.column(n).to_pylist()]) for n in ("one", "two")]
+            keep = np.zeros(b.num_rows, bool)
+            for x, y in set(zip(*(n.tolist() for n in lengths))):
+                at = np.flatnonzero((lengths[0] == x) & (lengths[1] == y))
+                one, two = (np.frombuffer(b"".join(b.column(n).take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)
+                            for n in ("one", "two"))
+                keep[at] = sketch_distance(one, two) <= most[at]
+            yield b.select(["u", "v"]).filter(pa.array(keep))
+
+    def side(name, sketch, size):
+        return sketches.select(F.col("node").alias(name), F.col("sketch").alias(sketch), F.col("size").alias(size))
+
+    return pairs.join(side("u", "one", "us"), "u").join(side("v", "two", "vs"), "v").mapInArrow(run, "u long, v long")
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, similarity: tuple[int, int]) -> DataFrame:
     """The (u, v) of ``pairs`` at the similarity or above, decided on the sets themselves."""
-    pairs = materialize(pairs, "pairs")
+    pairs = materialize(_near(pairs, sketches, similarity), "pairs")
     nodes = materialize(pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct(), "nodes")
     shared = pairs.sparkSession.sparkContext.broadcast(bits.build(nodes, FILTER_BLOCKS, 3))
 
@@ -307,9 +352,11 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
                         .sortWithinPartitions("v", "w", "k").mapInArrow(_prefixes(similarity), INDEX_SCHEMA), "index")
     rows = index.filter("w < 0").select(
         F.col("k").alias("doc_id"), F.col("v").alias("node"), F.floor((-1 - F.col("w")) / 2).cast("long").alias("size"))
+    sketches = materialize(index.filter("w < 0 and s is not null").groupBy(F.col("v").alias("node")).agg(
+        F.first("s").alias("sketch"), F.max(F.floor((-1 - F.col("w")) / 2).cast("long")).alias("size")), "sketches")
     found = materialize(index.filter("w > 0").repartition("k").sortWithinPartitions("k", "v")
                         .mapInArrow(_candidates(similarity), INDEX_SCHEMA), "candidates")
-    links = _verified(found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct(), texts, n, similarity)
+    links = _verified(found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct(), sketches, texts, n, similarity)
     roots = materialize(components(links), "roots")
 
     large = found.filter("w > 0").select("k", F.col("v").alias("node"), F.col("w").alias("size"))
@@ -322,7 +369,7 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
         near = (F.col("us") * c >= F.col("vs") * a) & (F.col("vs") * c >= F.col("us") * a)
         across = one.join(two, "k").filter((F.col("ur") < F.col("vr")) & near).select(
             F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        more = _verified(across, texts, n, similarity)
+        more = _verified(across, sketches, texts, n, similarity)
         roots = materialize(components(links.union(more)), "roots")
 
     real = F.when(F.col("doc_id") != NULL_ID, F.col("doc_id"))
