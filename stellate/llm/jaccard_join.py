@@ -13,7 +13,8 @@ blocks of each set, ordered by how many sets hold them, the first D + 1 must
 contain an equal one: only these are joined, so frequent blocks drop out
 unless a text consists of them.  Sets that share a block are candidates: in
 small groups all pairs, in large ones each with the group's first set, then,
-after components are known, each pair across components.  Every candidate is
+after components are known, each pair across components that the whole
+sketches allow, compared in bounded chunks.  Every candidate is
 verified: whole sketches that differ in too many bits rule a pair out, the
 sets themselves decide the rest.  Equal sets are one node of the graph.
 
@@ -25,6 +26,9 @@ Shingles are told apart by 64-bit hashes, sets by 63 bits over all of them.
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -37,10 +41,9 @@ from stellate.llm.components import components
 
 WORDS = 5
 SIMILARITY = (80, 100)
-#: Blocks for sets of 2^b to 2^(b+1) - 1 shingles, from b = 0 on; beyond the list 1 for 3.5 shingles of the largest.
-#: So many that a set's sketch has more than D blocks that are not zero, short of odds below 1e-20.
-BLOCKS = (4096, 4096, 4096, 1024, 512, 512, 64, 88, 160, 310, 602)
+SIGMAS = 9.0
 SMALL_GROUP = 12
+CHUNK = 2048
 #: Blocks that more sets hold rank alike.
 MOST_HELD = (1 << 12) - 1
 FILTER_BLOCKS = 1 << 17
@@ -49,11 +52,30 @@ NULL_ID = -(1 << 63)
 
 
 def band(size: int) -> int:
-    return size.bit_length() - 1
+    """Bands grow by the square root of two."""
+    b = 2 * size.bit_length() - 2
+    return b + (size * size >= 1 << (b + 1))
 
 
+@lru_cache(None)
 def band_blocks(b: int) -> int:
-    return BLOCKS[b] if b < len(BLOCKS) else int(2 ** (b + 1) / 3.5)
+    """As few blocks as leave the largest set of a band more than D of them that are not zero.
+
+    ``SIGMAS`` standard deviations of the number of occupied blocks are kept
+    as margin: odds below 1e-18 a set.  The fewer the blocks, the more
+    shingles each holds and the fewer sets share one by chance.
+    """
+    top = math.isqrt((1 << (b + 1)) - 1)
+    if top < 32:
+        return 4096 if top < 16 else 512
+    k = top // 4
+    while True:
+        k += max(1, k // 64)
+        x = top / k
+        empty = math.exp(-x)
+        filled = k * (1 - empty - empty * x * x / 128)
+        if filled - SIGMAS * math.sqrt(k * empty * (1 - (1 + x) * empty)) > most_different(top) + 1:
+            return k
 
 
 def most_different(size, similarity: tuple[int, int] = SIMILARITY) -> int:
@@ -307,9 +329,63 @@ def _near(pairs: DataFrame, sketches: DataFrame, similarity: tuple[int, int]) ->
     return pairs.join(side("u", "one", "us"), "u").join(side("v", "two", "vs"), "v").mapInArrow(run, "u long, v long")
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, n: int, similarity: tuple[int, int]) -> DataFrame:
+def _across(similarity: tuple[int, int]):
+    """Of members sorted by (k, lo, hi): pairs of different roots whose sketches allow the similarity.
+
+    A group is dealt out in pairs (lo, hi) of chunks, so what is held here is two chunks.
+    """
+    a, c = similarity
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        node, root, size, chunk = (t.column(n).to_numpy() for n in ("node", "root", "size", "chunk"))
+        apart = t.column("lo")[0] != t.column("hi")[0]
+        raw = t.column("sketch").to_pylist()
+        length = np.array([len(x) for x in raw])
+        us, vs = [], []
+        for x in np.unique(length):
+            here = np.flatnonzero(length == x)
+            one = np.frombuffer(b"".join(raw[i] for i in here), np.uint8).reshape(len(here), -1)
+            for y in np.unique(length[length >= x]):
+                there = np.flatnonzero(length == y)
+                two = np.frombuffer(b"".join(raw[i] for i in there), np.uint8).reshape(len(there), -1)
+                while two.shape[1] > one.shape[1]:
+                    two = two[:, :two.shape[1] // 2] ^ two[:, two.shape[1] // 2:]
+                for row, i in enumerate(here):
+                    j = there if y > x else there[row + 1:]
+                    ok = (root[j] != root[i]) & (size[j] * c >= size[i] * a) & (size[i] * c >= size[j] * a)
+                    if apart:
+                        ok &= chunk[j] != chunk[i]
+                    at = np.flatnonzero(ok)
+                    if not len(at):
+                        continue
+                    other = two[at] if y > x else two[row + 1:][at]
+                    differ = np.bitwise_count(other ^ one[row]).sum(axis=1, dtype=np.int64)
+                    at = at[differ <= (size[j[at]] + size[i]) * (c - a) // (c + a)]
+                    us.append(np.minimum(node[j[at]], node[i]))
+                    vs.append(np.maximum(node[j[at]], node[i]))
+        none = [np.zeros(0, np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us + none)), pa.array(np.concatenate(vs + none))], ["u", "v"])
+
+    def run(batches):
+        held = None
+        for batch in _and_last(batches):
+            if batch is not None:
+                t = pa.Table.from_batches([batch])
+                held = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+            if held is None or not held.num_rows:
+                continue
+            key = np.stack([held.column(n).to_numpy().astype(np.int64) for n in ("k", "lo", "hi")], axis=1)
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+            stop = np.append(first[1:], len(key))
+            done = len(first) if batch is None else len(first) - 1
+            for i in range(done):
+                yield compare(held.slice(first[i], stop[i] - first[i]))
+            held = held.slice(first[done]) if done < len(first) else None
+    return run
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, similarity: tuple[int, int]) -> DataFrame:
     """The (u, v) of ``pairs`` at the similarity or above, decided on the sets themselves."""
-    pairs = materialize(_near(pairs, sketches, similarity), "pairs")
     nodes = materialize(pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct(), "nodes")
     shared = pairs.sparkSession.sparkContext.broadcast(bits.build(nodes, FILTER_BLOCKS, 3))
 
@@ -356,21 +432,23 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
         F.first("s").alias("sketch"), F.max(F.floor((-1 - F.col("w")) / 2).cast("long")).alias("size")), "sketches")
     found = materialize(index.filter("w > 0").repartition("k").sortWithinPartitions("k", "v")
                         .mapInArrow(_candidates(similarity), INDEX_SCHEMA), "candidates")
-    links = _verified(found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct(), sketches, texts, n, similarity)
+    pairs = found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct()
+    links = _verified(materialize(_near(pairs, sketches, similarity), "pairs"), texts, n, similarity)
     roots = materialize(components(links), "roots")
 
     large = found.filter("w > 0").select("k", F.col("v").alias("node"), F.col("w").alias("size"))
-    placed = large.join(roots, "node", "left").select("k", "node", "size", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    placed = materialize(placed.join(mixed.select("k"), "k"), "mixed")
-    if placed.limit(1).count():
-        one = placed.select("k", F.col("node").alias("u"), F.col("size").alias("us"), F.col("root").alias("ur"))
-        two = placed.select("k", F.col("node").alias("v"), F.col("size").alias("vs"), F.col("root").alias("vr"))
-        near = (F.col("us") * c >= F.col("vs") * a) & (F.col("vs") * c >= F.col("us") * a)
-        across = one.join(two, "k").filter((F.col("ur") < F.col("vr")) & near).select(
-            F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        more = _verified(across, sketches, texts, n, similarity)
-        roots = materialize(components(links.union(more)), "roots")
+    placed = large.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter(
+        "low < high").select("k", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    dealt = (placed.join(mixed, "k").join(sketches, "node")
+             .withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .select("k", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                     "chunk", "node", "root", "size", "sketch"))
+    across = materialize(dealt.repartition("k", "lo", "hi").sortWithinPartitions("k", "lo", "hi", "node")
+                         .mapInArrow(_across(similarity), "u long, v long").distinct(), "across")
+    if across.limit(1).count():
+        roots = materialize(components(links.union(_verified(across, texts, n, similarity))), "roots")
 
     real = F.when(F.col("doc_id") != NULL_ID, F.col("doc_id"))
     nodes = rows.filter("size > 0").groupBy("node").agg(F.min(real).alias("least"))
