@@ -12,7 +12,7 @@ Blocks that only one set holds can't match.  By the same count, among the
 blocks of each set, ordered by how many sets hold them, the first D + 1 must
 contain an equal one: only these are joined, so frequent blocks drop out
 unless a text consists of them.  Sets that share a block are candidates: in
-small groups all pairs, in large ones each with the group's first set, then,
+small groups all pairs, in large ones each with the set that shares most with others, then,
 after components are known, each pair across components that the whole
 sketches allow, compared in bounded chunks.  Every candidate is
 verified: whole sketches that differ in too many bits rule a pair out, the
@@ -44,6 +44,8 @@ SIMILARITY = (80, 100)
 SIGMAS = 9.0
 SMALL_GROUP = 12
 CHUNK = 2048
+#: In candidates: bits of the size; above them how much of the set other sets share.
+SIZE_BITS = 40
 #: Blocks that more sets hold rank alike.
 MOST_HELD = (1 << 12) - 1
 FILTER_BLOCKS = 1 << 17
@@ -237,7 +239,7 @@ def _and_last(batches):
 
 
 def _prefixes(similarity: tuple[int, int]):
-    """Of rows sorted by (v, w, k): each sketch's rarest D + 1 blocks, as far as shared, as (k, node, size); texts as they are."""
+    """Of rows sorted by (v, w, k): each sketch's rarest D + 1 blocks, as far as shared, as (k, node, rank and size); texts as they are."""
     def run(batches):
         k = v = w = np.zeros(0, np.int64)
         for batch in _and_last(batches):
@@ -259,16 +261,22 @@ def _prefixes(similarity: tuple[int, int]):
             need = most_different(size, similarity) + 1 - (blocks - shared)
             place = np.arange(stop) - np.repeat(at, rows[:done])
             keep = (place > 0) & (place <= np.repeat(need, rows[:done]))
-            yield _rows(k[:stop][keep], v[:stop][keep] & ~1, np.repeat(size, rows[:done])[keep])
+            rank = np.clip(need * 1000 // np.maximum(size, 1), 0, 1000) << SIZE_BITS | size
+            yield _rows(k[:stop][keep], v[:stop][keep] & ~1, np.repeat(rank, rows[:done])[keep])
             k, v, w = k[stop:], v[stop:], w[stop:]
     return run
 
 
 def _candidates(similarity: tuple[int, int]):
-    """Of rows (block, node, size) sorted by block and node: pairs (u, v, 0), and the members of large groups as they are."""
+    """Of rows (block, node, rank and size) sorted by block and falling rank: pairs (u, v, 0), and large groups as they are.
+
+    The first set of a large group is the one that shares most with others: of edited copies, the original.
+    """
     a, c = similarity
 
     def pairs(u, v, us, vs):
+        us, vs = (x & ((1 << SIZE_BITS) - 1) for x in (us, vs))
+        u, v = np.minimum(u, v), np.maximum(u, v)
         near = (us * c >= vs * a) & (vs * c >= us * a) & (u != v)
         return _rows(u[near], v[near], np.zeros(int(near.sum())))
 
@@ -280,8 +288,6 @@ def _candidates(similarity: tuple[int, int]):
                 k, v, w = (np.concatenate([x, batch.column(n).to_numpy()]) for x, n in zip((k, v, w), "kvw"))
             if not len(k):
                 continue
-            fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])
-            k, v, w = k[fresh], v[fresh], w[fresh]
             if large is not None and (same := int(np.searchsorted(k, large[0], "right"))):
                 yield pairs(np.full(same, large[1]), v[:same], np.full(same, large[2]), w[:same])
                 yield _rows(k[:same], v[:same], w[:same])
@@ -430,7 +436,7 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
         F.col("k").alias("doc_id"), F.col("v").alias("node"), F.floor((-1 - F.col("w")) / 2).cast("long").alias("size"))
     sketches = materialize(index.filter("w < 0 and s is not null").groupBy(F.col("v").alias("node")).agg(
         F.first("s").alias("sketch"), F.max(F.floor((-1 - F.col("w")) / 2).cast("long")).alias("size")), "sketches")
-    found = materialize(index.filter("w > 0").repartition("k").sortWithinPartitions("k", "v")
+    found = materialize(index.filter("w > 0").repartition("k").sortWithinPartitions("k", F.col("w").desc(), "v")
                         .mapInArrow(_candidates(similarity), INDEX_SCHEMA), "candidates")
     pairs = found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct()
     links = _verified(materialize(_near(pairs, sketches, similarity), "pairs"), texts, n, similarity)
