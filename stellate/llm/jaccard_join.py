@@ -217,6 +217,8 @@ def _shared_blocks(batches):
             yield _rows(np.full(int(new.sum()), long_run[1]), v[:same][new], np.zeros(int(new.sum())))
             long_run = (*long_run[:2], v[same - 1])
             k, v = k[same:], v[same:]
+            if not len(k):
+                continue
         first, held = _runs(k)
         done = len(first) if batch is None else len(first) - 1
         stop = first[done] if done < len(first) else len(k)

@@ -6,7 +6,7 @@ stands for: look-alike characters become ASCII and invisible ones vanish,
 ``[at]``/``(dot)`` and spelled ``at``/``dot`` become signs, runs of spelled
 digits become digits.  Identifiers found in the rewritten text that contain a
 rewritten character are mapped back and added, unless a plain one of the same
-kind overlaps.  Spans are code points, end exclusive.
+kind covers them.  Spans are code points, end exclusive.
 
 Null text counts as empty and has no spans; rows with null or repeated ids
 are treated like any other; an empty table gives no rows.
@@ -174,7 +174,7 @@ def disguised(text: str, base: dict[str, list[tuple[int, int]]], strange: bool)
         for a, b in spans:
             if r.new[a:b].any():
                 s, e = int(r.start[a]), int(r.end[b - 1])
-                if all(e <= x or y <= s for x, y in taken):
+                if not any(x <= s and e <= y for x, y in taken):
                     out.append((s, kind, e))
     return out
 
