@@ -54,8 +54,10 @@ DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
 _NUMBER = "(?:" + "|".join(DIGITS) + ")"
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _DOT = rf"(?:\s*{_OPEN}\s*dot\s*{_CLOSE}\s*|\s+dot\s+)"
+#: Last labels that make a plainly spelled "at ... dot ..." an address and not prose.
+LABELS = "com|org|net|edu|gov|info|biz|io|co|eu|de|fr|es|it|nl|ch|at|uk|us|ca|au|jp|in|br|ru|cn"
 REWRITES = re.compile(
-    rf"(?P<at>\s*{_OPEN}\s*at\s*{_CLOSE}\s*|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+{_DOT}))"
+    rf"(?P<at>\s*{_OPEN}\s*at\s*{_CLOSE}\s*|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+(?:{_DOT}[a-z0-9-]+)*?{_DOT}(?:{LABELS})\b))"
     rf"|(?P<dot>{_DOT})"
     rf"|(?P<digits>\b(?:plus\s+)?{_NUMBER}(?:(?:\s|[,-]\s?){_NUMBER}){{2,}}\b|\b{_NUMBER}(?={_DOT})|(?<=dot )(?:{_NUMBER})\b)",
     re.IGNORECASE)
