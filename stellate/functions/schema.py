@@ -45,15 +45,15 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def infer_types(df: DataFrame) -> DataFrame:
-    """Type text columns from their content: bigint, else double, else string.
+def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Type text columns (or those listed) from their content: bigint, else double, else string.
 
     One aggregation counts, per column, the non-null values and how many of
     them cast cleanly to bigint and to double; only those counts reach the
     driver.  A column whose every non-null value converts gets that type
     (blanks become null, so an integer column with gaps stays integral).
     """
-    text = [c for c, t in df.dtypes if t == "string"]
+    text = [c for c, t in df.dtypes if t == "string" and (columns is None or c in columns)]
     if not text:
         return df
     aggs = []

@@ -3,6 +3,10 @@
 CSV inputs are read as text (no ``inferSchema``: no sampling pass, and no
 type guess that changes between files); typing is an explicit later step
 (``functions.text``, ``functions.schema.apply_mapping``).
+
+Spark maps columns by position, so every file's header is checked against the
+schema (``enforceSchema=false``): a file whose columns come in another order,
+or under other names, fails the job instead of swapping values.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ def read_csv(spark: SparkSession, path: str, normalise: bool = True,
     Spark skips the header-sampling job.  ``encoding`` names the file
     charset (e.g. ``ISO-8859-1`` for extracts that are not UTF-8).
     """
-    r = spark.read.option("header", True).option("encoding", encoding)
+    r = spark.read.option("header", True).option("enforceSchema", False).option("encoding", encoding)
     if columns:
         r = r.schema(StructType([StructField(c, StringType()) for c in columns]))
     df = r.csv(path)
@@ -30,7 +34,7 @@ def read_csv(spark: SparkSession, path: str, normalise: bool = True,
 
 def read_csv_tree(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """Every CSV file below ``path`` (recursively), header names kept as they are."""
-    return (spark.read.option("header", True).option("recursiveFileLookup", True)
+    return (spark.read.option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
                  .option("encoding", encoding).option("pathGlobFilter", "*.csv").csv(path))
 
 

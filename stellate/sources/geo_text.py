@@ -9,6 +9,9 @@ Both yield attribute columns plus ``geometry`` in the layout of
 * KML: the XML reader with ``rowTag=Placemark``; ``coordinates`` text
   (``x,y[,z] x,y[,z] ...``) is parsed with built-in string functions.
 
+A malformed document, a geometry that is neither of the two kinds or a
+coordinate that is no number fails the job: nothing is left out silently.
+
 The ``write_*`` functions produce such files from a DataFrame (used to
 build fixtures from tables): features are grouped into files by a hash
 bucket, so every file holds a bounded number of features.
@@ -43,14 +46,17 @@ _FC_SCHEMA = StructType([
 
 
 def _geometry_from_json(gtype: Column, coords: Column) -> Column:
-    return (F.when(gtype == "Polygon", F.array(F.from_json(coords, "array<array<array<double>>>")))
-             .when(gtype == "MultiPolygon", F.from_json(coords, GEOM_TYPE)))
+    strict = {"mode": "FAILFAST"}
+    return (F.when(gtype == "Polygon", F.array(F.from_json(coords, "array<array<array<double>>>", strict)))
+             .when(gtype == "MultiPolygon", F.from_json(coords, GEOM_TYPE, strict))
+             .when(gtype.isNotNull(), F.raise_error(F.concat(F.lit("GeoJSON: unsupported geometry "), gtype))))
 
 
 def read_geojson(spark: SparkSession, path: str, properties: list[str] | None = None,
                  glob: str = GEOJSON_GLOB) -> DataFrame:
     """One row per feature: the listed properties (text) and ``geometry``."""
-    fc = (spark.read.schema(_FC_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True)
+    fc = (spark.read.schema(_FC_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
+               .option("recursiveFileLookup", True)
                .option("pathGlobFilter", glob).json(path))
     f = fc.select(F.explode("features").alias("f"))
     geom = _geometry_from_json(F.col("f.geometry.type"), F.col("f.geometry.coordinates")).alias("geometry")
@@ -104,10 +110,12 @@ def write_geojson(df: DataFrame, path: str, properties: list[str], geom: str = "
 # ---- KML ----------------------------------------------------------------------------
 
 def _ring_from_text(text: Column) -> Column:
-    pts = F.split(F.trim(text), r"\s+")
-    return F.filter(F.transform(pts, lambda p: F.array(F.get(F.split(p, ","), 0).try_cast("double"),
-                                                      F.get(F.split(p, ","), 1).try_cast("double"))),
-                    lambda a: F.get(a, 0).isNotNull() & F.get(a, 1).isNotNull())
+    def number(point: Column, i: int) -> Column:
+        value = F.get(F.split(point, ","), i).try_cast("double")
+        return F.coalesce(value, F.raise_error(F.concat(F.lit("KML: no coordinate pair: "), point)).cast("double"))
+
+    pts = F.filter(F.split(F.trim(text), r"\s+"), lambda p: p != "")
+    return F.transform(pts, lambda p: F.array(number(p, 0), number(p, 1)))
 
 
 def _polygon_from_struct(poly: Column) -> Column:
@@ -129,7 +137,7 @@ _PLACEMARK = StructType([
 
 def read_kml(spark: SparkSession, path: str, glob: str = KML_GLOB) -> DataFrame:
     """One row per Placemark: ``Name``, ``Description`` (HTML text) and ``geometry``."""
-    pm = (spark.read.format("xml").option("rowTag", "Placemark").schema(_PLACEMARK)
+    pm = (spark.read.format("xml").option("rowTag", "Placemark").option("mode", "FAILFAST").schema(_PLACEMARK)
                .option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path))
     geom = (F.when(F.col("Polygon").isNotNull(), F.array(_polygon_from_struct(F.col("Polygon"))))
              .when(F.col("MultiGeometry").isNotNull(),
@@ -153,7 +161,7 @@ def _coords_text(ring: Column) -> Column:
 def _kml_polygon(poly: Column) -> Column:
     outer = F.concat(F.lit("<outerBoundaryIs><LinearRing><coordinates>"), _coords_text(F.get(poly, 0)),
                      F.lit("</coordinates></LinearRing></outerBoundaryIs>"))
-    inner = F.array_join(F.transform(F.slice(poly, 2, 1 << 20), lambda r: F.concat(
+    inner = F.array_join(F.transform(F.slice(poly, F.lit(2), F.size(poly)), lambda r: F.concat(
         F.lit("<innerBoundaryIs><LinearRing><coordinates>"), _coords_text(r),
         F.lit("</coordinates></LinearRing></innerBoundaryIs>"))), "")
     return F.concat(F.lit("<Polygon>"), outer, inner, F.lit("</Polygon>"))

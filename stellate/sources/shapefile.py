@@ -4,8 +4,11 @@ Both parts are loaded with ``binaryFile`` and paired by their path without
 extension (a join, not a driver loop); each pair is decoded inside a task
 with ``struct``.  Attributes come out as text (trimmed), geometry in the
 ``GEOM_TYPE`` layout with ring order and orientation as stored (shells
-clockwise, holes counter-clockwise, per the format).  Polygon, PolygonZ and
-PolygonM records are read; a null shape gives a null geometry.
+clockwise, holes counter-clockwise, per the format).  A hole goes to the
+smallest shell around it, whatever the order of the rings; one that no shell
+holds becomes a shell.  Polygon, PolygonZ and PolygonM records are read; a
+null shape gives a null geometry, any other kind fails, as does a .shp
+without its .dbf.
 """
 
 from __future__ import annotations
@@ -29,6 +32,32 @@ def _ring_area2(pts: np.ndarray) -> float:
     return float(np.sum(x[:-1] * y[1:] - x[1:] * y[:-1]))
 
 
+def _holds(shell: np.ndarray, ring: np.ndarray) -> bool:
+    """Whether most vertices and edge midpoints of ``ring`` lie inside ``shell`` (they may touch)."""
+    p = np.vstack([ring[:-1], (ring[:-1] + ring[1:]) / 2])
+    inside = np.zeros(len(p), bool)
+    for (x1, y1), (x2, y2) in zip(shell[:-1], shell[1:]):
+        crosses = (y1 > p[:, 1]) != (y2 > p[:, 1])
+        if crosses.any():
+            inside[crosses] ^= p[crosses, 0] < x1 + (p[crosses, 1] - y1) * (x2 - x1) / (y2 - y1)
+    return 2 * int(inside.sum()) > len(p)
+
+
+def _polygons(rings: list[np.ndarray]) -> list:
+    areas = [_ring_area2(r) for r in rings]
+    shells = [i for i, a in enumerate(areas) if a <= 0]
+    polys = {i: [rings[i].tolist()] for i in shells}
+    for i, ring in enumerate(rings):
+        if i in polys:
+            continue
+        around = [s for s in shells if _holds(rings[s], ring)]
+        if around:
+            polys[min(around, key=lambda s: -areas[s])].append(ring.tolist())
+        else:
+            polys[i] = [ring.tolist()]
+    return [polys[i] for i in sorted(polys)]
+
+
 def parse_shp(content: bytes) -> list:
     """Geometries of a .shp file, in record order."""
     out = []
@@ -39,20 +68,15 @@ def parse_shp(content: bytes) -> list:
         rec = content[pos + 8:pos + 8 + 2 * words]
         pos += 8 + 2 * words
         stype = struct.unpack("<i", rec[:4])[0] if len(rec) >= 4 else 0
-        if stype not in POLYGON_TYPES:
+        if stype == 0:
             out.append(None)
             continue
+        if stype not in POLYGON_TYPES:
+            raise ValueError(f"shape type {stype} is no polygon")
         nparts, npoints = struct.unpack("<ii", rec[36:44])
         parts = list(struct.unpack(f"<{nparts}i", rec[44:44 + 4 * nparts]))
         pts = np.frombuffer(rec, dtype="<f8", count=2 * npoints, offset=44 + 4 * nparts).reshape(-1, 2)
-        polys: list = []
-        for a, b in zip(parts, parts[1:] + [npoints]):
-            ring = pts[a:b]
-            if _ring_area2(ring) <= 0 or not polys:      # clockwise: a new shell
-                polys.append([ring.tolist()])
-            else:                                         # counter-clockwise: a hole
-                polys[-1].append(ring.tolist())
-        out.append(polys)
+        out.append(_polygons([pts[a:b] for a, b in zip(parts, parts[1:] + [npoints])]))
     return out
 
 
@@ -98,11 +122,13 @@ def parse_dbf(content: bytes) -> tuple[list[str], list[list[str | None]]]:
 
 def _pairs(spark: SparkSession, path: str) -> DataFrame:
     def part(ext):
-        return (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ext}")
+        glob = "*." + "".join(f"[{c}{c.upper()}]" for c in ext)
+        return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                      .option("recursiveFileLookup", True).load(path)
-                     .select(F.regexp_replace("path", rf"\.{ext}$", "").alias("base"),
+                     .select(F.regexp_replace("path", rf"(?i)\.{ext}$", "").alias("base"),
                              F.col("content").alias(ext)))
-    return part("shp").join(part("dbf"), "base")
+    lone = F.raise_error(F.concat(F.lit("no .dbf beside "), F.col("base"))).cast("binary")
+    return part("shp").join(part("dbf"), "base", "left").withColumn("dbf", F.coalesce("dbf", lone))
 
 
 def read_shapefile(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
@@ -184,16 +210,18 @@ def _shp_bytes(geoms: list) -> tuple[bytes, bytes]:
 def _dbf_bytes(columns: list[str], rows: list[list]) -> bytes:
     texts = [["" if v is None else str(v) for v in r] for r in rows]
     widths = [max([1] + [len(t[j].encode()) for t in texts]) for j in range(len(columns))]
-    widths = [min(w, 254) for w in widths]
+    too_long = [c for c, w in zip(columns, widths) if w > 254 or len(c.encode()) > 10]
+    if too_long:
+        raise ValueError(f"a .dbf holds names of 10 bytes and values of 254; too long in {too_long}")
     # integer columns are declared numeric (N, 0 decimals), the rest text (C)
     kinds = [b"N" if rows and all(r[j] is None or (isinstance(r[j], int) and not isinstance(r[j], bool))
                                   for r in rows) else b"C" for j in range(len(columns))]
     hlen = 32 + 32 * len(columns) + 1
     rlen = 1 + sum(widths)
     head = struct.pack("<BBBBIHH20x", 3, 124, 1, 1, len(rows), hlen, rlen)
-    fields = b"".join(struct.pack("<11sc4xBB14x", c.encode()[:10], k, w, 0)
+    fields = b"".join(struct.pack("<11sc4xBB14x", c.encode(), k, w, 0)
                       for c, k, w in zip(columns, kinds, widths))
-    body = b"".join(b" " + b"".join(t[j].encode()[:widths[j]].ljust(widths[j]) for j in range(len(columns)))
+    body = b"".join(b" " + b"".join(t[j].encode().ljust(widths[j]) for j in range(len(columns)))
                     for t in texts)
     return head + fields + b"\r" + body + b"\x1a"
 

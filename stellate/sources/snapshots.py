@@ -3,14 +3,15 @@
 A feed is landed as ``<root>/<YYYY-MM-DD-HH-MM-SS>/part-*.csv``.  The reader
 lists file metadata only (the ``binaryFile`` source prunes the content
 column), picks the newest ``.csv`` file by modification time -- ties broken
-by path, so the choice does not depend on listing order -- and reads every
-CSV file of that file's snapshot folder.  Only one path string reaches the
-driver.
+by path, so the choice does not depend on listing order.  Inside a run
+timestamp folder every CSV file of that folder is read, elsewhere that one
+file.  Only one path string reaches the driver.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from stellate.sources.files import write_csv
 
 # ---- fixed values -------------------------------------------------------------
 RUN_TS_FORMAT = "%Y-%m-%d-%H-%M-%S"
+RUN_TS_RE = r"\d{4}-\d{2}-\d{2}-\d{2}-\d{2}-\d{2}"
 # ----------------------------------------------------------------------------------
 
 
@@ -49,7 +51,9 @@ def latest_csv_file(spark: SparkSession, root: str) -> str:
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """All CSV files of the snapshot folder holding the newest ``.csv`` file."""
+    """The newest ``.csv`` file, with the other CSV files of its snapshot folder if it lies in one."""
     newest = latest_csv_file(spark, root)
     folder = newest.rsplit("/", 1)[0]
-    return (spark.read.option("header", True).option("pathGlobFilter", "*.csv").csv(folder))
+    whole = re.fullmatch(RUN_TS_RE, folder.rsplit("/", 1)[-1])
+    return (spark.read.option("header", True).option("enforceSchema", False)
+                 .option("pathGlobFilter", "*.csv").csv(folder if whole else newest))

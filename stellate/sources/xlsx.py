@@ -4,9 +4,11 @@ Files are loaded with Spark's ``binaryFile`` source (any Hadoop file
 system); each workbook is parsed inside a task with the standard library
 (an .xlsx file is a zip of XML parts), one workbook per row.  A first pass
 reads only the header rows to fix the output schema: every column is text,
-headers normalised (lower case, spaces to ``_``).  ``infer=True`` then types
-the columns from their content (bigint, double or text) with one
-aggregation, as a spreadsheet reader would.
+headers normalised (lower case, spaces to ``_``).  A header that a sheet
+repeats is numbered (``fee``, ``fee.1``); two that collide only after
+normalising are an error.  ``infer=True`` then types the columns that hold
+only number cells (bigint or double) with one aggregation; a column with a
+text cell stays text, so ``0042`` keeps its zeros.
 
 Options follow the source jobs: ``sheet`` is the 0-based sheet position
 (default 1, the second sheet) and ``header_row`` the 0-based row holding
@@ -31,6 +33,10 @@ NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
 
+class _Number(str):
+    """Text of a cell that the workbook holds as a number."""
+
+
 def _col_index(letters: str) -> int:
     n = 0
     for ch in letters:
@@ -70,6 +76,8 @@ def _sheet_rows(content: bytes, sheet: int) -> list[list[str | None]]:
                     val = shared[int(val)]
                 elif val is not None and t == "b":
                     val = "True" if val == "1" else "False"
+                elif val is not None and t in (None, "n"):
+                    val = _Number(val)
             cells[col] = val
     if not rows:
         return []
@@ -80,7 +88,23 @@ def _sheet_rows(content: bytes, sheet: int) -> list[list[str | None]]:
 def _headers(rows, header_row: int) -> list[str]:
     if header_row >= len(rows):
         return []
-    return [normal_name(h) if h is not None else f"unnamed:_{j}" for j, h in enumerate(rows[header_row])]
+    seen: dict[str, int] = {}
+    names = []
+    for j, h in enumerate(rows[header_row]):
+        raw = f"unnamed:_{j}" if h is None else str(h)
+        n = seen.get(raw, 0)
+        seen[raw] = n + 1
+        names.append(normal_name(f"{raw}.{n}" if n else raw))
+    dup = sorted({n for n in names if names.count(n) > 1})
+    if dup:
+        raise ValueError(f"headers collide after normalising: {dup}")
+    return names
+
+
+def _text_columns(rows, headers: list[str], header_row: int) -> list[str]:
+    """Headers of the columns with a cell that is not a number."""
+    held = {j for r in rows[header_row + 1:] for j, v in enumerate(r) if v and not isinstance(v, _Number)}
+    return [h for j, h in enumerate(headers) if j in held]
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -92,17 +116,19 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, header_row: int =
               glob: str = "*.xlsx", infer: bool = False) -> DataFrame:
     """Rows of one sheet of every workbook under ``path`` (text columns).
 
-    With ``infer`` the columns are typed from their content
-    (``functions.schema.infer_types``: bigint, double or text).
+    With ``infer`` the columns of number cells are typed from their content
+    (``functions.schema.infer_types``: bigint or double).
     """
     files = _files(spark, path, glob)
 
     def header_pass(batches):
         for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"],
-                                "headers": [_headers(_sheet_rows(c, sheet), header_row) for c in pdf["content"]]})
+            sheets = [_sheet_rows(c, sheet) for c in pdf["content"]]
+            heads = [_headers(rows, header_row) for rows in sheets]
+            yield pd.DataFrame({"path": pdf["path"], "headers": heads,
+                                "texts": [_text_columns(rows, h, header_row) for rows, h in zip(sheets, heads)]})
 
-    heads = files.mapInPandas(header_pass, "path string, headers array<string>").collect()
+    heads = files.mapInPandas(header_pass, "path string, headers array<string>, texts array<string>").collect()
     columns: list[str] = []
     for h in sorted(heads, key=lambda r: r["path"]):       # one short list per file
         for c in h["headers"]:
@@ -129,7 +155,10 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, header_row: int =
                 yield pd.DataFrame(out, columns=columns)
 
     out = files.mapInPandas(rows_pass, schema)
-    return infer_types(out) if infer else out
+    if not infer:
+        return out
+    texts = {c for h in heads for c in h["texts"]}
+    return infer_types(out, [c for c in columns if c not in texts])
 
 
 # ---- fixture writer ------------------------------------------------------------------------
