@@ -275,13 +275,12 @@ def union(polys):
     """Union of polygons given as ``[polygon][ring][point]``; same shape out.
 
     Vertices are snapped to 1e-9; if a boundary then fails to close (nearly
-    degenerate input), the union is retried with coarser snaps (1e-7, 1e-5),
-    and as a last resort the inputs are returned unmerged, so no area is
-    ever dropped.
+    degenerate input), the union is retried with coarser snaps (1e-7, 1e-5);
+    if none closes it fails, rather than pass off unmerged shapes as a union.
     """
     polys = [p for p in polys if p is not None and len(p)]
     for snap in (SNAP, 7, 5):
         out, ok = _union_at(polys, snap)
         if ok:
             return out
-    return [[[[float(p[0]), float(p[1])] for p in ring] for ring in poly] for poly in polys]
+    raise ValueError(f"the boundary of {len(polys)} polygons does not close at any snap")

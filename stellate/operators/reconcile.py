@@ -52,10 +52,13 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def _payload(cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(None).cast("string").alias("__stl_none"))
+
+
 def _side(df: DataFrame, keys, cols, order, own: tuple[str, str], other: tuple[str, str],
           other_types: tuple) -> DataFrame:
-    row = F.struct(*[F.col(c) for c in cols]) if cols else F.struct(F.lit(None).alias("__stl_none"))
-    return df.select(*keys, row.alias(own[0]), order_key(df, order).alias(own[1]),
+    return df.select(*keys, _payload(cols).alias(own[0]), order_key(df, order).alias(own[1]),
                      F.lit(None).cast(other_types[0]).alias(other[0]),
                      F.lit(None).cast(other_types[1]).alias(other[1]))
 
@@ -80,8 +83,8 @@ def reconcile(left: DataFrame, right: DataFrame,
     rord = survivor_order(right, keys, right_order_by)
 
     # types of the per-side payloads, to pad the other side with typed nulls
-    lt = left.select(F.struct(*[F.col(c) for c in lcols]).alias("a"), order_key(left, lord).alias("b")).schema
-    rt = right.select(F.struct(*[F.col(c) for c in rcols]).alias("a"), order_key(right, rord).alias("b")).schema
+    lt = left.select(_payload(lcols).alias("a"), order_key(left, lord).alias("b")).schema
+    rt = right.select(_payload(rcols).alias("a"), order_key(right, rord).alias("b")).schema
     ltypes = (lt["a"].dataType, lt["b"].dataType)
     rtypes = (rt["a"].dataType, rt["b"].dataType)
     rk = right.select(*keys, *rcols)

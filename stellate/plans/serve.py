@@ -32,12 +32,15 @@ def price_by_region(spark: SparkSession, houseprice: DataFrame, school: DataFram
 
 def entity_lookup(spark: SparkSession, entities: DataFrame, name: str,
                   name_col: str = "school_name", limit: int | None = None) -> DataFrame:
-    """All rows whose ``name_col`` equals ``name``; an empty name is an error."""
+    """All rows whose ``name_col`` equals ``name``; an empty name is an error.
+
+    With ``limit`` the first rows by all columns, so a page is the same on every run.
+    """
     if name is None or name == "":
         raise ValueError('A "name" parameter is required.')
     out = spark.sql(f"SELECT * FROM {{entities}} WHERE `{name_col}` = :name",
                     args={"name": name}, entities=entities)
-    return out.limit(limit) if limit else out
+    return out if limit is None else out.orderBy(*[F.col(f"`{c}`") for c in out.columns]).limit(limit)
 
 
 def json_rows(df: DataFrame, col_name: str = "json") -> DataFrame:
