@@ -18,13 +18,8 @@ from stellate.plans.registry import register
 from stellate.plans.tables import TABLES, table
 
 
-def _urgent_1996(spark, d):
-    o = table(spark, d, "orders")
-    return o.where((F.col("o_orderpriority") == "1-URGENT") & (F.year("o_orderdate") == 1996))
-
-
-SQL_URGENT_1996 = ("SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' "
-                   "AND year(o_orderdate) = 1996")
+#: Orders name customers this much further on, so both sides of an anti join have keys that miss.
+SHIFT = 100
 
 
 # ---- A3 one row per key ----------------------------------------------------
@@ -53,33 +48,32 @@ def q_surrogate_key(spark, d):
 
 @register("inner_join_using", f"""
 WITH c AS (SELECT c_custkey AS custkey, c_name FROM customer),
-o AS (SELECT o_custkey AS custkey, o_orderdate, o_orderkey FROM ({SQL_URGENT_1996}) u),
+o AS (SELECT o_custkey AS custkey, o_orderdate, o_orderkey FROM orders),
 j AS (SELECT c.custkey, c.c_name, o.o_orderdate, o.o_orderkey FROM c JOIN o USING (custkey))
 SELECT custkey, c_name, o_orderdate, o_orderkey FROM (
   SELECT *, row_number() OVER (PARTITION BY custkey ORDER BY c_name ASC NULLS LAST,
     o_orderdate ASC NULLS LAST, o_orderkey ASC NULLS LAST) AS rn FROM j) t WHERE rn = 1""")
 def q_inner_join_using(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
-    o = _urgent_1996(spark, d).select(F.col("o_custkey").alias("custkey"), "o_orderdate", "o_orderkey")
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderdate", "o_orderkey")
     return inner_join_dedupe(c, o, ["custkey"], right_order=["o_orderdate", "o_orderkey"])
 
 
 @register("left_anti", f"""
 SELECT c_custkey AS custkey, c_name, c_mktsegment FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM ({SQL_URGENT_1996}) o WHERE o.o_custkey = c.c_custkey)""")
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey + {SHIFT} = c.c_custkey)""")
 def q_left_anti(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment")
-    o = _urgent_1996(spark, d).select(F.col("o_custkey").alias("custkey"))
+    o = table(spark, d, "orders").select((F.col("o_custkey") + SHIFT).alias("custkey"))
     return left_anti(c, o, ["custkey"])
 
 
 @register("right_anti", f"""
-SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM ({SQL_URGENT_1996}) o
-WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_mktsegment = 'BUILDING' AND c.c_custkey = o.o_custkey)""")
+SELECT o_custkey + {SHIFT} AS custkey, o_orderkey, o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey + {SHIFT})""")
 def q_right_anti(spark, d):
-    c = (table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING")
-         .select(F.col("c_custkey").alias("custkey")))
-    o = _urgent_1996(spark, d).select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"))
+    o = table(spark, d, "orders").select((F.col("o_custkey") + SHIFT).alias("custkey"), "o_orderkey", "o_totalprice")
     return right_anti(c, o, ["custkey"])
 
 
@@ -99,7 +93,7 @@ def q_lookup_join(spark, d):
 @register("left_join_dedupe", f"""
 WITH c AS (SELECT c_custkey AS ageid, c_name AS school_name, c_nationkey AS postcode,
                   c_mktsegment AS state, c_acctbal AS balance FROM customer),
-o AS (SELECT o_custkey AS ageid, o_orderpriority AS catchment, o_orderkey AS phone FROM ({SQL_URGENT_1996}) u),
+o AS (SELECT o_custkey AS ageid, o_orderpriority AS catchment, o_orderkey AS phone FROM orders),
 j AS (SELECT c.*, o.catchment, o.phone FROM c LEFT JOIN o USING (ageid))
 SELECT balance, catchment, phone FROM (
   SELECT *, row_number() OVER (PARTITION BY school_name, postcode ORDER BY ageid ASC NULLS LAST,
@@ -110,7 +104,7 @@ def q_left_join_dedupe(spark, d):
         F.col("c_custkey").alias("ageid"), F.col("c_name").alias("school_name"),
         F.col("c_nationkey").alias("postcode"), F.col("c_mktsegment").alias("state"),
         F.col("c_acctbal").alias("balance"))
-    o = _urgent_1996(spark, d).select(F.col("o_custkey").alias("ageid"),
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("ageid"),
                                       F.col("o_orderpriority").alias("catchment"),
                                       F.col("o_orderkey").alias("phone"))
     return left_join_dedupe(c, o, on="ageid", dedupe_keys=["school_name", "postcode"],

@@ -2,8 +2,8 @@
 
 Reads nothing itself: callers pass the source DataFrames (see ``sources``).
 Every table is written once, partitioned by ``year`` (and ``state`` where the
-table is per state), with dynamic partition overwrite so a rerun for the
-same year replaces its partitions.  Row counts are taken with
+table is per state).  A rerun for the same year replaces the whole year, so
+no state of the earlier run is left behind.    Row counts are taken with
 ``DataFrame.observe`` on the writes themselves: no extra ``count()`` jobs
 over the same lineage.  The reconciled profile is materialised once (its
 ids come out of a written table), so the fact, dimensions, bridges and gold
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stellate.plans import star
-from stellate.sinks.parquet import write_partitioned
+from stellate.sinks.parquet import write_partitioned, write_table
 
 TABLES = ["school", "profile", "naplan", "school_naplan", "fees", "school_fees", "location", "gold_school"]
 
@@ -42,13 +42,15 @@ def run(sources: dict[str, DataFrame], catchments: dict[str, tuple[DataFrame, st
     counts: dict[str, int] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        df = df.withColumn("year", F.lit(int(year)))
+        path = f"{root}/{name}/year={int(year)}"
         obs = Observation(f"rows_{name}")
-        parts = ["year", "state"] if name in ("location", "gold_school") else ["year"]
-        write_partitioned(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{root}/{name}", parts)
+        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if name in ("location", "gold_school"):
+            write_partitioned(counted, path, ["state"], whole=True)
+        else:
+            write_table(counted, path)
         counts[name] = int(obs.get["rows"])
-        back = spark.read.parquet(f"{root}/{name}").where(F.col("year") == int(year)).drop("year")
-        return back
+        return spark.read.schema(df.schema).parquet(path)
 
     t1 = star.profile_reconciled(star.prepare_profile(sources["profile"]), sources["detail"])
     write("school", assert_columns(star.school_fact(t1), star.FACT_COLUMNS, "school"))
@@ -61,6 +63,7 @@ def run(sources: dict[str, DataFrame], catchments: dict[str, tuple[DataFrame, st
     write("school_fees", fees_bridge)
     loc = star.location_base(sources["location"], t1)
     ldim = write("location", star.location_dim(loc, catchments))
-    gold = write("gold_school", star.gold_school(t1, ldim))
+    gold = star.gold_school(t1, ldim)
+    write("gold_school", star.published(gold))
     write("profile", star.profile_dim(t1, gold))
     return counts

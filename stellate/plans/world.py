@@ -7,7 +7,7 @@ produces the same rows in DuckDB, so every pipeline table has an oracle.
   segment plus the balance in thousands (so names repeat and several rows
   share a (name, postcode) key); postcode = nation key; suburb = nation
   name; state derived from the region.
-* detail: orders since 1997, one per row, pending ones with a campus suffix.
+* detail: orders, one per row, pending ones with a campus suffix.
 * scores: line items (grade = line number; returned lines under a campus
   name); fees: orders.
 * statistics extracts: per-nation aggregates rendered as agency-style text.
@@ -87,7 +87,7 @@ FROM ({PROFILE_RAW_SQL}) p"""
 # ---- detail ------------------------------------------------------------------------
 
 def detail_raw(spark, d) -> DataFrame:
-    o = table(spark, d, "orders").where(F.year("o_orderdate") >= 1997)
+    o = table(spark, d, "orders")
     c = table(spark, d, "customer")
     x = o.join(c, o.o_custkey == c.c_custkey)
     base = _name(F.col("c_mktsegment"), F.col("c_acctbal"))
@@ -100,7 +100,7 @@ def detail_raw(spark, d) -> DataFrame:
 DETAIL_RAW_SQL = f"""SELECT CASE WHEN o_orderstatus = 'P' THEN {NAME_SQL} || ' - ' || o_orderpriority
                  ELSE {NAME_SQL} END AS school_name,
   c_nationkey AS postcode, o_orderstatus AS gender, o_orderpriority AS religion
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) >= 1997"""
+FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 DETAIL_SQL = f"""SELECT school_name, postcode, gender, religion FROM (
   SELECT *, row_number() OVER (PARTITION BY school_name, postcode

@@ -5,7 +5,8 @@
 * ``write_partitioned``: partitioned by data columns (``year``, ``state``
   ...), one job for every partition value, with *dynamic* partition
   overwrite: a rerun replaces exactly the partitions it writes and leaves
-  the others alone.
+  the others alone.  ``whole=True`` replaces everything under the path, so no
+  partition of an earlier run is left that this one no longer has.
 
 File sizes are left to AQE (``advisoryPartitionSizeInBytes``) and
 ``maxRecordsPerFile`` instead of a fixed ``coalesce(2)``, which would
@@ -26,13 +27,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", whole: bool = False) -> None:
     cols = list(partition_cols)
     # No repartition by the partition columns: with few values (one year,
     # seven states) that would funnel the table through a handful of tasks.
     # Each task writes its own file per value it holds (the writer sorts by
     # the partition columns inside the task), capped by maxRecordsPerFile.
     (df.write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", "static" if whole else "dynamic")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(*cols).parquet(path))
