@@ -133,8 +133,11 @@ def _rows(k: np.ndarray, v: np.ndarray, w: np.ndarray, s: list | None = None) ->
 
 
 def whole_sketch(key: np.ndarray) -> bytes:
-    """Parity of the shingles by bit position, in as many bits as the band's largest size."""
-    bits_used = 1 << max(6, int(len(key)).bit_length())
+    """Parity of the shingles by bit position, in four to eight bits a shingle.
+
+    Shingles that meet in a bit hide a difference; at this width about one in twenty does.
+    """
+    bits_used = 1 << max(6, int(len(key)).bit_length() + 2)
     place = scan.mix64(key ^ np.uint64(0x6A09E667F3BCC909)) & np.uint64(bits_used - 1)
     return np.packbits((np.bincount(place.astype(np.int64), minlength=bits_used) & 1).astype(np.uint8)).tobytes()
 
