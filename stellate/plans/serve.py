@@ -17,16 +17,19 @@ from stellate.functions.text import none_text
 
 def price_by_region(spark: SparkSession, houseprice: DataFrame, school: DataFrame,
                     local_gov_code: int) -> DataFrame:
-    """Distinct (code, name, price, year) for one local-government code, by year."""
+    """Distinct (code, name, price, year) for one local-government code, by year.
+
+    Both sides are made distinct before the join, so many schools of a code never meet many prices.
+    """
     if local_gov_code is None:
         raise ValueError("local_gov_code is required")
     return spark.sql(
-        """SELECT DISTINCT h.local_government_code, s.local_government,
-                  h.median_house_price, h.year
-           FROM {houseprice} h
-           JOIN {school} s ON h.local_government_code = s.local_government_code
-           WHERE h.local_government_code = :code
-           ORDER BY h.year""",
+        """WITH price AS (SELECT DISTINCT local_government_code, median_house_price, year FROM {houseprice}
+                         WHERE local_government_code = :code),
+                region AS (SELECT DISTINCT local_government_code, local_government FROM {school})
+           SELECT price.local_government_code, local_government, median_house_price, year
+           FROM price JOIN region ON price.local_government_code = region.local_government_code
+           ORDER BY year""",
         args={"code": int(local_gov_code)}, houseprice=houseprice, school=school)
 
 

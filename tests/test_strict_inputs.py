@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from stellate.functions.html import table_cell
 from stellate.operators.geometry import GEOM_TYPE, area, dissolve
 from stellate.operators.reconcile import reconcile
 from stellate.plans import job, serve
@@ -196,3 +197,13 @@ def test_whole_overwrite_leaves_no_stale_partition(spark):
     job.write_partitioned(df, path, ["state"], whole=True)
     job.write_partitioned(df.where("state = 'NSW'"), path, ["state"], whole=True)
     assert rows(spark.read.parquet(path), "v") == [(1,)]
+
+
+def test_html_references_and_tag_names(spark):
+    page = ("<table><thead class=x><track><tr><th>h</th></tr></thead><tr><td>a</td><td>b</td></tr>"
+            "<tr><td>c</td><td>%s</td></tr></table>")
+    cells = {"x&#233;y &#xE9;&#128512;": "x\u00e9y \u00e9\U0001F600", "&amp;#233;": "&#233;",
+             "&#9999999;&#55296;": "&#9999999;&#55296;", "plain": "plain", "": ""}
+    df = spark.createDataFrame([(k, page % k) for k in cells], "k string, html string")
+    got = {r["k"]: r["v"] for r in df.select("k", table_cell("html").alias("v")).collect()}
+    assert got == cells
