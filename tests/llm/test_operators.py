@@ -226,6 +226,19 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.matches(docs, empty.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
 
 
+def found_items(spark, items, texts):
+    out = decontamination.matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                                  spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {(r.doc_id, r.item_id, r.kind) for r in out.collect()}
+
+
+def test_decontamination_of_numbers(spark):
+    table = " ".join(f"{i} {i * i}" for i in range(3, 30))
+    items = ["What is 12 times 7", "3 + 4 * 5 - 6 / 7 + 8 = ?", table, "42"]
+    copies = {(k, k, "verbatim") for k in range(4)}
+    assert found_items(spark, items, [f"so {x} it goes" for x in items] + ["What is 13 times 7", "3 + 4 * 5", "1 2 3 4 5 6 7 9"]) == copies
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
