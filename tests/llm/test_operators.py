@@ -239,6 +239,19 @@ def test_decontamination_of_numbers(spark):
     assert found_items(spark, items, [f"so {x} it goes" for x in items] + ["What is 13 times 7", "3 + 4 * 5", "1 2 3 4 5 6 7 9"]) == copies
 
 
+def test_decontamination_of_shifted_copies(spark):
+    word = lambda k: "".join(chr(97 + k * m % 26) for m in (1, 5, 7, 11))
+    long = " ".join(word(k) for k in range(25))
+    slots = "Anna sold 45 red kites at 3 markets, and by noon Anna had 2 kites and 2 bags left to carry home."
+    cut = long.split()
+    texts = [" ".join([*cut[:8], "um", *cut[8:16], "so", *cut[16:]]),                       # three shifts, a third each
+             slots.replace("45", "1,250").replace("3 markets", "3.5 markets").replace("Anna", "Mary Ann"),
+             slots.replace("2 bags", "5 bags"),
+             slots.replace("Anna", "Mary Ann", 1).replace("45", "46"), " ".join(cut[:8]), slots + " " + slots.replace("45", "7")]
+    assert found_items(spark, [long, slots], texts) == {
+        (0, 0, "verbatim"), (1, 1, "reparameterised"), (2, 1, "reparameterised"), (5, 1, "verbatim")}
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
