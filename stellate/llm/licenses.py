@@ -1,9 +1,11 @@
 """Licence recognition from sentences, with DataFrame functions only.
 
-A text is cut into sentences (at line ends, and at marks followed by a blank),
-each is normalised (lower case, other characters squeezed to one blank) and
-looked up among known licence sentences.  The identifiers found, in order,
-are matched from left to right against ordered licence rules, longer ones
+A text is cut into pieces (at line ends, and at marks followed by a blank),
+each is normalised (lower case, other characters, comment marks too, squeezed
+to one blank).  A known licence sentence is a run of whole pieces of one
+paragraph, so it may be wrapped over lines and hold marks itself; the longest
+one counts.  A line without a letter or digit ends a paragraph.  The
+identifiers found, in order, are matched from left to right against ordered licence rules, longer ones
 first, so a full licence header wins over its first sentence alone.
 
 Only texts that hold one of the ``ANCHORS`` are cut up; every known sentence
@@ -108,14 +110,27 @@ def _lookup(pairs: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
 
+def _sentences() -> str:
+    longest_first = sorted(SENTENCES, key=lambda s: -len(s))
+    return "|".join(s.replace(" ", "[ |]") for s in longest_first)
+
+
+def _pieces(text: Column) -> Column:
+    """Normalised pieces, each between bars; two bars where a paragraph ends."""
+    out = F.concat(F.lit("\n"), F.translate(F.lower(text), "|", "*"), F.lit("\n"))
+    for pattern, new in ((r"[.!?;:][ \t]+", "|"), (r"[^a-z0-9|\n]+", " "), (r" ?([|\n]) ?", "$1"),
+                         (r"[|]*\n[|]*", "\n"), (r"[|]+", "|"), (r"\n\n+", "||"), (r"\n", "|")):
+        out = F.regexp_replace(out, pattern, new)
+    return out
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences, sentence_ids and licenses (sorted) of the texts with a known sentence."""
     texts = docs.select("doc_id", F.col("text").alias("text")).filter(
-        F.col("text").rlike("(?i)" + "|".join(ANCHORS)))
-    cut = F.split(F.regexp_replace("text", r"([.!?;:])[ \t]+", "$1\n"), "\n")
+        F.col("text").rlike("(?i)" + "|".join(ANCHORS).replace(" ", "[^a-zA-Z0-9]+")))
     known = _lookup(SENTENCES)
-    ids = F.filter(F.transform(cut, lambda s: F.element_at(
-        known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))), lambda x: x.isNotNull())
+    runs = F.regexp_extract_all(_pieces(F.col("text")), F.lit(f"(?<=[|])({_sentences()})(?=[|])"), 1)
+    ids = F.transform(runs, lambda s: F.element_at(known, F.translate(s, "|", " ")))
     found = texts.select("doc_id", ids.alias("ids")).filter(F.size("ids") > 0)
     joined = F.concat(F.array_join("ids", "|"), F.lit("|"))
     named = _lookup({_run(ids): name for name, ids in RULES})

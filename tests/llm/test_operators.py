@@ -333,6 +333,84 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.""",
+    "Apache-2.0": """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Unlicense": "This is free and unencumbered software released into the public\ndomain."}
+
+
+def test_wrapped_licenses(spark):
+    full = {"MIT": "mit-title|mit-grant|mit-notice|mit-warranty", "Apache-2.0": "apache-2|apache-use|apache-copy|apache-basis|apache-see",
+            "GPL-3.0-or-later": "gpl-3-later|gpl-see|gpl-received"}
+    rows = [(f"{name} {k}", "\n".join(mark + line for line in text.split("\n")).replace("\n", end))
+            for name, text in WRAPPED.items()
+            for k, (mark, end) in enumerate((("", "\n"), ("# ", "\n"), (" * ", "\r\n"), (";; ", "\n"), ("// ", " \n")))]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {i: r.licenses for i, r in got.items()} == {i: i.rsplit(" ", 1)[0] for i, _ in rows}
+    assert all(got[f"{name} {k}"].sentence_ids == ids for name, ids in full.items() for k in range(5))
+    apart = [(1, "Released under the\n\nMIT License"), (2, "not released under the MIT license"), (3, "Mozilla Public\nLicense")]
+    got = licenses.scan_licenses(spark.createDataFrame(apart, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.sentence_ids) for r in got] == [(1, "mit-title")]
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://A.Example.COM/en/x?q=1#f", "http://www.example.com/en/1", "http://b.net/es/2",
             "http://net/fr/", "http://xnet/es/", "http://x.com", "http://x.com/", "http://h.org/a?b", "http://h.org?x/es/"]
