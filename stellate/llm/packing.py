@@ -17,6 +17,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 
 import numpy as np
@@ -65,8 +67,11 @@ class Encoder:
     A chunk is a run of other characters with the single space before it, or
     white space, cut again between ASCII letters and marks; the pre-tokenizer
     never looks across these borders, so concatenated chunk ids equal the ids
-    of the text.  Chunks are merged by the same vocabulary in its rank form,
-    which is held against the tokenizer itself on the first texts of a task.
+    of the text.  An added token is a chunk, and what lies between two is cut
+    like a text of its own.  These tokens, and texts with white space outside
+    ASCII, go through the tokenizer itself; other chunks are merged by the same
+    vocabulary in its rank form, which is held against the tokenizer on the
+    first texts of a task.
     """
 
     def __init__(self, path: str):
@@ -75,7 +80,10 @@ class Encoder:
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        longest_first = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, longest_first)) or rb"(?!)")
+        self.alone = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
         self.ranks = _ranks(self.tokenizer)
         self.token_bytes = np.zeros(self.ranks.n_vocab, np.int64)
         for token in self.ranks.token_byte_values():
@@ -89,9 +97,20 @@ class Encoder:
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def added_tokens(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) of the added tokens; of the whole texts that hold one, if they take in what is around them."""
+        raw = data.tobytes()
+        found = []
+        if self.added.search(raw):
+            for a, b in itertools.pairwise(offs.tolist()):
+                spans = [m.span() for m in self.added.finditer(raw, a, b)]
+                found += spans if self.alone or not spans else [(a, b)]
+        found = np.array(found, np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+
     @staticmethod
-    def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start of every chunk; which chunks are whole texts with white space outside ASCII."""
+    def chunks(data: np.ndarray, offs: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start of every chunk; which chunks are whole: those from ``added`` on, and with white space outside ASCII."""
         n = len(data)
         ws = scan.WS[data]
         start = np.zeros(n + 1, bool)
@@ -110,6 +129,7 @@ class Encoder:
         wide = np.zeros(n, bool)
         for a, b in WIDE_SPACE:
             wide[:-1] |= (data[:-1] == a) & (data[1:] == b)
+        wide[added] = True
         whole = np.zeros(n, bool)
         for d in np.unique(np.searchsorted(offs, np.flatnonzero(wide), "right") - 1):
             cut[offs[d]:offs[d + 1]] = False
@@ -133,10 +153,12 @@ class Encoder:
 
     def _add(self, new: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray, odd: np.ndarray) -> None:
         tail = data[start + size - 1]
-        odd = odd | scan.WS[tail] | (size > 256) | scan.WS[data[start]] & (data[start] != 32)
+        whole, odd = odd, odd | scan.WS[tail] | (size > 256) | scan.WS[data[start]] & (data[start] != 32)
         count, ids = self._merge(data, start[~odd], size[~odd])
-        rest = [np.array(self.ranks.encode_ordinary(data[s:s + n].tobytes().decode("utf-8")), np.uint32)
-                for s, n in zip(start[odd], size[odd])]
+        rest = [np.array(self.tokenizer.encode(text, add_special_tokens=False).ids if w
+                         else self.ranks.encode_ordinary(text), np.uint32)
+                for w, text in ((w, data[s:s + n].tobytes().decode("utf-8"))
+                                for s, n, w in zip(start[odd], size[odd], whole[odd]))]
         count = np.concatenate([count, np.array([len(r) for r in rest], np.int64)])
         key = np.concatenate([self.key, new[~odd], new[odd]])
         order = np.argsort(key, kind="stable")
@@ -149,7 +171,8 @@ class Encoder:
         """(ids, offsets by text)."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
-        start, whole = self.chunks(data, offs)
+        first, last = self.added_tokens(data, offs)
+        start, whole = self.chunks(data, np.unique(np.concatenate([offs, first, last])), first)
         end = np.append(start[1:], len(data))
         unique, first, inverse = np.unique(scan.hashes(data, start, end), return_index=True, return_inverse=True)
         if len(self.key) > CACHE_CHUNKS:

@@ -93,6 +93,20 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, TOKENIZER).count() == 0
 
 
+def test_added_tokens_and_wide_space():
+    import numpy as np
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(TOKENIZER)
+    end = "<|endoftext|>"
+    texts = ["plain text", "plain", "", "more of it", f"x {end} y", end, f"{end}{end} a\n\n{end}  b{end}", "<|endoftext", "|>",
+             "a\u00a0 \u3000b  \u2028\n c \u201cd\u201d", f"é\u00a0{end}\u00a0é", ("word " * 20000) + end, f"x {end} y"]
+    raw = [x.encode() for x in texts]
+    offs = np.cumsum([0, *map(len, raw)])
+    ids, bound = packing.Encoder(TOKENIZER).encode(np.frombuffer(b"".join(raw), np.uint8), offs)
+    assert [ids[a:b].tolist() for a, b in itertools.pairwise(bound)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert ids[bound[4]:bound[5]].tolist() == [87, 220, 50256, 331]
+
+
 def test_local_search_empties_bins():
     length = [1200, 1000, 848, 1048, 900, 1148, 600, 1448]
     bins = packing.local_search(length, [[i] for i in range(8)], 2048)
