@@ -12,14 +12,19 @@ it, which bounds everything that is broadcast whatever the corpus:
   once for each level up to 1 + log_base(c / floor count), at most
   1/floor * base/(base-1) entries.  The count is read back by probing levels
   1, 2, ... until one is missing;
-* for each context, how often it was followed by a stored n-gram: exact for
-  single words, in a filter of the same kind for longer contexts.
+* for each context of two words or more, how often it was followed by a stored
+  n-gram, in a filter of the same kind.
 
-Rarer words never enter a filter; their exact counts come from a shuffle join.
+Rarer words and pairs never enter a filter, but none is dropped: a pair that
+is not in the filter is emitted with its text, its exact count is the sum over
+the training texts that hold it, and rare words and contexts are looked up by
+a shuffle join.  As no longer n-gram over such a pair is stored, what higher
+orders add is a factor known in the task.  N-grams of order three or more
+below the floor are not stored.
 
 Probability: p_n = (c_n + (left + mass) * p_(n-1)) / (context + mass), where
-``left`` is the context's count not covered by stored n-grams; for orders
-whose context isn't stored p_n = p_(n-1); p_1 = (c + 1) / (N + V + 1).
+``left`` is the context's count not covered by stored n-grams (0 for pairs);
+for orders whose context isn't stored p_n = p_(n-1); p_1 = (c + 1) / (N + V + 1).
 
 Texts: null counts as empty (one token, the end).  Words are told apart by
 64-bit hashes.  Null ids count as training rows; repeated rows are scored and
@@ -33,7 +38,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stellate.llm import bits, scan
@@ -50,6 +55,8 @@ BLOCK_BYTES = 1 << 22
 END = np.uint64(0x8F3A1C5D7E9B2461)
 BEGIN = np.uint64(0x51ED270B9F3C6A87)
 CONTEXT = np.uint64(0xC2B2AE3D27D4EB4F)
+#: By pair of a text that is not in the filter; word and context are 0 where their counts are known.
+TAIL = ("key", "times", "count", "before", "word", "context")
 
 
 class Lookup:
@@ -166,15 +173,13 @@ class Tokens:
 class Model:
     """Everything a task needs; its size is bounded by the floor."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, least: int):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, least: int, texts: int):
         self.head = Lookup(words)
         self.count = self.head.values(words, counts)
         self.tokens, self.distinct, self.least = tokens, distinct, least
-        self.texts = float(self.count[self.head(np.array([END]))[0]])
+        self.texts = float(texts)
         self.grams: list[CountFilter] = []
-        self.went: np.ndarray = self.count * 0       # by head word: followed by a stored pair
-        self.begun = 0.0                             # the same for the beginning of a text
-        self.follow: list[CountFilter] = []          # the same for contexts of two or more words
+        self.follow: list[CountFilter] = []          # by context of two or more words: followed by a stored n-gram
 
     def walk(self, t: Tokens, read):
         """(order, key, context, context's count, its count followed by stored n-grams, may be stored).
@@ -183,9 +188,10 @@ class Model:
         """
         row = self.head(t.key)
         stored = row > 0
-        before, went = np.empty(len(row)), np.empty(len(row))
-        before[1:], went[1:] = self.count[row[:-1]], self.went[row[:-1]]
-        before[t.open], went[t.open] = self.texts, self.begun
+        before = np.empty(len(row))
+        before[1:] = self.count[row[:-1]]
+        before[t.open] = self.texts
+        went = before                               # every pair counts
         shorter, order = t.key, 2
         while True:
             key, context = t.longer(shorter, order)
@@ -216,17 +222,24 @@ class Model:
         raise AssertionError
 
     def scores(self, t: Tokens, order: int):
-        """(exact count or 0 for rare words, log10 p; for rare words without their p_1)."""
+        """(exact count or 0 for rare words, log10 p, which tokens lack a factor, their key and context's count).
+
+        The factor that lacks is p_2 of pairs that are not in the filter (order 1: p_1 of rare words).
+        """
         exact = self.count[self.head(t.key)]
         p = (exact + 1.0) / (self.tokens + self.distinct + 1.0)
-        p[exact == 0] = 1.0                     # its p_1 is a factor of what follows
-        for n, _, _, before, went, _, level in self.walk(t, lambda f, k: f.levels(k)):
+        lacks, pair, first = exact == 0, t.key, np.zeros(len(exact))
+        p[lacks] = 1.0
+        for n, key, _, before, went, _, level in self.walk(t, lambda f, k: f.levels(k)):
             if n > order:
                 break
             known = before > 0
             left = np.maximum(before - went, 0.0) + MASS
             p = np.where(known, (self.grams[n - 2].counts(level) + left * p) / (np.maximum(before, went) + MASS), p)
-        return exact, np.log10(p)
+            if n == 2:
+                lacks, pair, first = level == 0, key, before
+                p[lacks] = 1.0
+        return exact, np.log10(p), lacks, pair, first
 
 
 def _summed(kind: int, keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -264,22 +277,18 @@ def train(texts: DataFrame, order: int = ORDER, floor: float = FLOOR) -> tuple[M
     """(model, exact counts (key, n) of every training word)."""
     spark = texts.sparkSession
     words = materialize(_count(texts, lambda t: [t.key]).filter("kind = 0").select("key", "n"), "words")
-    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"),
+                       F.coalesce(F.sum(F.when(F.col("key") == int(END.view(np.int64)), F.col("n"))), F.lit(0)).alias("texts")).first()
     least = max(1, math.ceil(floor * totals["n"]))
     head = words.filter(F.col("n") >= least).toArrow()
     model = Model(head.column("key").to_numpy().view(np.uint64), head.column("n").to_numpy(),
-                  totals["n"], totals["v"], least)
-    for n in range(2, order + 2):
+                  totals["n"], totals["v"], least, totals["texts"])
+    for n in range(2, order + 2 if order > 2 else order + 1):
         shared = spark.sparkContext.broadcast(model)
         counted = _count(texts, lambda t, m=shared: m.value.count_next(t), 2 if n <= order else 1)
         counted = materialize(counted.filter((F.col("kind") == 1) | (F.col("n") >= least)), f"grams{n}")
         after = counted.filter("kind = 1").select("key", "n")
-        if n == 3:
-            went = after.toArrow()               # a row for a stored word at most
-            key, times = went.column("key").to_numpy().view(np.uint64), went.column("n").to_numpy()
-            model.went = model.head.values(key, times)
-            model.begun = float(times[key == BEGIN].sum())
-        elif n > 3:
+        if n > 3:
             contexts = after.filter(F.col("n") >= least).withColumn(
                 "key", F.col("key").bitwiseXOR(F.lit(int(CONTEXT.view(np.int64)))))
             model.follow.append(CountFilter.build(contexts, least, floor))
@@ -303,40 +312,56 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
         m = shared.value
         for part, data, offs in scan.blocks(batches, limit=BLOCK_BYTES):
             t = Tokens(data, offs)
-            exact, log_p = m.scores(t, order)
+            exact, log_p, lacks, pair, before = m.scores(t, order)
             n = part.num_rows
             known = exact > 0
             base = np.where(known, np.log10(exact + 1.0) - whole, 0.0)
             sums = [np.bincount(t.doc, weights=x, minlength=n) for x in (base, log_p, known)]
-            rare = np.flatnonzero(~known)
-            rare = rare[np.lexsort((t.key[rare], t.doc[rare]))]
-            key, doc = t.key[rare], t.doc[rare]
-            fresh = np.ones(len(rare), bool)
+            tail = np.flatnonzero(lacks)
+            tail = tail[np.lexsort((pair[tail], t.doc[tail]))]
+            key, doc = pair[tail], t.doc[tail]
+            fresh = np.ones(len(tail), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
             at = np.flatnonzero(fresh)
-            times = np.diff(np.append(at, len(rare)))
+            times = np.diff(np.append(at, len(tail)))
             bound = pa.array(np.searchsorted(doc[at], np.arange(n + 1)).astype(np.int32))
+            one = tail[at]
+            look = (before[one] == 0) & (t.place[one] > 0) & (order > 1)
             ids = rows.take(n)
+            lists = (scan.signed(key[at]), times, exact[one].astype(np.int64), before[one].astype(np.int64),
+                     np.where(known[one], 0, scan.signed(t.key)[one]), np.where(look, scan.signed(t.previous)[one], 0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), part.column("doc_id"), part.column("held_out"), pa.array(t.size),
                  pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
-                 pa.ListArray.from_arrays(bound, pa.array(scan.signed(key[at]))),
-                 pa.ListArray.from_arrays(bound, pa.array(times))],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"])
+                 *[pa.ListArray.from_arrays(bound, pa.array(x)) for x in lists]],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", *TAIL])
 
     scored = materialize(texts.mapInArrow(
         run, f"row long, doc_id {column_type(docs, 'doc_id')}, held_out boolean, n_tokens long, n_known long, "
-             "base double, score double, rare array<long>, times array<long>"), "scored")
-    pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        "row", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
-    count = F.coalesce(F.col("n"), F.lit(0))
-    tail = (pairs.join(words.filter(F.col("n") < model.least), "key", "left")
-            .groupBy("row").agg(
-                F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-                F.sum(F.col("times") * (F.log10(count + 1.0) - F.lit(whole))).alias("rare_base")))
+             "base double, score double, " + ", ".join(f"{c} array<long>" for c in TAIL)), "scored")
+    pairs = scored.select("row", "held_out", F.explode(F.arrays_zip(*TAIL)).alias("x")).select(
+        "row", "held_out", *[F.col(f"x.{c}").alias(c) for c in TAIL])
+    learnt = F.when(F.col("held_out"), 0).otherwise(F.col("times"))
+    pairs = pairs.withColumn("n", F.sum(learnt).over(Window.partitionBy("key")))
+    rare = words.filter(F.col("n") < model.least)
+    for name, count in (("word", "count"), ("context", "before")):
+        found = rare.select(F.col("key").alias(f"{name}_key"), F.col("n").alias(f"{name}_n"))
+        # Rows that need no count are spread by their own key.
+        pairs_key = F.when(F.col(name) != 0, F.col(name)).otherwise(F.col("key"))
+        filled = F.when(F.col(name) != 0, F.coalesce(f"{name}_n", F.lit(0))).otherwise(F.col(count))
+        looked = (looked if name == "context" else pairs.filter("word != 0 or context != 0")).join(
+            found, pairs_key == found[f"{name}_key"], "left").withColumn(count, filled).drop(f"{name}_key", f"{name}_n")
+    p_1 = (F.col("count") + 1.0) / F.lit(model.tokens + model.distinct + 1.0)
+    value = F.when(F.col("before") > 0, F.log10((F.col("n") + F.lit(MASS) * p_1) / (F.col("before") + F.lit(MASS)))
+                   ).otherwise(F.log10(p_1))
+    is_rare = F.col("word") != 0
+    tail = (pairs.filter("word = 0 and context = 0").unionByName(looked).groupBy("row").agg(
+        F.sum(F.when(is_rare & (F.col("count") > 0), F.col("times")).otherwise(0)).alias("rare_known"),
+        F.sum(F.when(is_rare, F.col("times") * F.log10(p_1)).otherwise(0.0)).alias("rare_base"),
+        F.sum(F.col("times") * value).alias("tail_score")))
     more = F.coalesce(F.col("rare_base"), F.lit(0.0))
     return scored.join(tail, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+        (F.col("base") + more).alias("base_score"), (F.col("score") + F.coalesce(F.col("tail_score"), F.lit(0.0))).alias("score"))

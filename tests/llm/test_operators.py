@@ -136,6 +136,24 @@ def test_language_model(docs, empty, floor, order):
     assert language_model.score(empty, held_out(empty["doc_id"], 7, 2)).count() == 0
 
 
+def test_language_model_keeps_rare_pairs(docs):
+    """Pairs below the floor count as they do where nothing is below it."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = [(i, [*WORD.findall(lower(t)), None]) for i, t in corpus()]
+    count = collections.Counter(w for i, t in tokens if not held(i) for w in t)
+    pairs = collections.Counter(p for i, t in tokens if not held(i) for p in zip(["<", *t], t))
+    n, v, count["<"] = sum(count.values()), len(count), count[None]
+
+    def log_p(a, b):
+        p = (count[b] + 1) / (n + v + 1)
+        return math.log10((pairs[a, b] + 2 * p) / (count[a] + 2) if count[a] else p)
+
+    want = sorted((str(i), sum(log_p(a, b) for a, b in zip(["<", *t], t)), len(t)) for i, t in tokens)
+    for floor, off in ((1.0, 1e-6), (2e-3, 0.06)):       # all by joins; some in filters, in steps of 1.25
+        out = sorted((str(r.doc_id), r.score) for r in language_model.score(docs, held_out(docs["doc_id"], 7, 2), 2, floor).collect())
+        assert all(i == j and abs(x - y) <= off * k for (i, x), (j, y, k) in zip(out, want, strict=True))
+
+
 def test_toxicity(spark, empty):
     rnd = random.Random(2)
     pool = ["w%d" % i for i in range(200)]
