@@ -8,7 +8,7 @@ longest piece on, then a local search moves pieces or exchanges one for one
 or two for one between underfull bins.  Every step raises the sum of squared
 fills, and a bin that has become empty is dropped.  Pieces of bins that are
 still underfull meet again in fewer groups, until one group is left or most
-of a round's pieces stay underfull (then nothing can be gained).
+of a round's pieces stay underfull for a second time.
 
 Null text counts as empty: one piece holding only the closing id.  Repeated
 rows and null or repeated ids are packed as separate pieces; an empty table
@@ -32,7 +32,6 @@ from stellate.llm.common import column_type, documents, materialize, row_ids
 CAPACITY = 2048
 GROUP_ROWS = 8192
 SLACK = 0.01
-MAX_STEPS = 1000
 END_ID = 0
 CACHE_CHUNKS = 400_000
 LETTER = np.zeros(256, bool)
@@ -250,11 +249,11 @@ def best_fit(length: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(length: list[int], bins: list[list[int]], capacity: int, max_steps: int = MAX_STEPS) -> list[list[int]]:
+def local_search(length: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Empty underfull bins by moves and swaps that raise the sum of squared fills.
 
     Takes the emptiest bin as source until it is empty or no step helps, then
-    the next one.  ``max_steps`` bounds the search effort, not the pieces.
+    the next one.  Each step raises the sum, which is bounded, so it ends.
     """
     least = -(-sum(length) // capacity)
     if len(bins) <= least:
@@ -267,17 +266,16 @@ def local_search(length: list[int], bins: list[list[int]], capacity: int, max_st
     owner = np.repeat(np.arange(len(work)), [len(b) for b in work])
     fill = np.array([f for f in fills if f < capacity])
     live = len(work)
-    steps = 0
     gained = True
-    while gained and len(closed) + live > least and steps < max_steps:
+    while gained and len(closed) + live > least:
         gained = False
         for source in np.argsort(fill, kind="stable"):
-            if len(closed) + live <= least or steps >= max_steps:
+            if len(closed) + live <= least:
                 break
             if not fill[source]:
                 continue
-            while fill[source] and steps < max_steps and _step(int(source), size, owner, fill, capacity):
-                steps += 1
+            while fill[source] and _step(int(source), size, owner, fill, capacity):
+                pass
             if not fill[source]:
                 live -= 1
                 gained = True
@@ -356,7 +354,7 @@ def _packer(capacity: int, number: int):
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Add sequence_id and offset to written ``pieces`` (length at most ``capacity``, salt)."""
     done, rest = [], pieces
-    count, number = rest.count(), 0
+    count, number, stuck = rest.count(), 0, False
     names = pieces.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     while True:
@@ -366,9 +364,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
             .applyInArrow(_packer(capacity, number), f"{kinds}, sequence_id long, offset long, underfull boolean"),
             f"packed{number}")
         left = packed.filter("underfull").count() if groups > 1 else 0
-        if groups == 1 or 2 * left > count:
+        if groups == 1 or stuck and 2 * left > count:
             done.append(packed)
             break
+        stuck = stuck or 2 * left > count
         done.append(packed.filter("not underfull"))
         rest = packed.filter("underfull").select(names)
         count, number = left, number + 1

@@ -121,6 +121,25 @@ def test_local_search_empties_bins():
         assert all(sum(length[i] for i in b) <= 50 for b in better)
 
 
+def test_local_search_goes_on_until_nothing_helps():
+    import numpy as np
+    rnd = random.Random(1)
+    length = [rnd.randint(600, 1000) for _ in range(8192)]
+    bins = packing.local_search(length, packing.best_fit(length, 2048), 2048)
+    assert len(bins) <= 3597 and sorted(i for b in bins for i in b) == list(range(8192))       # 3602 after 1,000 steps
+    fill = np.array([sum(length[i] for i in b) for b in bins])
+    owner, size = np.repeat(np.arange(len(bins)), [len(b) for b in bins]), np.array([length[i] for b in bins for i in b])
+    assert not any(packing._step(b, size, owner, fill, 2048) for b in np.argsort(fill, kind="stable")[:20].tolist())
+
+
+def test_underfull_pieces_meet_once_more(spark):
+    rnd = random.Random(6)
+    rows = [(i, rnd.randint(600, 1000), rnd.getrandbits(62)) for i in range(600)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, length long, salt long"), group_rows=60).collect()
+    assert sorted((r.doc_id, r.length) for r in out) == [r[:2] for r in rows]
+    assert {r.sequence_id >> 56 for r in out} >= {0, 1}
+
+
 @pytest.mark.parametrize("floor,order", [(2e-7, 2), (2e-3, 3)])
 def test_language_model(docs, empty, floor, order):
     out = language_model.score(docs, held_out(docs["doc_id"], 7, 2), order, floor).collect()
