@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.llm import (
-    decontamination, jaccard_join, language_model, licenses, line_quality, packing, pii, toxicity, url_filter, warc)
+    decontamination, importance, jaccard_join, language_model, licenses, line_quality, packing, pii, toxicity, url_filter, warc)
 from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,11 @@ SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, sha1(payload) AS payload
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN keeper END AS refers_to
 FROM r"""
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return importance.resample(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("n_words")
+
+
+ORACLE["op11_importance_resampling"] = importance.oracle()
