@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.llm import (
-    decontamination, importance, jaccard_join, language_model, licenses, line_quality, packing, pii, toxicity, url_filter, warc)
+    decontamination, embedding_dedup, importance, jaccard_join, language_model, licenses, line_quality, packing, pii,
+    toxicity, url_filter, warc, whitening)
 from stellate.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,13 @@ def op11_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORACLE["op11_importance_resampling"] = importance.oracle()
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+@query
+def op13_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, d, "embeddings"))
