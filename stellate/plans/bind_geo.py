@@ -69,3 +69,20 @@ def q_dissolve(spark, d):
     r = parts_as_rectangles(spark, d).select("p_brand", "p_partkey", "geometry")
     out = dissolve(r, "p_brand", "geometry", order_by=["p_partkey"])
     return out.select("p_brand", "p_partkey", F.round(area("geometry"), 6).alias("area"))
+
+
+@register("dissolve_corners", f"""
+WITH r AS ({RECT_SQL}),
+xs AS (SELECT p_brand, unnest(range(x0, x0 + w)) AS x, y0, h FROM r),
+cells AS (SELECT DISTINCT p_brand, x, unnest(range(y0, y0 + h)) AS y FROM xs),
+touched AS (SELECT p_brand, x + dx AS x, y + dy AS y, CASE WHEN dx = dy THEN 1 ELSE 10 END AS place
+            FROM cells, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) c(dx, dy))
+SELECT p_brand, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y,
+       CAST(CASE WHEN count(*) = 2 THEN 2 ELSE 1 END AS BIGINT) AS corners
+FROM touched GROUP BY p_brand, x, y HAVING count(*) IN (1, 3) OR (count(*) = 2 AND sum(place) IN (2, 20))""")
+def q_dissolve_corners(spark, d):
+    """Every corner of every merged shape's rings; where rings touch in a point, one for each."""
+    out = dissolve(parts_as_rectangles(spark, d).select("p_brand", "p_partkey", "geometry"), "p_brand", "geometry")
+    rings = out.select("p_brand", F.explode(F.flatten("geometry")).alias("ring"))
+    points = rings.select("p_brand", F.explode(F.slice("ring", 1, F.size("ring") - 1)).alias("p"))
+    return points.groupBy("p_brand", F.get("p", 0).alias("x"), F.get("p", 1).alias("y")).agg(F.count("*").alias("corners"))
