@@ -77,9 +77,9 @@ def address(*parts) -> Column:
     return F.concat_ws(ADDRESS_SEP, *[_c(p) for p in parts])
 
 
-def display_name(name, suburb, postcode) -> Column:
+def display_name(name, suburb, postcode, sep: str = DISPLAY_SEP) -> Column:
     """``name - suburb postcode`` (null parts skipped)."""
-    return F.concat_ws(DISPLAY_SEP, _c(name), F.concat_ws(" ", _c(suburb), _c(postcode)))
+    return F.concat_ws(sep, _c(name), F.concat_ws(" ", _c(suburb), _c(postcode)))
 
 
 def strip_leading_zeros(value) -> Column:

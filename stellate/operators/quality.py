@@ -13,6 +13,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> DataFrame:
+    """``df`` itself; an error that names the columns it lacks."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what}: no columns {missing} (there are {df.columns})")
+    return df
+
+
 def drop_null_subset(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any of ``subset``."""
     return df.na.drop(how="any", subset=list(subset))

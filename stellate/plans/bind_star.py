@@ -16,7 +16,7 @@ from stellate.plans.sql_text import sql_reconcile as _sql_reconcile
 
 
 ID_ORDER = ["school_id", "school_name", "postcode"]
-PROFILE_LEFT = ["school_id", "school_type", "school_sector", "teaching_staff", "suburb", "state", "location_id"]
+PROFILE_LEFT = [*W.PROFILE_REST, "location_id"]
 T1_SQL = _sql_reconcile(W.PROFILE_SQL, W.DETAIL_SQL, PROFILE_LEFT, ["gender", "religion"],
                         order=PROFILE_LEFT + ["gender", "religion"], id_col="profile_id", id_order=ID_ORDER)
 IDS_SQL = f"SELECT school_id, school_name, suburb, postcode FROM ({T1_SQL}) t1"
@@ -65,23 +65,23 @@ def q_school_fact(spark, d):
 
 @register("score_dim", SCORE_DIM_SQL)
 def q_score_dim(spark, d):
-    return star.score_tables(_ids(spark, d), W.scores_raw(spark, d))[0]
+    return star.dimension_and_bridge(_ids(spark, d), W.scores_raw(spark, d), star.SCORES)[0]
 
 
 @register("score_bridge", SCORE_BRIDGE_SQL)
 def q_score_bridge(spark, d):
-    return star.score_tables(_ids(spark, d), W.scores_raw(spark, d))[1]
+    return star.dimension_and_bridge(_ids(spark, d), W.scores_raw(spark, d), star.SCORES)[1]
 
 
 @register("fees_dim", f"SELECT fees_id, fee_total FROM ({U3_SQL}) u")
 def q_fees_dim(spark, d):
-    return star.fees_tables(_ids(spark, d), W.fees_raw(spark, d))[0]
+    return star.dimension_and_bridge(_ids(spark, d), W.fees_raw(spark, d), star.FEES)[0]
 
 
 @register("fees_bridge", f"""SELECT school_id, fees_id, boarding, international FROM ({U3_SQL}) u
 WHERE boarding IS NOT NULL AND international IS NOT NULL""")
 def q_fees_bridge(spark, d):
-    return star.fees_tables(_ids(spark, d), W.fees_raw(spark, d))[1]
+    return star.dimension_and_bridge(_ids(spark, d), W.fees_raw(spark, d), star.FEES)[1]
 
 
 @register("orphan_keys", f"""
@@ -91,7 +91,7 @@ SELECT naplan_id, 'bridge_only' AS side FROM bk WHERE naplan_id NOT IN (SELECT n
 UNION ALL
 SELECT naplan_id, 'dim_only' AS side FROM dk WHERE naplan_id NOT IN (SELECT naplan_id FROM bk)""")
 def q_orphan_keys(spark, d):
-    dim, bridge = star.score_tables(_ids(spark, d), W.scores_raw(spark, d))
+    dim, bridge = star.dimension_and_bridge(_ids(spark, d), W.scores_raw(spark, d), star.SCORES)
     return orphan_keys(dim, bridge, "naplan_id")
 
 

@@ -28,12 +28,12 @@ def assert_columns(df: DataFrame, expected: list[str], name: str) -> DataFrame:
     return df
 
 
-def run(sources: dict[str, DataFrame], catchments: dict[str, tuple[DataFrame, str]],
-        out_root: str, year: int) -> dict[str, int]:
+def run(sources: dict[str, DataFrame], catchments: DataFrame, out_root: str, year: int) -> dict[str, int]:
     """Build and write every star table; return the observed row counts.
 
     ``sources``: profile, detail, scores, fees, location (raw frames);
-    ``catchments``: state -> (catchment frame, join column).  Tables that
+    ``catchments``: one row per state and what its locations are reached by
+    (``plans.catchments.attach``).  Tables that
     feed later ones (location -> gold -> profile) are read back from their
     written files, so their lineage is computed once.
     """
@@ -55,10 +55,10 @@ def run(sources: dict[str, DataFrame], catchments: dict[str, tuple[DataFrame, st
     t1 = star.profile_reconciled(star.prepare_profile(sources["profile"]), sources["detail"])
     write("school", assert_columns(star.school_fact(t1), star.FACT_COLUMNS, "school"))
     ids = star.school_ids(t1)
-    score_dim, score_bridge = star.score_tables(ids, sources["scores"])
+    score_dim, score_bridge = star.dimension_and_bridge(ids, sources["scores"], star.SCORES)
     write("naplan", score_dim)
     write("school_naplan", score_bridge)
-    fees_dim, fees_bridge = star.fees_tables(ids, sources["fees"])
+    fees_dim, fees_bridge = star.dimension_and_bridge(ids, sources["fees"], star.FEES)
     write("fees", fees_dim)
     write("school_fees", fees_bridge)
     loc = star.location_base(sources["location"], t1)

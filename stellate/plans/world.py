@@ -67,18 +67,37 @@ def profile_raw(spark, d) -> DataFrame:
         F.col("c_acctbal").alias("teaching_staff"),
         F.col("n_name").alias("suburb"),
         F.col("c_nationkey").alias("postcode"),
-        _state(F.col("r_name"), F.col("c_mktsegment")).alias("state"))
+        _state(F.col("r_name"), F.col("c_mktsegment")).alias("state"),
+        (F.col("c_custkey") + 1000000).alias("location_age_id"),
+        F.col("r_name").alias("campus_type"),
+        F.concat(F.lit("http://"), F.lower("c_name")).alias("school_url"),
+        F.concat(F.col("r_name"), F.lit(" board")).alias("governing_body"),
+        F.concat(F.lit("1-"), F.col("c_nationkey").cast("string")).alias("year_range"),
+        (F.col("c_nationkey") * 10 + 5).alias("total_enrolments"),
+        (F.col("c_nationkey") * 6).alias("girls_enrolments"),
+        (F.col("c_nationkey") * 4 + 5).alias("boys_enrolments"),
+        (F.col("c_custkey") % 7).alias("indigenous_enrolments_(%)"),
+        (F.col("c_custkey") % 101).alias("language_background_other_than_english_-_yes_(%)"))
 
 
 PROFILE_RAW_SQL = f"""SELECT c_custkey AS acara_sml_id, {NAME_SQL} AS school_name,
   c_mktsegment AS school_type, n_name AS school_sector, c_acctbal AS teaching_staff,
-  n_name AS suburb, c_nationkey AS postcode, {_state_sql('r_name', 'c_mktsegment')} AS state
+  n_name AS suburb, c_nationkey AS postcode, {_state_sql('r_name', 'c_mktsegment')} AS state,
+  c_custkey + 1000000 AS location_age_id, r_name AS campus_type, 'http://' || lower(c_name) AS school_url,
+  r_name || ' board' AS governing_body, '1-' || CAST(c_nationkey AS VARCHAR) AS year_range,
+  c_nationkey * 10 + 5 AS total_enrolments, c_nationkey * 6 AS girls_enrolments,
+  c_nationkey * 4 + 5 AS boys_enrolments, c_custkey % 7 AS "indigenous_enrolments_(%)",
+  c_custkey % 101 AS "language_background_other_than_english_-_yes_(%)"
 FROM {CNR_SQL}"""
 
-PROFILE_COLS = ["school_id", "school_name", "school_type", "school_sector", "teaching_staff",
-                "suburb", "postcode", "state"]
-PROFILE_SQL = f"""SELECT acara_sml_id AS school_id, school_name, school_type, school_sector,
-  teaching_staff, suburb, postcode, state,
+#: Profile columns besides the keys, in the order in which survivors are told apart.
+PROFILE_REST = ["school_id", "school_type", "campus_type", "school_sector", "school_url", "governing_body",
+                "year_range", "teaching_staff", "total_enrolments", "girls_enrolments", "boys_enrolments",
+                "indigenous", "multi_lingual", "suburb", "state"]
+PROFILE_SQL = f"""SELECT acara_sml_id AS school_id, school_name, school_type, campus_type, school_sector, school_url,
+  governing_body, year_range, teaching_staff, total_enrolments, girls_enrolments, boys_enrolments,
+  "indigenous_enrolments_(%)" AS indigenous, "language_background_other_than_english_-_yes_(%)" AS multi_lingual,
+  suburb, postcode, state,
   row_number() OVER (ORDER BY acara_sml_id ASC NULLS FIRST, school_name ASC NULLS FIRST,
                      postcode ASC NULLS FIRST) AS location_id
 FROM ({PROFILE_RAW_SQL}) p"""

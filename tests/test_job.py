@@ -14,7 +14,7 @@ def test_star_build_layout_and_rerun(spark):
     sources = {"profile": W.profile_raw(spark, SF), "detail": W.detail_raw(spark, SF),
                "scores": W.scores_raw(spark, SF), "fees": W.fees_raw(spark, SF),
                "location": W.location_raw(spark, SF)}
-    cats = C.state_catchments(spark, SF, C.catchments(spark, SF))
+    cats = C.state_catchments(spark, SF, smallest=True)
     root = scratch_dir(spark, "job")
     first = run(sources, cats, root, 2024)
     second = run(sources, cats, root, 2024)          # same year again: replaced, not appended
