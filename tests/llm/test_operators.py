@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers
@@ -342,6 +343,42 @@ def test_pii(docs, empty):
     assert pii.redact(docs).columns == docs.columns and pii.find(empty).count() == 0
 
 
+def disguises(text):
+    base = pii.identifiers(text)
+    return [(k, text[a:b]) for a, k, b in pii.disguised(text, base, not text.isascii())]
+
+
+def test_more_disguises():
+    assert disguises("ask alice at gmail.com") == [("email", "alice at gmail.com")]
+    assert disguises("alice at example dot dev") == [("email", "alice at example dot dev")]
+    assert disguises("bob at corp dot ai, please") == [("email", "bob at corp dot ai")]
+    assert disguises("\u0251lice@x.org") == [("email", "\u0251lice@x.org")]
+    for prose in ("look at the dot product here", "meet me at amazon.com", "look at that dot and one two", "aim at one dot only"):
+        assert disguises(prose) == [], prose
+
+
+def test_personal_data_takes_linear_time():
+    """A megabyte of anything takes a few seconds at most; ten thousand addresses likewise."""
+    n = 1_000_000
+    texts = ["dot" + " " * n + "x", "a at " + " " * n + "dot", "[ " * (n // 2) + "dot", "dot " + ("[" + " " * 50) * (n // 51),
+             "at " * (n // 3) + "dot", "x at b dot " * (n // 11), "plus " * (n // 5) + "dot", "a dot " * (n // 6),
+             " ".join(f"a{i}@b.org dot" for i in range(10_000))]
+    for text in texts:
+        began = time.process_time()
+        disguises(text)
+        assert time.process_time() - began < 30, text[:30]
+
+
+def test_texts_beyond_a_block(spark):
+    """A text of several blocks is found and masked as a whole, at its very end, too."""
+    long = "filler words " * 400_000 + "mail a.b@c.de now"
+    docs = spark.createDataFrame([(1, long), (2, "x@y.org")], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    at = long.index("a.b@")
+    assert got[1].spans == f"email:{at}:{at + 8}" and got[2].n_email == 1
+    assert {r.doc_id: r.text for r in pii.redact(docs).collect()}[1] == long.replace("a.b@c.de", "[EMAIL]")
+
+
 def test_plain_identifiers_on_random_text():
     rnd = random.Random(4)
     for _ in range(4000):
@@ -501,6 +538,24 @@ def test_warc(spark):
     with pytest.raises(Exception, match="does not match"):
         warc.read(headers, broken).collect()
     assert warc.read(*warc.write(pages.limit(0))).count() == 0
+    with pytest.raises(Exception, match="does not match"):
+        warc.read(headers, payloads.limit(3)).collect()
+
+
+def test_warc_urls_with_separators(spark):
+    """No character of a url starts a header line, for any reader; extra columns may clash with the archive's own."""
+    marks = ["\u2028", "\u2029", "\u0085", "\r", "\n", "\r\n", "\x0b", "\x0c", "\x00", "\x1f", "\x7f"]
+    fake = ["WARC-Refers-To: <urn:page:77>", "WARC-Payload-Digest: sha1:abc", "WARC-Type: revisit", "Content-Length: 3"]
+    rows = [(i, f"http://a/{m}{f}", f"{i}é" * 700, "k", b"x", "h") for i, (m, f) in enumerate(itertools.product(marks, fake))]
+    rows.append((900, "http://b/ü?x=%20\U0001F600", "plain", "k", b"x", "h"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload_key string, payload binary, header string")
+    out = {r.page_id: r for r in warc.read(*warc.write(pages)).collect()}
+    assert len(out) == len(rows) and out[900].url == rows[-1][1]
+    for i, url, html, *_ in rows:
+        raw = html.encode()
+        assert tuple(out[i])[2:] == (len(raw), hashlib.sha1(raw).hexdigest(), "response", None)
+    first = out[0].url
+    assert first == "http://a/%E2%80%A8" + fake[0]
 
 
 def test_pipeline_stages(spark, docs, tmp_path):
