@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ LOOKALIKES = {
     "һ": "h", "ԛ": "q", "ԝ": "w", "ь": "b", "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O",
     "Р": "P", "С": "C", "Т": "T", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S", "α": "a", "ο": "o", "ν": "v", "ι": "i",
     "κ": "k", "ρ": "p", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N",
-    "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ı": "i", "ɡ": "g", "․": ".", "。": ".", "‐": "-", "‑": "-",
+    "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ı": "i", "ɡ": "g", "ɑ": "a", "․": ".", "。": ".", "‐": "-", "‑": "-",
     "‒": "-", "–": "-", "—": "-", "−": "-",
 }
 #: Characters without width.
@@ -53,15 +54,26 @@ DIGITS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four":
 
 _NUMBER = "(?:" + "|".join(DIGITS) + ")"
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-_DOT = rf"(?:\s*{_OPEN}\s*dot\s*{_CLOSE}\s*|\s+dot\s+)"
+#: A run of blanks is entered at its start only, so no blank is looked at twice.
+_BLANKS = r"(?:(?<!\s)\s+)"
+_DOT = rf"(?:{_BLANKS}?{_OPEN}\s*dot\s*{_CLOSE}\s*|{_BLANKS}dot\s+)"
 #: Last labels that make a plainly spelled "at ... dot ..." an address and not prose.
 LABELS = "com|org|net|edu|gov|info|biz|io|co|eu|de|fr|es|it|nl|ch|at|uk|us|ca|au|jp|in|br|ru|cn"
+#: First labels of domains that "at" leads to in an address rather than in prose.
+PROVIDERS = "[a-z0-9-]*mail[a-z0-9-]*|yahoo|outlook|live|msn|icloud|aol|gmx|proton|yandex|qq|example"
+#: Words of prose that no host is called by.
+PROSE = "that|this|these|those|the|an?|it|its|his|her|my|your|our|their|one|each|every|any|some|which|what|no"
+#: Other last labels count where the phrase ends behind them ("... at ... dot dev.") and its host is no word of prose.
+_HOST = rf"[a-z0-9-]+(?:{_DOT}[a-z0-9-]+)*?{_DOT}"
+_SPELLED = rf"{_HOST}(?:{LABELS})\b|(?!(?:{PROSE})\b){_HOST}[a-z]{{2,24}}(?=[.,;:!?)\]>\"']|\s*\Z|[^\S\n]*\n)"
+_HALF_SPELLED = rf"(?:{PROVIDERS})(?:\.[a-z0-9-]+)+\b"
 REWRITES = re.compile(
-    rf"(?P<at>\s*{_OPEN}\s*at\s*{_CLOSE}\s*|(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+(?:{_DOT}[a-z0-9-]+)*?{_DOT}(?:{LABELS})\b))"
+    rf"(?P<at>{_BLANKS}?{_OPEN}\s*at\s*{_CLOSE}\s*|(?<=[a-z0-9])\s+at\s+(?={_SPELLED}|{_HALF_SPELLED}))"
     rf"|(?P<dot>{_DOT})"
     rf"|(?P<digits>\b(?:plus\s+)?{_NUMBER}(?:(?:\s|[,-]\s?){_NUMBER}){{2,}}\b|\b{_NUMBER}(?={_DOT})|(?<=dot )(?:{_NUMBER})\b)",
     re.IGNORECASE)
-TRIGGER = re.compile(rf"\bdot\b|{_OPEN}\s*(?:at|dot)\s*{_CLOSE}|\b{_NUMBER}(?:(?:\s|[,-]\s?){_NUMBER}){{2}}", re.IGNORECASE)
+TRIGGER = re.compile(
+    rf"\bdot\b|\bat\s+(?:{PROVIDERS})\.|{_OPEN}\s*(?:at|dot)\s*{_CLOSE}|\b{_NUMBER}(?:(?:\s|[,-]\s?){_NUMBER}){{2}}", re.IGNORECASE)
 _WORD = re.compile(rf"plus|{_NUMBER}", re.IGNORECASE)
 
 
@@ -172,11 +184,13 @@ def disguised(text: str, base: dict[str, list[tuple[int, int]]], strange: bool)
         return []
     out = []
     for kind, spans in identifiers(r.text).items():
-        taken = base[kind]
+        taken = base[kind]                                      # disjoint and ascending
+        starts = [x for x, _ in taken]
         for a, b in spans:
             if r.new[a:b].any():
                 s, e = int(r.start[a]), int(r.end[b - 1])
-                if not any(x <= s and e <= y for x, y in taken):
+                near = bisect_right(starts, s) - 1
+                if near < 0 or taken[near][1] < e:
                     out.append((s, kind, e))
     return out
 
