@@ -13,15 +13,24 @@ grams rank last and drop out of the prefixes.  Candidates are then
 verified with their full gram sets.  With ``max_distance = 1`` every pair
 sharing a gram is a result, and the gram join *is* the result.
 
-``lsh_join`` is the approximate ``pyspark.ml`` pipeline
-(RegexTokenizer -> NGram -> HashingTF -> MinHashLSH) for comparison.
+``closest_pairs`` is the top-k report; it lowers a similarity bound step by
+step and ends by proof, see there.
+
+``lsh_join`` is the approximate join: MinHash with one hash a table, pairs
+that agree in any table, verified with their gram sets.  Its hashes are plain
+arithmetic on MD5, so any engine can repeat them.  Buckets that many names
+fall into are dealt out in chunks.
 """
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stellate.session import materialize
+
 GRAM = 3
 
 
@@ -80,44 +89,72 @@ def top_matches(pairs: DataFrame, n: int = 500) -> DataFrame:
 
 
 def closest_pairs(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None, n: int = 500,
-                  bounds=(0.2, 0.4, 0.6, 0.8)) -> DataFrame:
+                  first: float = 0.8, factor: float = 0.5) -> DataFrame:
     """Exact top-``n`` pairs without enumerating every pair that shares a gram.
 
-    For growing distance bounds ``d`` the prefix-filtered join returns every
-    pair closer than ``d``; as soon as there are at least ``n`` of them, the
-    ``n`` smallest (total order: distance, then names) are all among them,
-    so they are the answer.  Only the counts reach the driver.  The last
-    resort is the full join (bound 1).
+    For a falling similarity bound ``t`` the prefix-filtered join returns every
+    pair at ``t`` or above (prefixes reach further into the frequent grams the
+    lower ``t`` is); as soon as there are at least ``n``, the ``n`` best (total
+    order: distance, then names) are among them.  Two sets that share a gram
+    have at least 1 / (largest + largest - 1): once ``t`` is no more than that,
+    no pair is left, so fewer than ``n`` exist and all have been found.  Each
+    step's pairs are written once; only counts and sizes reach the driver.
     """
-    for d in bounds:
-        close = similarity_join(a, b, col_a, col_b, max_distance=d)
-        if close.count() >= n:
+    col_b = col_b or col_a
+    largest = [s.agg(F.max("n")).first()[0] or 0 for s in (
+        df.select(F.size(trigrams(c)).alias("n")) for df, c in ((a, col_a), (b, col_b)))]
+    least = 1.0 / max(sum(largest) - 1, 1)
+    t = first
+    while True:
+        # a distance strictly below 1 - t + step holds every pair at t
+        close = materialize(similarity_join(a, b, col_a, col_b, max_distance=min(1.0 - max(t, least) + 1e-9, 1.0 - 1e-9)), "close")
+        if t <= least or close.count() >= n:
             return top_matches(close, n)
-    return top_matches(similarity_join(a, b, col_a, col_b, max_distance=1.0), n)
+        t *= factor
 
 
-def lsh_join(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None,
-             max_distance: float = 1.0, num_hash_tables: int = 20,
-             num_features: int = 1 << 18, seed: int = 7) -> DataFrame:
-    """Approximate join with MinHash LSH; names under 3 characters are skipped
-    (their empty vectors cannot be hashed)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import HashingTF, MinHashLSH, NGram, RegexTokenizer
+# ---- MinHash ---------------------------------------------------------------------------------
 
-    col_b = col_b or col_a
-    da = a.select(F.col(col_a).alias("name")).where(F.length("name") >= GRAM).distinct()
-    db = b.select(F.col(col_b).alias("name")).where(F.length("name") >= GRAM).distinct()
-    pipe = Pipeline(stages=[
-        RegexTokenizer(pattern="", inputCol="name", outputCol="tokens", minTokenLength=1),
-        NGram(n=GRAM, inputCol="tokens", outputCol="ngrams"),
-        HashingTF(inputCol="ngrams", outputCol="vectors", numFeatures=num_features),
-        MinHashLSH(inputCol="vectors", outputCol="lsh", numHashTables=num_hash_tables, seed=seed),
-    ])
-    model = pipe.fit(da)
-    ha, hb = model.transform(da), model.transform(db)
-    lsh = model.stages[-1]
-    return lsh.approxSimilarityJoin(ha, hb, max_distance, "confidence").select(
-        F.col("datasetA.name").alias("name_a"), F.col("datasetB.name").alias("name_b"), "confidence")
+PRIME = (1 << 31) - 1
+CHUNK = 1000
+
+
+def _coefficients(tables: int, seed: int) -> list[tuple[int, int]]:
+    """(a, b) of each table's hash (a * x + b) mod PRIME."""
+    rnd = random.Random(seed)
+    return [(rnd.randrange(1, PRIME), rnd.randrange(PRIME)) for _ in range(tables)]
+
+
+def minhashes(grams: Column, tables: int, seed: int) -> Column:
+    """The least hash of a gram set in each table, as an array."""
+    x = F.transform(grams, lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 7), 16, 10).cast("long"))
+
+    def least(a: int, b: int) -> Column:
+        return F.array_min(F.transform(x, lambda v: (v * F.lit(a).cast("long") + F.lit(b)) % F.lit(PRIME).cast("long")))
+
+    return F.array(*[least(a, b) for a, b in _coefficients(tables, seed)])
+
+
+def lsh_join(a: DataFrame, b: DataFrame, col_a: str, col_b: str | None = None, max_distance: float = 1.0,
+             num_hash_tables: int = 20, seed: int = 7, chunk: int = CHUNK) -> DataFrame:
+    """Pairs that agree in a MinHash table and are closer than ``max_distance``: (name_a, name_b, confidence).
+
+    Names under 3 characters have no grams and match nothing.  The names of
+    ``b`` in a bucket are dealt out in chunks of about ``chunk``, and those of
+    ``a`` go to every chunk, so a bucket of m x n names is n / chunk tasks'
+    work.  A pair that shares several tables is verified once.
+    """
+    ga, gb = _gram_sets(a, col_a, "name_a"), _gram_sets(b, col_b or col_a, "name_b")
+    ha, hb = (g.select(g.columns[0], F.posexplode(minhashes(F.col("grams"), num_hash_tables, seed)).alias("table", "hash"))
+              for g in (ga, gb))
+    dealt = hb.groupBy("table", "hash").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
+    ha = ha.join(dealt, ["table", "hash"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    hb = hb.join(dealt, ["table", "hash"]).withColumn("chunk", F.pmod(F.xxhash64("name_b"), F.col("chunks")).cast("int"))
+    pairs = ha.join(hb, ["table", "hash", "chunk"]).select("name_a", "name_b").distinct()
+    both = pairs.join(ga, "name_a").join(gb.withColumnRenamed("grams", "grams_b"), "name_b")
+    shared = F.size(F.array_intersect("grams", "grams_b"))
+    dist = F.lit(1.0) - shared / (F.col("n_name_a") + F.col("n_name_b") - shared)
+    return both.select("name_a", "name_b", dist.alias("confidence")).where(F.col("confidence") < F.lit(max_distance))
 
 
 def short_names(df: DataFrame, col: str) -> int:

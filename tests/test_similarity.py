@@ -67,3 +67,34 @@ def test_short_names_reported(spark):
     from stellate.operators.similarity import short_names
     df = spark.createDataFrame([("ab",), ("",), (None,), ("abc",)], "n string")
     assert short_names(df, "n") == 2
+
+
+def test_closest_pairs_ends_by_proof(spark):
+    """Fewer pairs than asked for, and a gram that nearly all names share: found exactly, with few candidates before."""
+    from stellate.operators.similarity import closest_pairs
+    rnd = random.Random(8)
+    letters = "bcdfghjklmnpqrstvwxz"
+    names = ["the " + "".join(rnd.choice(letters) for _ in range(20)) for _ in range(150)]
+    names += [n[:-1] + "!" for n in names[:20]] + ["qqq", "zzz", "ab"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    want = _brute(names, names, 1.0)
+    for k in (30, len(want), 10 ** 6):
+        got = sorted((r.name_a, r.name_b, round(r.confidence, 9)) for r in closest_pairs(df, df, "n", n=k).collect())
+        best = sorted(want, key=lambda r: (r[2], r[0], r[1]))[:k]
+        assert got == sorted(best), k
+    # the 192 identical and edited pairs are found without pairing all names that share "the"
+    close = similarity_join(df, df, "n", max_distance=0.2).count()
+    assert 192 <= close < len(want) / 20
+
+
+def test_lsh_recall_and_hot_buckets(spark):
+    rnd = random.Random(3)
+    words = ["saint", "mary", "college", "primary", "high", "north", "west", "school", "campus"]
+    names = sorted({" ".join(rnd.sample(words, rnd.randint(2, 4))) for _ in range(150)})
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    exact = {r[:2]: r[2] for r in _brute(names, names, 0.5)}
+    one = {(r.name_a, r.name_b): round(r.confidence, 9) for r in lsh_join(df, df, "n", max_distance=0.5).collect()}
+    assert all(exact[p] == d for p, d in one.items())            # nothing that the exact join lacks
+    assert len(one) >= 0.9 * len(exact)
+    split = {(r.name_a, r.name_b): round(r.confidence, 9) for r in lsh_join(df, df, "n", max_distance=0.5, chunk=2).collect()}
+    assert split == one
