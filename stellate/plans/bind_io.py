@@ -19,7 +19,7 @@ from stellate.plans.registry import register
 from stellate.plans.tables import table
 from stellate.session import scratch_dir
 from stellate.sinks.parquet import write_partitioned, write_table
-from stellate.sources.files import read_csv, read_csv_tree, read_parquet, write_csv
+from stellate.sources.files import read_csv, read_csv_by_name, read_csv_tree, read_parquet, write_csv
 from stellate.sources.geo_text import read_geojson, read_kml, write_geojson, write_kml
 from stellate.sources.snapshots import land_snapshot, read_latest_snapshot
 
@@ -72,6 +72,17 @@ def q_csv_recursive(spark, d):
     return read_csv_tree(spark, root)
 
 
+@register("csv_by_name", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+  CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def q_csv_by_name(spark, d):
+    root = scratch_dir(spark, "named")
+    o = table(spark, d, "orders")
+    write_csv(o.where("o_orderkey % 3 = 0").select("o_orderkey", "o_orderstatus", "o_orderpriority"), f"{root}/a")
+    write_csv(o.where("o_orderkey % 3 = 1").select("o_orderkey", "o_orderstatus"), f"{root}/b/less")
+    write_csv(o.where("o_orderkey % 3 = 2").select("o_orderpriority", "o_orderstatus", "o_orderkey"), f"{root}/c")
+    return read_csv_by_name(spark, root).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
 @register("land_snapshot", RAW_SQL)
 def q_land_snapshot(spark, d):
     root = scratch_dir(spark, "landing")

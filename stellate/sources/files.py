@@ -6,15 +6,20 @@ type guess that changes between files); typing is an explicit later step
 
 Spark maps columns by position, so every file's header is checked against the
 schema (``enforceSchema=false``): a file whose columns come in another order,
-or under other names, fails the job instead of swapping values.
+or under other names, fails the job instead of swapping values; ``read_csv_by_name``
+reads such files together, by name.
 """
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stellate.functions.schema import normalise_headers
+from stellate.operators.union import union_by_name
 
 
 def read_csv(spark: SparkSession, path: str, normalise: bool = True,
@@ -38,6 +43,32 @@ def read_csv_tree(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Da
                  .option("encoding", encoding).option("pathGlobFilter", "*.csv").csv(path))
 
 
+def read_csv_by_name(spark: SparkSession, path: str, normalise: bool = True) -> DataFrame:
+    """Every CSV file below ``path``, columns matched by name: files may order them in their own way or lack some.
+
+    One aggregation finds each file's header line; files of one header are
+    read together, with Spark's own check that they have it, and the groups are
+    united by name (a column that a file lacks is null).  Per distinct header
+    the driver holds its files' paths, as any file scan does.  A header must be
+    one line; of two columns of a file that are called alike, none is guessed.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"))
+    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    if not groups:
+        raise FileNotFoundError(f"no .csv file with a header under {path}")
+    parts = []
+    for g in groups:
+        own = [c.strip().lower() for c in next(csv.reader([g.header]))]
+        if len(set(own)) < len(own):
+            raise ValueError(f"a column is repeated in {g.files[0]}: {g.header}")
+        part = spark.read.option("header", True).option("enforceSchema", False).csv(g.files)
+        parts.append(normalise_headers(part) if normalise else part)
+    return union_by_name(parts)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

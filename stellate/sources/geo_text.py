@@ -141,7 +141,8 @@ def read_kml(spark: SparkSession, path: str, glob: str = KML_GLOB) -> DataFrame:
                .option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path))
     geom = (F.when(F.col("Polygon").isNotNull(), F.array(_polygon_from_struct(F.col("Polygon"))))
              .when(F.col("MultiGeometry").isNotNull(),
-                   F.transform(F.col("MultiGeometry.Polygon"), _polygon_from_struct)))
+                   F.transform(F.col("MultiGeometry.Polygon"), _polygon_from_struct))
+             .otherwise(F.raise_error(F.concat(F.lit("KML: no polygon in Placemark "), F.coalesce("name", F.lit(""))))))
     return pm.select(F.col("name").alias("Name"), F.col("description").alias("Description"),
                      geom.alias("geometry"))
 

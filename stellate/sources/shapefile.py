@@ -101,8 +101,11 @@ def spark_type(kind: str, decimals: int) -> str:
     return "string"
 
 
-def parse_dbf(content: bytes) -> tuple[list[str], list[list[str | None]]]:
-    """(field names, records as text) of a .dbf file; deleted records skipped."""
+def parse_dbf(content: bytes, encoding: str = "utf-8") -> tuple[list[str], list[list[str | None]]]:
+    """(field names, records as text) of a .dbf file; deleted records are None.
+
+    Text that isn't in ``encoding`` is an error: replaced characters would pass as names.
+    """
     nrec, hlen, rlen = struct.unpack("<IHH", content[4:12])
     fields = [(name, length) for name, _k, length, _d in dbf_fields(content)]
     rows = []
@@ -113,7 +116,7 @@ def parse_dbf(content: bytes) -> tuple[list[str], list[list[str | None]]]:
             continue
         vals, p = [], 1
         for _name, length in fields:
-            raw = rec[p:p + length].decode("utf-8", errors="replace").strip()
+            raw = rec[p:p + length].decode(encoding).strip()
             vals.append(raw if raw != "" else None)
             p += length
         rows.append(vals)
@@ -131,8 +134,11 @@ def _pairs(spark: SparkSession, path: str) -> DataFrame:
     return part("shp").join(part("dbf"), "base", "left").withColumn("dbf", F.coalesce("dbf", lone))
 
 
-def read_shapefile(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
-    """Attributes (text, or typed from the .dbf field types with ``typed``) and geometry."""
+def read_shapefile(spark: SparkSession, path: str, typed: bool = False, encoding: str = "utf-8") -> DataFrame:
+    """Attributes (text, or typed from the .dbf field types with ``typed``) and geometry.
+
+    A .dbf whose records don't go one to one with the shapes is an error.
+    """
     pairs = _pairs(spark, path)
 
     def header_pass(batches):
@@ -158,8 +164,8 @@ def read_shapefile(spark: SparkSession, path: str, typed: bool = False) -> DataF
         for pdf in batches:
             out = []
             for shp, dbf in zip(pdf["shp"], pdf["dbf"]):
-                names, recs = parse_dbf(dbf)
-                for geom, rec in zip(parse_shp(shp), recs):
+                names, recs = parse_dbf(dbf, encoding)
+                for geom, rec in zip(parse_shp(shp), recs, strict=True):
                     if rec is None:
                         continue
                     d = dict.fromkeys(columns)

@@ -7,8 +7,11 @@ reads only the header rows to fix the output schema: every column is text,
 headers normalised (lower case, spaces to ``_``).  A header that a sheet
 repeats is numbered (``fee``, ``fee.1``); two that collide only after
 normalising are an error.  ``infer=True`` then types the columns that hold
-only number cells (bigint or double) with one aggregation; a column with a
-text cell stays text, so ``0042`` keeps its zeros.
+only number cells (bigint or double) with one aggregation, and those that hold
+dates and no text as timestamps; a column with a text cell stays text, so
+``0042`` keeps its zeros.  A number that its cell's format shows as a date is
+read as one (``2024-01-31``, with the time of day where it has one).  Sheets are
+read as streams, a row at a time.
 
 Options follow the source jobs: ``sheet`` is the 0-based sheet position
 (default 1, the second sheet) and ``header_row`` the 0-based row holding
@@ -17,6 +20,7 @@ the column names.  Rows before the header are skipped; empty rows too.
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -24,12 +28,17 @@ import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stellate.functions.schema import infer_types, normal_name
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
       "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
+#: Numbers of the built-in number formats that show dates or times.
+DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, *range(27, 37), 45, 46, 47, *range(50, 59)}
+#: Rows of a sheet that are handed on at once.
+ROWS = 10_000
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -37,6 +46,10 @@ class _Number(str):
     """Text of a cell that the workbook holds as a number."""
 
 
+class _Date(str):
+    """Text of a cell that the workbook holds as a number shown as a date."""
+
+
 def _col_index(letters: str) -> int:
     n = 0
     for ch in letters:
@@ -44,53 +57,96 @@ def _col_index(letters: str) -> int:
     return n - 1
 
 
-def _sheet_rows(content: bytes, sheet: int) -> list[list[str | None]]:
-    """All rows of one sheet as lists of cell text (None for empty cells)."""
+def _is_date(code: str) -> bool:
+    """Whether a number format shows a date or a time: a y, m, d, h or s outside quotes, escapes and brackets."""
+    return bool(re.search("[ymdhs]", re.sub(r'"[^"]*"|\\.|_.|\[[^\]]*\]', "", code.split(";")[0].lower())))
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show dates."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")): _is_date(f.get("formatCode")) for f in root.iterfind("m:numFmts/m:numFmt", NS)}
+    shown = [int(x.get("numFmtId", 0)) for x in root.iterfind("m:cellXfs/m:xf", NS)]
+    return {i for i, n in enumerate(shown) if own.get(n, n in DATE_FORMATS)}
+
+
+def _as_date(serial: str, epoch: dt.datetime) -> _Date:
+    """A serial day number as text; without a time of day where it has none."""
+    when = epoch + dt.timedelta(milliseconds=round(float(serial) * 86_400_000))
+    return _Date(when.strftime("%Y-%m-%d" if when.time() == dt.time() else "%Y-%m-%d %H:%M:%S"))
+
+
+def _workbook(content: bytes, sheet: int):
+    """(archive, name of the sheet's part, day 0 of its serial dates)."""
     z = zipfile.ZipFile(io.BytesIO(content))
     wb = ET.fromstring(z.read("xl/workbook.xml"))
-    sheets = wb.find("m:sheets", NS)
-    rid = list(sheets)[sheet].get(f"{{{NS['r']}}}id")
+    rid = list(wb.find("m:sheets", NS))[sheet].get(f"{{{NS['r']}}}id")
     rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-    target = next(r.get("Target") for r in rels if r.get("Id") == rid)
-    target = target.lstrip("/")
-    target = target if target.startswith("xl/") else f"xl/{target}"
-    shared = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
-    rows: dict[int, dict[int, str | None]] = {}
-    data = ET.fromstring(z.read(target)).find("m:sheetData", NS)
-    for row in data.findall("m:row", NS):
-        r = int(row.get("r")) - 1
-        cells = rows.setdefault(r, {})
-        for j, c in enumerate(row.findall("m:c", NS)):
-            ref = c.get("r")
-            col = _col_index(_REF.match(ref).group(1)) if ref else j
-            t = c.get("t")
-            if t == "inlineStr":
-                val = "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
-            else:
-                v = c.find("m:v", NS)
-                val = None if v is None else v.text
-                if val is not None and t == "s":
-                    val = shared[int(val)]
-                elif val is not None and t == "b":
-                    val = "True" if val == "1" else "False"
-                elif val is not None and t in (None, "n"):
-                    val = _Number(val)
-            cells[col] = val
-    if not rows:
-        return []
-    width = max((max(c) + 1 for c in rows.values() if c), default=0)
-    return [[rows.get(i, {}).get(j) for j in range(width)] for i in range(max(rows) + 1)]
+    target = next(r.get("Target") for r in rels if r.get("Id") == rid).lstrip("/")
+    pr = wb.find("m:workbookPr", NS)
+    late = pr is not None and pr.get("date1904") in ("1", "true")
+    return z, target if target.startswith("xl/") else f"xl/{target}", dt.datetime(1904, 1, 1) if late else dt.datetime(1899, 12, 30)
 
 
-def _headers(rows, header_row: int) -> list[str]:
-    if header_row >= len(rows):
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
         return []
+    out = []
+    with z.open("xl/sharedStrings.xml") as f:
+        for _, si in ET.iterparse(f):
+            if si.tag == f"{{{NS['m']}}}si":
+                out.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
+                si.clear()
+    return out
+
+
+def _sheet_rows(content: bytes, sheet: int):
+    """(row number, {column: cell text}) of one sheet, read as a stream: a row at a time is held."""
+    z, part, epoch = _workbook(content, sheet)
+    shared, dates = _shared_strings(z), _date_styles(z)
+    tag = f"{{{NS['m']}}}"
+    at = -1
+    with z.open(part) as f:
+        parents = []
+        for event, row in ET.iterparse(f, events=("start", "end")):
+            if event == "start":
+                if row.tag == tag + "sheetData":
+                    parents.append(row)
+                continue
+            if row.tag != tag + "row":
+                continue
+            at = int(row.get("r")) - 1 if row.get("r") else at + 1
+            cells: dict[int, str | None] = {}
+            for j, c in enumerate(row.findall("m:c", NS)):
+                ref = c.get("r")
+                col = _col_index(_REF.match(ref).group(1)) if ref else j
+                t = c.get("t")
+                if t == "inlineStr":
+                    val = "".join(x.text or "" for x in c.iter(tag + "t"))
+                else:
+                    v = c.find("m:v", NS)
+                    val = None if v is None else v.text
+                    if val is not None and t == "s":
+                        val = shared[int(val)]
+                    elif val is not None and t == "b":
+                        val = "True" if val == "1" else "False"
+                    elif val is not None and t in (None, "n"):
+                        val = _as_date(val, epoch) if int(c.get("s", 0)) in dates else _Number(val)
+                cells[col] = val
+            yield at, cells
+            row.clear()
+            for p in parents:
+                p.clear()
+
+
+def _headers(cells: dict[int, str | None], width: int) -> list[str]:
+    """Column names of a header row's cells."""
     seen: dict[str, int] = {}
     names = []
-    for j, h in enumerate(rows[header_row]):
+    for j in range(width):
+        h = cells.get(j)
         raw = f"unnamed:_{j}" if h is None else str(h)
         n = seen.get(raw, 0)
         seen[raw] = n + 1
@@ -101,10 +157,21 @@ def _headers(rows, header_row: int) -> list[str]:
     return names
 
 
-def _text_columns(rows, headers: list[str], header_row: int) -> list[str]:
-    """Headers of the columns with a cell that is not a number."""
-    held = {j for r in rows[header_row + 1:] for j, v in enumerate(r) if v and not isinstance(v, _Number)}
-    return [h for j, h in enumerate(headers) if j in held]
+def _profile(content: bytes, sheet: int, header_row: int) -> tuple[list[str], list[str], list[str]]:
+    """(headers, those of columns with a text cell, with a date): a pass that holds one row."""
+    head: dict[int, str | None] = {}
+    width, text, dates = 0, set(), set()
+    for at, cells in _sheet_rows(content, sheet):
+        width = max(width, max(cells, default=-1) + 1)
+        if at == header_row:
+            head = cells
+        elif at > header_row:
+            text |= {j for j, v in cells.items() if v and not isinstance(v, (_Number, _Date))}
+            dates |= {j for j, v in cells.items() if isinstance(v, _Date)}
+    if not head:
+        return [], [], []
+    names = _headers(head, width)
+    return names, [names[j] for j in sorted(text)], [names[j] for j in sorted(dates)]
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -123,12 +190,11 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, header_row: int =
 
     def header_pass(batches):
         for pdf in batches:
-            sheets = [_sheet_rows(c, sheet) for c in pdf["content"]]
-            heads = [_headers(rows, header_row) for rows in sheets]
-            yield pd.DataFrame({"path": pdf["path"], "headers": heads,
-                                "texts": [_text_columns(rows, h, header_row) for rows, h in zip(sheets, heads)]})
+            found = [_profile(c, sheet, header_row) for c in pdf["content"]]
+            yield pd.DataFrame({"path": pdf["path"], **{n: [f[i] for f in found] for i, n in enumerate(("headers", "texts", "dates"))}})
 
-    heads = files.mapInPandas(header_pass, "path string, headers array<string>, texts array<string>").collect()
+    heads = files.mapInPandas(
+        header_pass, "path string, headers array<string>, texts array<string>, dates array<string>").collect()
     columns: list[str] = []
     for h in sorted(heads, key=lambda r: r["path"]):       # one short list per file
         for c in h["headers"]:
@@ -140,25 +206,27 @@ def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, header_row: int =
 
     def rows_pass(batches):
         for pdf in batches:
-            out = []
             for content in pdf["content"]:
-                rows = _sheet_rows(content, sheet)
-                hs = _headers(rows, header_row)
-                for r in rows[header_row + 1:]:
-                    if all(v is None or v == "" for v in r):
-                        continue
-                    rec = dict.fromkeys(columns)
-                    for h, v in zip(hs, r):
-                        rec[h] = v
-                    out.append(rec)
-            if out:
-                yield pd.DataFrame(out, columns=columns)
+                names, _, _ = _profile(content, sheet, header_row)
+                out = []
+                for at, cells in _sheet_rows(content, sheet):
+                    if at > header_row and any(v not in (None, "") for v in cells.values()):
+                        rec = dict.fromkeys(columns)
+                        rec.update((names[j], v) for j, v in cells.items())
+                        out.append(rec)
+                    if len(out) == ROWS:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=columns)
 
     out = files.mapInPandas(rows_pass, schema)
     if not infer:
         return out
     texts = {c for h in heads for c in h["texts"]}
-    return infer_types(out, [c for c in columns if c not in texts])
+    dates = {c for h in heads for c in h["dates"]} - texts
+    typed = infer_types(out, [c for c in columns if c not in texts and c not in dates])
+    return typed.withColumns({c: F.col(f"`{c}`").cast("timestamp") for c in dates}) if dates else typed
 
 
 # ---- fixture writer ------------------------------------------------------------------------
