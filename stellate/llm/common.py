@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.session import materialize
 
-__all__ = ["column_type", "documents", "empty_text", "held_out", "materialize", "row_ids", "table"]
+__all__ = ["column_type", "documents", "empty_text", "held_out", "materialize", "release", "row_ids", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,12 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(code % modulus == remainder, F.lit(False))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does when their plans are collected as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def column_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 

@@ -8,15 +8,20 @@ more than D of its blocks are not zero, one such block is equal in both.  k
 depends on the set's size band only; sets near the upper edge of a band are
 sketched for the next band too, since partners may lie there.
 
-Blocks that only one set holds can't match.  By the same count, among the
-blocks of each set, ordered by how many sets hold them, the first D + 1 must
-contain an equal one: only these are joined, so frequent blocks drop out
-unless a text consists of them.  Sets that share a block are candidates: in
-small groups all pairs, in large ones each with the set that shares most with others, then,
-after components are known, each pair across components that the whole
-sketches allow, compared in bounded chunks.  Every candidate is
-verified: whole sketches that differ in too many bits rule a pair out, the
-sets themselves decide the rest.  Equal sets are one node of the graph.
+Prefixes: order all blocks in one way for all sets.  At most D of a set's
+blocks are missing in its partner, so its first D + l blocks hold the first l
+of those that both have; the same goes for the partner.  Hence both prefixes
+share at least min(l) blocks, and only prefixes are moved; a pair that shares
+fewer is no candidate.  Any order will do; this one takes blocks that a bounded
+sample of texts shows to be frequent last, the rest by hash.
+
+Sets that share a block are counted: in small groups all pairs, in large ones
+each set with the first; pairs with enough equal blocks are candidates.  After
+components are known, each pair of a large group that lies across components
+and that the whole sketches allow is one, too, compared in bounded chunks, so
+no pair depends on the count of a group that is too large to be paired.  Every
+candidate is verified: whole sketches that differ in too many bits rule a pair
+out, the sets themselves decide the rest.  Equal sets are one node of the graph.
 
 Texts: null counts as empty; texts without words have an empty set and stay
 alone.  Repeated rows are equal sets.  A null id takes part; the smallest id
@@ -31,12 +36,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm import bits, scan
-from stellate.llm.common import documents, materialize
+from stellate.llm.common import documents, materialize, release
 from stellate.llm.components import components
 
 WORDS = 5
@@ -44,10 +48,16 @@ SIMILARITY = (80, 100)
 SIGMAS = 9.0
 SMALL_GROUP = 12
 CHUNK = 2048
-#: In candidates: bits of the size; above them how much of the set other sets share.
+#: Texts whose blocks are counted, and blocks of them that are known as frequent: they set an order only.
+SAMPLE = 1 << 16
+COMMON = 1 << 20
+#: In block rows: bits of the size; above them the thousandths of the set's blocks that are frequent ones.
 SIZE_BITS = 40
-#: Blocks that more sets hold rank alike.
-MOST_HELD = (1 << 12) - 1
+#: In candidates: w of a pair is at most this.
+PAIR = -(1 << 50)
+SHORT = (1 << 31) - 1
+#: Up to so many texts pairs are counted by 31 bits of either node.
+NARROW = 1 << 28
 FILTER_BLOCKS = 1 << 17
 SEED = 1
 NULL_ID = -(1 << 63)
@@ -76,7 +86,7 @@ def band_blocks(b: int) -> int:
         x = top / k
         empty = math.exp(-x)
         filled = k * (1 - empty - empty * x * x / 128)
-        if filled - SIGMAS * math.sqrt(k * empty * (1 - (1 + x) * empty)) > most_different(top) + 1:
+        if filled - SIGMAS * math.sqrt(k * empty * (1 - (1 + x) * empty)) > most_different(top) + shared_least(top):
             return k
 
 
@@ -86,6 +96,11 @@ def most_different(size, similarity: tuple[int, int] = SIMILARITY) -> int:
     return size * (b - a) // a
 
 
+def shared_least(size, similarity: tuple[int, int] = SIMILARITY):
+    """How many equal blocks a pair must have among the first D of either and so many more."""
+    return 1 + most_different(size, similarity) // 16
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray, n: int = WORDS):
     """(distinct shingle hashes by text, offsets, node): node 0 is the empty set."""
     start, end, doc = scan.spans(data, offs)
@@ -152,20 +167,56 @@ def sketch_distance(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
 
 
-def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) -> DataFrame:
-    """Rows of three kinds, told apart by w.
+def _blocks_of(key: np.ndarray, similarity: tuple[int, int], seed: int):
+    """(band, hashes of the blocks that are not zero) of a set's sketches: its band's and, near the upper edge, the next one's."""
+    a, c = similarity
+    own = band(len(key))
+    for b in [own] + [own + 1] * (band(len(key) * c // a) > own):
+        yield sketch_blocks(key, band_blocks(b), b, seed)
+
+
+def common_blocks(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, counts) of blocks that several of about SAMPLE texts hold, at most COMMON of them.
+
+    They only set the order in which a set's blocks are taken: any order gives the same links, and this one
+    takes blocks that are known to be frequent last.
+    """
+    a, c = similarity
+    sample = texts if total <= SAMPLE else texts.filter(
+        F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit((1 << 30) * SAMPLE // total))
+
+    def run(batches):
+        for _, data, offs in scan.blocks(batches):
+            key, bound, _ = shingle_sets(data, offs, n)
+            made = [m for d in np.flatnonzero(np.diff(bound) * (c - a) >= a).tolist()
+                    for m in _blocks_of(key[bound[d]:bound[d + 1]], similarity, seed)]
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(scan.signed(np.concatenate(made)))], ["k"])
+
+    found = (sample.select("text").mapInArrow(run, "k long").groupBy("k").agg(F.count("*").alias("n"))
+             .filter("n > 1").orderBy(F.desc("n"), "k").limit(COMMON).toArrow())
+    key = found.column("k").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], np.minimum(found.column("n").to_numpy()[order], 255).astype(np.uint64)
+
 
-    Blocks: (block hash, node and slot, 0); texts: (doc_id, node, -1 - 2 * size, sketch of the whole set);
-    sketches: (size, node and slot, -2 - 2 * number of blocks).
+def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int, total: int) -> DataFrame:
+    """Rows of two kinds, told apart by w.
+
+    Texts: (doc_id, node, -1 - size, sketch of the whole set); blocks: (48 bits of the block hash, node, share of
+    frequent blocks and size), of each sketch only the first ones in a global order, frequent blocks last.  Blocks
+    that agree in 48 bits only make a few candidates more.
     """
     a, c = similarity
+    shared = texts.sparkSession.sparkContext.broadcast(common_blocks(texts, n, similarity, seed, total))
 
     def run(batches):
         seen: set[int] = set()
+        common, held = shared.value
         for part, data, offs in scan.blocks(batches):
             key, bound, node = shingle_sets(data, offs, n)
             size = np.diff(bound)
-            out = [[part.column("doc_id").fill_null(NULL_ID).to_numpy()], [scan.signed(node)], [-1 - 2 * size]]
+            out = [[part.column("doc_id").fill_null(NULL_ID).to_numpy()], [scan.signed(node)], [-1 - size]]
             sketches = [None] * part.num_rows
             for d in np.flatnonzero(size * (c - a) >= a).tolist():      # smaller sets only have equal partners
                 name = int(node[d])
@@ -173,16 +224,24 @@ def _index(texts: DataFrame, n: int, similarity: tuple[int, int], seed: int) ->
                     continue
                 seen.add(name)
                 s = int(size[d])
-                own = band(s)
+                need = most_different(s, similarity) + shared_least(s, similarity)
                 sketches[d] = whole_sketch(key[bound[d]:bound[d + 1]])
-                for slot, b in enumerate([own] + [own + 1] * (band(s * c // a) > own)):
-                    made = sketch_blocks(key[bound[d]:bound[d + 1]], band_blocks(b), b, seed)
-                    if len(made) <= most_different(s, similarity):
+                for made in _blocks_of(key[bound[d]:bound[d + 1]], similarity, seed):
+                    if len(made) < need:
                         raise ValueError("a sketch has too few blocks; take another seed")
-                    v = np.array([name | slot], np.uint64).view(np.int64)
-                    out[0] += [scan.signed(made), np.array([s])]
-                    out[1] += [np.repeat(v, len(made)), v]
-                    out[2] += [np.zeros(len(made), np.int64), np.array([-2 - 2 * len(made)])]
+                    often = 0
+                    if len(common):
+                        at = np.minimum(np.searchsorted(common, made), len(common) - 1)
+                        times = np.where(common[at] == made, held[at], np.uint64(0))
+                        order = times << np.uint64(56) | made >> np.uint64(8)
+                        often = int(np.count_nonzero(times)) * 1000 // len(made)
+                    else:
+                        order = made
+                    if len(made) > need:
+                        made = made[np.argpartition(order, need - 1)[:need]]
+                    out[0].append(scan.signed(made >> np.uint64(16)))
+                    out[1].append(np.full(need, scan.signed(node[d:d + 1])[0]))
+                    out[2].append(np.full(need, often << SIZE_BITS | s))
             k, v, w = (np.concatenate(x) for x in out)
             yield _rows(k, v, w, sketches + [None] * (len(k) - part.num_rows))
 
@@ -195,87 +254,23 @@ def _runs(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(k)))
 
 
-def _shared_blocks(batches):
-    """Of rows sorted by (k, v): the block rows whose k more than one v holds, once each; other rows as they are.
-
-    k becomes (number of holders, run number): its order is rarest first.  A run
-    beyond ``MOST_HELD`` is passed on as it comes, so none is gathered.
-    """
-    number = TaskContext.get().partitionId() << 31
-    k = v = np.zeros(0, np.int64)
-    long_run = None
-    for batch in _and_last(batches):
-        if batch is not None:
-            nk, nv, nw = (batch.column(c).to_numpy() for c in ("k", "v", "w"))
-            other = nw != 0
-            if other.any():
-                yield batch.filter(pa.array(other))
-            k, v = np.concatenate([k, nk[~other]]), np.concatenate([v, nv[~other]])
-        if not len(k):
-            continue
-        fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])
-        k, v = k[fresh], v[fresh]
-        if long_run is not None and (same := int(np.searchsorted(k, long_run[0], "right"))):
-            new = v[:same] != long_run[2]
-            yield _rows(np.full(int(new.sum()), long_run[1]), v[:same][new], np.zeros(int(new.sum())))
-            long_run = (*long_run[:2], v[same - 1])
-            k, v = k[same:], v[same:]
-            if not len(k):
-                continue
-        first, held = _runs(k)
-        done = len(first) if batch is None else len(first) - 1
-        stop = first[done] if done < len(first) else len(k)
-        ids = number + np.arange(done) + (np.minimum(held[:done], MOST_HELD) << 51)
-        number += done
-        take = np.repeat(held[:done] > 1, held[:done])
-        yield _rows(np.repeat(ids, held[:done])[take], v[:stop][take], np.zeros(int(take.sum())))
-        k, v = k[stop:], v[stop:]
-        if len(k) > MOST_HELD:
-            long_run = (k[0], number + (MOST_HELD << 51), v[-1])
-            number += 1
-            yield _rows(np.full(len(k), long_run[1]), v, np.zeros(len(k)))
-            k = v = k[:0]
-
-
 def _and_last(batches):
     """The batches that have rows, then None."""
     yield from (b for b in batches if b.num_rows)
     yield None
 
 
-def _prefixes(similarity: tuple[int, int]):
-    """Of rows sorted by (v, w, k): each sketch's rarest D + 1 blocks, as far as shared, as (k, node, rank and size); texts as they are."""
-    def run(batches):
-        k = v = w = np.zeros(0, np.int64)
-        for batch in _and_last(batches):
-            if batch is not None:
-                new = [batch.column(c).to_numpy() for c in ("k", "v", "w")]
-                text = (new[2] < 0) & (new[2] & 1 == 1)
-                if text.any():
-                    yield batch.filter(pa.array(text))
-                k, v, w = (np.concatenate([x, y[~text]]) for x, y in zip((k, v, w), new))
-            if not len(k):
-                continue
-            fresh = np.concatenate([[True], (v[1:] != v[:-1]) | (k[1:] != k[:-1]) | (w[1:] != w[:-1])])
-            k, v, w = k[fresh], v[fresh], w[fresh]
-            first, rows = _runs(v)
-            done = len(first) if batch is None else len(first) - 1
-            stop = first[done] if done < len(first) else len(k)
-            at, shared = first[:done], rows[:done] - 1
-            size, blocks = k[at], (-2 - w[at]) // 2
-            need = most_different(size, similarity) + 1 - (blocks - shared)
-            place = np.arange(stop) - np.repeat(at, rows[:done])
-            keep = (place > 0) & (place <= np.repeat(need, rows[:done]))
-            rank = np.clip(need * 1000 // np.maximum(size, 1), 0, 1000) << SIZE_BITS | size
-            yield _rows(k[:stop][keep], v[:stop][keep] & ~1, np.repeat(rank, rows[:done])[keep])
-            k, v, w = k[stop:], v[stop:], w[stop:]
-    return run
+def short(node):
+    """31 bits of a node; of two longs or two columns."""
+    return (node >> 1) & SHORT
 
 
-def _candidates(similarity: tuple[int, int]):
-    """Of rows (block, node, rank and size) sorted by block and falling rank: pairs (u, v, 0), and large groups as they are.
+def _candidates(similarity: tuple[int, int], narrow: bool):
+    """Of rows (block, node, share and size) sorted by block and falling share: pairs (u, v, PAIR less the number of
+    equal blocks asked for), and large groups as they are; texts pass.
 
-    The first set of a large group is the one that shares most with others: of edited copies, the original.
+    In small groups these are all pairs, in large ones each set with the first, the one with most frequent blocks:
+    of edited copies that is rather the original.  ``narrow``: u and v are shortened to half a long each, in k.
     """
     a, c = similarity
 
@@ -283,26 +278,40 @@ def _candidates(similarity: tuple[int, int]):
         us, vs = (x & ((1 << SIZE_BITS) - 1) for x in (us, vs))
         u, v = np.minimum(u, v), np.maximum(u, v)
         near = (us * c >= vs * a) & (vs * c >= us * a) & (u != v)
-        return _rows(u[near], v[near], np.zeros(int(near.sum())))
+        u, v = u[near], v[near]
+        if narrow:
+            u, v = short(u), short(v)
+            u, v = np.minimum(u, v) << 32 | np.maximum(u, v), np.zeros(len(u), np.int64)
+        return _rows(u, v, PAIR - shared_least(np.minimum(us, vs)[near], similarity))
 
     def run(batches):
         k = v = w = np.zeros(0, np.int64)
-        large = None                             # block, first node and its size of a large group still going on
+        large = None                             # block, first node and its size, last node of a large group still going on
         for batch in _and_last(batches):
             if batch is not None:
-                k, v, w = (np.concatenate([x, batch.column(n).to_numpy()]) for x, n in zip((k, v, w), "kvw"))
+                new = [batch.column(n).to_numpy() for n in "kvw"]
+                text = new[2] < 0
+                if text.any():
+                    yield batch.filter(pa.array(text))
+                k, v, w = (np.concatenate([x, y[~text]]) for x, y in zip((k, v, w), new))
             if not len(k):
                 continue
-            if large is not None and (same := int(np.searchsorted(k, large[0], "right"))):
-                yield pairs(np.full(same, large[1]), v[:same], np.full(same, large[2]), w[:same])
-                yield _rows(k[:same], v[:same], w[:same])
+            fresh = np.concatenate([[True], (k[1:] != k[:-1]) | (v[1:] != v[:-1])])     # copies seen by several tasks
+            k, v, w = k[fresh], v[fresh], w[fresh]
+            if large is not None:
+                same = int(np.searchsorted(k, large[0], "right"))
+                skip = int(same > 0 and v[0] == large[3])
+                yield pairs(np.full(same - skip, large[1]), v[skip:same], np.full(same - skip, large[2]), w[skip:same])
+                yield _rows(k[skip:same], v[skip:same], w[skip:same])
+                if same:
+                    large = (*large[:3], v[same - 1])
                 k, v, w = k[same:], v[same:], w[same:]
             first, rows = _runs(k)
             if not len(first):
                 continue
             done = len(first) if batch is None or rows[-1] > SMALL_GROUP else len(first) - 1
             if done == len(first):
-                large = (k[first[-1]], v[first[-1]], w[first[-1]]) if rows[-1] > SMALL_GROUP else None
+                large = (k[first[-1]], v[first[-1]], w[first[-1]], v[-1]) if rows[-1] > SMALL_GROUP else None
             stop = first[done] if done < len(first) else len(k)
             size = np.repeat(rows[:done], rows[:done])
             few = size <= SMALL_GROUP
@@ -431,33 +440,42 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
                    seed: int = SEED) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row."""
     texts = documents(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    a, c = similarity
-    blocks = (_index(texts, n, similarity, seed).repartition("k").sortWithinPartitions("k", "v")
-              .mapInArrow(_shared_blocks, INDEX_SCHEMA))
-    is_text = (F.col("w") < 0) & (F.col("w").bitwiseAND(1) == 1)
-    index = materialize(blocks.repartition(F.when(is_text, F.col("k")).otherwise(F.col("v")))
-                        .sortWithinPartitions("v", "w", "k").mapInArrow(_prefixes(similarity), INDEX_SCHEMA), "index")
-    rows = index.filter("w < 0").select(
-        F.col("k").alias("doc_id"), F.col("v").alias("node"), F.floor((-1 - F.col("w")) / 2).cast("long").alias("size"))
-    sketches = materialize(index.filter("w < 0 and s is not null").groupBy(F.col("v").alias("node")).agg(
-        F.first("s").alias("sketch"), F.max(F.floor((-1 - F.col("w")) / 2).cast("long")).alias("size")), "sketches")
-    found = materialize(index.filter("w > 0").repartition("k").sortWithinPartitions("k", F.col("w").desc(), "v")
-                        .mapInArrow(_candidates(similarity), INDEX_SCHEMA), "candidates")
-    pairs = found.filter("w = 0").select(F.col("k").alias("u"), "v").distinct()
+    total = texts.count()
+    narrow = total <= NARROW
+    found = materialize(_index(texts, n, similarity, seed, total).repartition("k").sortWithinPartitions("k", F.col("w").desc(), "v")
+                        .mapInArrow(_candidates(similarity, narrow), INDEX_SCHEMA), "candidates")
+    release(texts.sparkSession)
+    is_text = f"w < 0 and w > {PAIR}"
+    rows = found.filter(is_text).select(F.col("k").alias("doc_id"), F.col("v").alias("node"), (-1 - F.col("w")).alias("size"))
+    sketches = materialize(found.filter(f"{is_text} and s is not null").groupBy(F.col("v").alias("node")).agg(
+        F.first("s").alias("sketch"), F.max(-1 - F.col("w")).alias("size")), "sketches")
+    met = found.filter(f"w < {PAIR}")
+    met = met.groupBy("k") if narrow else met.groupBy("k", "v")
+    pairs = met.agg(F.count("*").alias("n"), F.min(F.lit(PAIR) - F.col("w")).alias("asked")).filter("n >= asked")
+    if narrow:                                                  # nodes that are shortened alike: a few candidates more
+        half = materialize(pairs.select(F.shiftright("k", 32).alias("us"), F.col("k").bitwiseAND(SHORT).alias("vs")), "halves")
+        ends = sketches.select(F.shiftright("node", 1).bitwiseAND(SHORT).alias("half"), "node")
+        pairs = half.join(ends.select(F.col("half").alias("us"), F.col("node").alias("x")), "us").join(
+            ends.select(F.col("half").alias("vs"), F.col("node").alias("y")), "vs").filter("x <> y").select(
+            F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+    else:
+        pairs = pairs.select(F.col("k").alias("u"), "v")
     links = _verified(materialize(_near(pairs, sketches, similarity), "pairs"), texts, n, similarity)
+    release(texts.sparkSession)
     roots = materialize(components(links), "roots")
 
-    large = found.filter("w > 0").select("k", F.col("v").alias("node"), F.col("w").alias("size"))
-    placed = large.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).filter(
-        "low < high").select("k", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    dealt = (placed.join(mixed, "k").join(sketches, "node")
+    large = found.filter("w > 0").select("k", F.col("v").alias("node"))
+    split = large.groupBy("k").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).filter("chunks > 1")
+    known = sketches.join(roots, "node", "left").select("node", "size", "sketch", F.coalesce("root", "node").alias("root"))
+    dealt = (large.join(split, "k", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
              .withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
+             .join(known, "node")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .select("k", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
                      "chunk", "node", "root", "size", "sketch"))
     across = materialize(dealt.repartition("k", "lo", "hi").sortWithinPartitions("k", "lo", "hi", "node")
                          .mapInArrow(_across(similarity), "u long, v long").distinct(), "across")
+    release(texts.sparkSession)
     if across.limit(1).count():
         roots = materialize(components(links.union(_verified(across, texts, n, similarity))), "roots")
 

@@ -174,6 +174,49 @@ def test_language_model_keeps_rare_pairs(docs):
         assert all(i == j and abs(x - y) <= off * k for (i, x), (j, y, k) in zip(out, want, strict=True))
 
 
+def test_pair_sums_in_tiny_batches():
+    """Keys that end and go on between batches, held-out rows that outnumber any buffer."""
+    import numpy as np
+    import pyarrow as pa
+    rnd = random.Random(5)
+    for _ in range(60):
+        rows = []
+        for key in range(6):
+            rows += [(key, rnd.randrange(5), rnd.randint(1, 3), 10 * key + 1) for _ in range(rnd.randint(0, 4))]
+            rows += [(key, rnd.randrange(5), -rnd.randint(1, 3), 10 * key + 1) for _ in range(rnd.choice([0, 3, 40]))]
+        rows.sort(key=lambda r: (r[0], -r[2]))
+        rare = [r[0] % 3 == 2 for r in rows]
+        k, d, t, c = (np.array(x, np.int64) for x in zip(*rows)) if rows else [np.zeros(0, np.int64)] * 4
+        table = pa.table({"key": k, "row": d, "times": t, "count": c, "text": pa.nulls(len(k), pa.struct([("x", pa.int64())])),
+                          "rare": pa.array([{"before": 1, "word": 2, "context": 0, "count": 0} if r else None for r in rare], language_model.RARE)})
+        cut = sorted(rnd.sample(range(len(rows) + 1), min(6, len(rows) + 1)))
+        batches = [b for i, j in itertools.pairwise([0, *cut, len(rows)]) for b in table.slice(i, j - i).combine_chunks().to_batches()]
+        got = list(language_model._pair_sums(500.0)(iter(batches)))
+        got = [r for b in got for r in b.to_pylist()]
+        n = collections.Counter()
+        for key, _, times, _ in rows:
+            n[key] += max(times, 0)
+        want = collections.defaultdict(float)
+        for (key, row, times, count), r in zip(rows, rare):
+            if not r and n[key]:
+                want[row] += abs(times) * math.log10(1 + n[key] * 500.0 / (language_model.MASS * (count + 1)))
+        sums = collections.defaultdict(float)
+        for r in got:
+            if r["value"] is not None:
+                sums[r["row"]] += r["value"]
+        assert {x: round(v, 9) for x, v in sums.items()} == {x: round(v, 9) for x, v in want.items()}
+        assert sorted((r["row"], r["times"], r["n"]) for r in got if r["rare"]) == sorted(
+            (row, abs(times), n[key]) for (key, row, times, _), r in zip(rows, rare) if r)
+
+
+def test_a_pair_that_only_held_out_texts_hold(spark):
+    """Its rows all count 0 and meet nothing that grows with them."""
+    rows = [(i, "known words here and there") for i in range(400)] + [(1000 + i, "there known") for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = language_model.score(docs, F.col("doc_id") >= 1000, 2, 1.0).filter("doc_id >= 1000")
+    assert out.count() == 20_000 and out.agg(F.max("score") - F.min("score")).first()[0] < 1e-9
+
+
 def test_toxicity(spark, empty):
     rnd = random.Random(2)
     pool = ["w%d" % i for i in range(200)]
@@ -219,16 +262,50 @@ def smallest_reachable(rows):
     return [(i, len(s), least.get(g) if s else i) for (i, s), g in zip(sets, group)]
 
 
-@pytest.mark.parametrize("small,chunk,held", [(12, 2048, 4095), (2, 3, 2)])
-def test_jaccard_join(docs, empty, monkeypatch, small, chunk, held):
+@pytest.mark.parametrize("small,chunk,sample,narrow", [(12, 2048, 1 << 14, 1 << 28), (2, 3, 20, 0)])
+def test_jaccard_join(docs, empty, monkeypatch, small, chunk, sample, narrow):
+    monkeypatch.setattr(jaccard_join, "NARROW", narrow)
     monkeypatch.setattr(jaccard_join, "SMALL_GROUP", small)
     monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
-    monkeypatch.setattr(jaccard_join, "MOST_HELD", held)
+    monkeypatch.setattr(jaccard_join, "SAMPLE", sample)
     out = jaccard_join.join_documents(docs).collect()
     assert sorted(map(str, map(tuple, out))) == sorted(map(str, smallest_reachable(corpus())))
     assert jaccard_join.join_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("small,bits", [(12, 31), (3, 5)])
+def test_jaccard_join_of_shared_passages(spark, monkeypatch, small, bits):
+    """Texts made of passages that many share, with edits around the limit, and a passage that all hold."""
+    rnd = random.Random(12)
+    passages = [" ".join("p%dw%d" % (k, rnd.randrange(10 ** 6)) for _ in range(rnd.randint(8, 40))) for k in range(14)]
+    texts = []
+    for k in range(160):
+        own = " ".join("own%d" % rnd.randrange(10 ** 6) for _ in range(rnd.randint(0, 30)))
+        texts.append(" ".join(rnd.sample(passages, rnd.randint(1, 7)) + [own, passages[0]]))
+    for k in range(80):
+        words = texts[rnd.randrange(len(texts))].split()
+        for _ in range(rnd.randint(1, 5)):
+            words[rnd.randrange(len(words))] = "edit%d" % rnd.randrange(10 ** 6)
+        texts.append(" ".join(words))
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", small)
+    monkeypatch.setattr(jaccard_join, "SHORT", (1 << bits) - 1)           # with 5 bits most pairs are mixed up
+    rows = list(enumerate(texts))
+    out = jaccard_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = smallest_reachable(rows)
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
+    assert 20 < len({c for *_, c in want}) < 220
+
+
+def test_a_block_that_thousands_of_unlike_texts_share(spark):
+    """One passage in 5,000 texts of their own: no links but those of the planted copies."""
+    rnd = random.Random(2)
+    passage = " ".join("shared%d" % k for k in range(60))
+    rows = [(i, passage + " " + " ".join("t%d" % rnd.randrange(10 ** 7) for _ in range(40))) for i in range(5000)]
+    rows += [(6000 + i, rows[i][1] + " end") for i in range(30)]
+    out = jaccard_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: i - 6000 if i >= 6000 else i for i, _ in rows}
+
+
 def test_deduplicate(docs):
     kept = jaccard_join.deduplicate(docs)
     assert kept.columns == docs.columns
@@ -237,28 +314,37 @@ def test_deduplicate(docs):
     assert set(ids) == want and len(ids) == len(set(ids))
 
 
-def test_sorted_passes_in_tiny_batches(monkeypatch):
-    """Runs that end, go on and overflow between batches."""
+def test_candidates_in_tiny_batches(monkeypatch):
+    """Groups that end, go on and overflow between batches; rows that come twice."""
     import numpy as np
     import pyarrow as pa
     rnd = random.Random(3)
-    for held in (2, 4095):
-        monkeypatch.setattr(jaccard_join, "MOST_HELD", held)
-        monkeypatch.setattr(jaccard_join.TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": lambda s: 0})()))
-        for _ in range(30):
-            rows = sorted((rnd.randrange(12), rnd.randrange(8)) for _ in range(50))
+    for small in (1, 3, 12):
+        monkeypatch.setattr(jaccard_join, "SMALL_GROUP", small)
+        for _ in range(60):
+            size = {v: 100 + v for v in range(9)}
+            rows = sorted(((rnd.randrange(6), rnd.randrange(9)) for _ in range(50)), key=lambda r: (r[0], -size[r[1]], r[1]))
             k, v = np.array(rows).T
+            w = np.array([size[x] for x in v])
             cut = sorted(rnd.sample(range(51), 6))
-            batches = [jaccard_join._rows(k[a:b], v[a:b], np.zeros(b - a)) for a, b in itertools.pairwise([0, *cut, 50])]
-            got = pa.Table.from_batches(list(jaccard_join._shared_blocks(iter(batches))))
-            found = collections.defaultdict(set)
-            for a, b in zip(got["k"].to_pylist(), got["v"].to_pylist()):
-                assert b not in found[a]
-                found[a].add(b)
-            want = collections.defaultdict(set)
+            batches = [jaccard_join._rows(k[a:b], v[a:b], w[a:b]) for a, b in itertools.pairwise([0, *cut, 50])]
+            got = pa.Table.from_batches(list(jaccard_join._candidates(jaccard_join.SIMILARITY, False)(iter(batches))))
+            pairs, large = collections.Counter(), collections.defaultdict(list)
+            for a, b, c in zip(*(got[x].to_pylist() for x in "kvw")):
+                if c < 0:
+                    pairs[a, b] += 1
+                    assert jaccard_join.PAIR - c == jaccard_join.shared_least(100 + min(a, b))
+                else:
+                    large[a].append(b)
+            groups = collections.defaultdict(set)
             for a, b in rows:
-                want[a].add(b)
-            assert sorted(map(sorted, found.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+                groups[a].add(b)
+            want = collections.Counter()
+            for g in groups.values():
+                first = max(g)
+                want.update(p for p in itertools.combinations(sorted(g), 2) if len(g) <= small or first in p)
+            assert pairs == want
+            assert {a: sorted(x) for a, x in large.items()} == {a: sorted(g) for a, g in groups.items() if len(g) > small}
 
 
 def test_components(spark):
@@ -271,9 +357,9 @@ def test_decontamination(spark, docs, empty):
     out = decontamination.matches(docs, benchmark(spark)).collect()
     first = next(i for i, t in corpus() if t and t.startswith("so Anna"))
     assert {(r.doc_id, r.item_id, r.kind) for r in out} == {
-        (first, 1, "verbatim"), (first + 1, 1, "reparameterised"), (first + 3, 2, "verbatim")}
+        (first, 1, "verbatim"), (first + 1, 1, "reparameterised"), (first + 2, 1, "reparameterised"), (first + 3, 2, "verbatim")}
     kept = decontamination.clean(docs, benchmark(spark))
-    assert kept.columns == docs.columns and kept.count() == docs.count() - 3
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 4
     assert decontamination.matches(empty, benchmark(spark)).count() == 0
     assert decontamination.matches(docs, empty.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
 
@@ -284,6 +370,22 @@ def found_items(spark, items, texts):
     return {(r.doc_id, r.item_id, r.kind) for r in out.collect()}
 
 
+def test_shared_instructions_are_no_contamination(spark):
+    """Items and texts that share only an instruction: no row; own words count, also beside it; copies of an item are all named."""
+    rnd = random.Random(6)
+    own = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    lead = "Answer the following question with the single letter of the option that fits best: "
+    items = [lead + own(12) for _ in range(40)]
+    items += [items[3], items[3]]                                                           # the same item three times
+    family = ["Add the two given numbers %d and %d and write down only their sum here please" % (k, 3 * k) for k in range(30)]
+    texts = [lead + own(12) for _ in range(120)] + ["well " + items[7] + " so", items[3], own(30) + " " + items[9][len(lead):]]
+    assert found_items(spark, items, texts) == {(120, 7, "verbatim"), (121, 3, "verbatim"), (121, 40, "verbatim"),
+                                                (121, 41, "verbatim"), (122, 9, "verbatim")}
+    found = found_items(spark, family, [family[5], "no " + family[17] + " yes", own(30)])
+    assert {d for d, _, _ in found} == {0, 1}
+    assert len(found) <= 4                                                                  # not one for each of the family
+
+
 def test_decontamination_of_numbers(spark):
     table = " ".join(f"{i} {i * i}" for i in range(3, 30))
     items = ["What is 12 times 7", "3 + 4 * 5 - 6 / 7 + 8 = ?", table, "42"]
@@ -301,7 +403,10 @@ def test_decontamination_of_shifted_copies(spark):
              slots.replace("2 bags", "5 bags"),
              slots.replace("Anna", "Mary Ann", 1).replace("45", "46"), " ".join(cut[:8]), slots + " " + slots.replace("45", "7")]
     assert found_items(spark, [long, slots], texts) == {
-        (0, 0, "verbatim"), (1, 1, "reparameterised"), (2, 1, "reparameterised"), (5, 1, "verbatim")}
+        (0, 0, "verbatim"), (1, 1, "reparameterised"), (2, 1, "reparameterised"), (3, 1, "reparameterised"), (5, 1, "verbatim")}
+    # a name that turns into two at a text that keeps less of the item is chance
+    loose = slots.replace("Anna", "Mary", 1).replace("red kites", "old books").replace("carry home", "put away").replace("noon", "dusk")
+    assert found_items(spark, [slots], [loose]) == set()
 
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -574,6 +679,6 @@ def test_pipeline_stages(spark, docs, tmp_path):
         step = spark.createDataFrame(out.collect(), table.schema)
     kept = {i for i, _, c in smallest_reachable(corpus()) if i == c and i is not None}
     first = next(i for i, t in corpus() if t and t.startswith("so Anna"))
-    assert {r.doc_id for r in step.select("doc_id").collect()} == kept - {first, first + 1, first + 3}
+    assert {r.doc_id for r in step.select("doc_id").collect()} == kept - {first, first + 1, first + 2, first + 3}
     packed = corpus_pipeline.run(spark, d)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in step.collect()}
