@@ -16,11 +16,12 @@ it, which bounds everything that is broadcast whatever the corpus:
   n-gram, in a filter of the same kind.
 
 Rarer words and pairs never enter a filter, but none is dropped: a pair that
-is not in the filter is emitted with its text, its exact count is the sum over
-the training texts that hold it, and rare words and contexts are looked up by
-a shuffle join.  As no longer n-gram over such a pair is stored, what higher
-orders add is a factor known in the task.  N-grams of order three or more
-below the floor are not stored.
+is not in the filter is emitted with its text and its word's count only, once a
+text; sorted by pair, its exact count is the sum over the training rows, which
+come first, and what it adds to its text is summed up before anything is
+written.  Rare words and contexts are looked up by a shuffle join.  As no longer
+n-gram over such a pair is stored, what higher orders add is a factor known in
+the task.  N-grams of order three or more below the floor are not stored.
 
 Probability: p_n = (c_n + (left + mass) * p_(n-1)) / (context + mass), where
 ``left`` is the context's count not covered by stored n-grams (0 for pairs);
@@ -38,11 +39,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm import bits, scan
-from stellate.llm.common import column_type, documents, materialize, row_ids
+from stellate.llm.common import column_type, documents, materialize, release, row_ids
 
 ORDER = 2
 FLOOR = 2e-7
@@ -55,8 +57,11 @@ BLOCK_BYTES = 1 << 22
 END = np.uint64(0x8F3A1C5D7E9B2461)
 BEGIN = np.uint64(0x51ED270B9F3C6A87)
 CONTEXT = np.uint64(0xC2B2AE3D27D4EB4F)
-#: By pair of a text that is not in the filter; word and context are 0 where their counts are known.
-TAIL = ("key", "times", "count", "before", "word", "context")
+#: Texts that a task sums up pairs for before it hands the sums on.
+MOST_SUMS = 1 << 20
+#: Of pairs whose word or context is rare; word and context are 0 where their counts are known.
+RARE = pa.struct([(c, pa.int64()) for c in ("before", "word", "context", "count")])
+COLUMNS = ["key", "row", "times", "count", "text", "rare"]
 
 
 class Lookup:
@@ -297,6 +302,72 @@ def train(texts: DataFrame, order: int = ORDER, floor: float = FLOOR) -> tuple[M
     return model, words
 
 
+def _pair_sums(whole: float):
+    """Of rows sorted by key and falling times: texts as they are, sums of known pairs by text, rare pairs with their counts.
+
+    A pair's count n is the times of its training rows; these come first, and there are fewer than the floor, so
+    nothing else of a key is held.  What a pair adds to its factor for n = 0 is log10(1 + n / (MASS * p_1)).
+    """
+    def add(sums, row, value):
+        row, at = np.unique(np.concatenate([sums[0], row]), return_inverse=True)
+        return row, np.bincount(at, weights=np.concatenate([sums[1], value]), minlength=len(row))
+
+    def out(rows: pa.Table, **columns):
+        rows = rows.select(["row", "text", "rare"])
+        for name in ("times", "n", "value"):
+            rows = rows.append_column(name, columns.get(name, pa.nulls(rows.num_rows, pa.float64() if name == "value" else pa.int64())))
+        return rows.select(["row", "times", "n", "value", "text", "rare"]).combine_chunks().to_batches()
+
+    def run(batches):
+        held, sums, shape = None, (np.zeros(0, np.int64), np.zeros(0)), None
+        going = None                                            # key whose count is final, its count
+        for batch in _with_end(batches):
+            if batch is not None:
+                t = pa.Table.from_batches([batch])
+                shape = t.schema
+                is_text = t.column("text").is_valid()
+                yield from out(t.filter(is_text))
+                t = t.filter(pc.invert(is_text))
+                held = t if held is None else pa.concat_tables([held, t])
+            if held is None or not held.num_rows:
+                continue
+            key, times, count = (held.column(c).to_numpy() for c in ("key", "times", "count"))
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n = np.add.reduceat(np.maximum(times, 0), first)
+            if going is not None and key[0] == going[0]:
+                n[0] = going[1]
+            final = batch is None or times[-1] < 0 or (going is not None and key[-1] == going[0])
+            stop = len(key) if final else first[-1]
+            going = (key[-1], n[-1]) if final else None
+            each = np.repeat(n, np.diff(np.append(first, len(key))))[:stop]
+            known = held.column("rare").is_null().to_numpy()[:stop]
+            at = np.flatnonzero(known & (each > 0))
+            value = np.abs(times[at]) * np.log10(1 + each[at] * whole / (MASS * (count[at] + 1.0)))
+            sums = add(sums, held.column("row").to_numpy()[at], value)
+            rare = np.flatnonzero(~known)
+            if len(rare):
+                yield from out(held.take(pa.array(rare)), times=pa.array(np.abs(times[rare])), n=pa.array(each[rare]))
+            held = held.slice(stop)
+            if len(sums[0]) >= MOST_SUMS or batch is None:
+                yield from _sum_rows(shape, sums)
+                sums = (np.zeros(0, np.int64), np.zeros(0))
+        if shape is not None and len(sums[0]):
+            yield from _sum_rows(shape, sums)
+
+    def _sum_rows(shape, sums):
+        rows = pa.table({"row": pa.array(sums[0]), "text": pa.nulls(len(sums[0]), shape.field("text").type),
+                         "rare": pa.nulls(len(sums[0]), shape.field("rare").type)})
+        return out(rows, value=pa.array(sums[1]))
+
+    return run
+
+
+def _with_end(batches):
+    """The batches that have rows, then None."""
+    yield from (b for b in batches if b.num_rows)
+    yield None
+
+
 def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
 
@@ -304,8 +375,9 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
     """
     texts = documents(docs).withColumn("held_out", held_out)
     model, words = train(texts.filter("not held_out"), order, floor)
+    release(texts.sparkSession)
     shared = texts.sparkSession.sparkContext.broadcast(model)
-    whole = math.log10(model.tokens + model.distinct + 1.0)
+    total = model.tokens + model.distinct + 1.0
 
     def run(batches):
         rows = row_ids()
@@ -314,54 +386,67 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
             t = Tokens(data, offs)
             exact, log_p, lacks, pair, before = m.scores(t, order)
             n = part.num_rows
-            known = exact > 0
-            base = np.where(known, np.log10(exact + 1.0) - whole, 0.0)
-            sums = [np.bincount(t.doc, weights=x, minlength=n) for x in (base, log_p, known)]
-            tail = np.flatnonzero(lacks)
+            seen = exact > 0
+            base = np.where(seen, np.log10((exact + 1.0) / total), 0.0)
+            look = lacks & (before == 0) & (t.place > 0) & (order > 1)     # the context's count isn't known here
+            sure = lacks & seen & ~look                          # these lack their own count only
+            p_1 = (exact[sure] + 1.0) / total
+            log_p[sure] += np.log10(np.where(before[sure] > 0, MASS * p_1 / (before[sure] + MASS), p_1))
+            sums = [np.bincount(t.doc, weights=x, minlength=n) for x in (base, log_p, seen)]
+            ids = np.array(rows.take(n), np.int64)
+            text = pa.StructArray.from_arrays(
+                [part.column("doc_id"), part.column("held_out"), pa.array(t.size), pa.array(sums[2].astype(np.int64)),
+                 pa.array(sums[0]), pa.array(sums[1])], ["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+            zero = pa.array(np.zeros(n, np.int64))
+            no_rare = pa.nulls(n, RARE)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), zero, zero, text, no_rare], COLUMNS)
+            tail = np.flatnonzero(lacks & ~(sure & (before == 0)))
             tail = tail[np.lexsort((pair[tail], t.doc[tail]))]
-            key, doc = pair[tail], t.doc[tail]
             fresh = np.ones(len(tail), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+            fresh[1:] = (pair[tail[1:]] != pair[tail[:-1]]) | (t.doc[tail[1:]] != t.doc[tail[:-1]])
             at = np.flatnonzero(fresh)
             times = np.diff(np.append(at, len(tail)))
-            bound = pa.array(np.searchsorted(doc[at], np.arange(n + 1)).astype(np.int32))
             one = tail[at]
-            look = (before[one] == 0) & (t.place[one] > 0) & (order > 1)
-            ids = rows.take(n)
-            lists = (scan.signed(key[at]), times, exact[one].astype(np.int64), before[one].astype(np.int64),
-                     np.where(known[one], 0, scan.signed(t.key)[one]), np.where(look, scan.signed(t.previous)[one], 0))
+            learnt = ~part.column("held_out").to_numpy(zero_copy_only=False)[t.doc[one]]
+            word = np.where(seen[one], 0, scan.signed(t.key)[one])
+            context = np.where(look[one], scan.signed(t.previous)[one], 0)
+            rare = pa.StructArray.from_arrays(
+                [pa.array(before[one].astype(np.int64)), pa.array(word), pa.array(context), pa.array(exact[one].astype(np.int64))],
+                [f.name for f in RARE], mask=pa.array(sure[one]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), part.column("doc_id"), part.column("held_out"), pa.array(t.size),
-                 pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]),
-                 *[pa.ListArray.from_arrays(bound, pa.array(x)) for x in lists]],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", *TAIL])
-
-    scored = materialize(texts.mapInArrow(
-        run, f"row long, doc_id {column_type(docs, 'doc_id')}, held_out boolean, n_tokens long, n_known long, "
-             "base double, score double, " + ", ".join(f"{c} array<long>" for c in TAIL)), "scored")
-    pairs = scored.select("row", "held_out", F.explode(F.arrays_zip(*TAIL)).alias("x")).select(
-        "row", "held_out", *[F.col(f"x.{c}").alias(c) for c in TAIL])
-    learnt = F.when(F.col("held_out"), 0).otherwise(F.col("times"))
-    pairs = pairs.withColumn("n", F.sum(learnt).over(Window.partitionBy("key")))
-    rare = words.filter(F.col("n") < model.least)
-    for name, count in (("word", "count"), ("context", "before")):
-        found = rare.select(F.col("key").alias(f"{name}_key"), F.col("n").alias(f"{name}_n"))
-        # Rows that need no count are spread by their own key.
-        pairs_key = F.when(F.col(name) != 0, F.col(name)).otherwise(F.col("key"))
-        filled = F.when(F.col(name) != 0, F.coalesce(f"{name}_n", F.lit(0))).otherwise(F.col(count))
-        looked = (looked if name == "context" else pairs.filter("word != 0 or context != 0")).join(
-            found, pairs_key == found[f"{name}_key"], "left").withColumn(count, filled).drop(f"{name}_key", f"{name}_n")
-    p_1 = (F.col("count") + 1.0) / F.lit(model.tokens + model.distinct + 1.0)
+                [pa.array(scan.signed(pair)[one]), pa.array(ids[t.doc[one]]), pa.array(np.where(learnt, times, -times)),
+                 pa.array(exact[one].astype(np.int64)), pa.nulls(len(one), text.type), rare], COLUMNS)
+
+    kind = column_type(docs, "doc_id")
+    text = (f"text struct<doc_id: {kind}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, score: double>")
+    rare = "rare struct<before: bigint, word: bigint, context: bigint, count: bigint>"
+    found = materialize(
+        texts.mapInArrow(run, f"key long, row long, times long, count long, {text}, {rare}")
+        .repartition("key").sortWithinPartitions("key", F.desc("times"))
+        .mapInArrow(_pair_sums(total), f"row long, times long, n long, value double, {text}, {rare}"), "scored")
+    release(texts.sparkSession)
+    scored = found.filter("text is not null").select("row", "text.*")
+    looked = found.filter("rare is not null").select("row", "times", "n", "rare.*")
+    below = words.filter(F.col("n") < model.least)
+    for name, column in (("word", "count"), ("context", "before")):
+        known = below.select(F.col("key").alias("known"), F.col("n").alias("known_n"))
+        # Rows that need no count are spread by their own row.
+        asked = F.when(F.col(name) != 0, F.col(name)).otherwise(F.xxhash64("row", "word", "context"))
+        looked = looked.join(known, asked == F.col("known"), "left").withColumn(
+            column, F.when(F.col(name) != 0, F.coalesce("known_n", F.lit(0))).otherwise(F.col(column))).drop("known", "known_n")
+    p_1 = (F.col("count") + 1.0) / F.lit(total)
     value = F.when(F.col("before") > 0, F.log10((F.col("n") + F.lit(MASS) * p_1) / (F.col("before") + F.lit(MASS)))
                    ).otherwise(F.log10(p_1))
     is_rare = F.col("word") != 0
-    tail = (pairs.filter("word = 0 and context = 0").unionByName(looked).groupBy("row").agg(
-        F.sum(F.when(is_rare & (F.col("count") > 0), F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.when(is_rare, F.col("times") * F.log10(p_1)).otherwise(0.0)).alias("rare_base"),
-        F.sum(F.col("times") * value).alias("tail_score")))
-    more = F.coalesce(F.col("rare_base"), F.lit(0.0))
+    nothing = F.lit(0.0)
+    tail = (looked.select("row", F.when(is_rare & (F.col("count") > 0), F.col("times")).otherwise(0).alias("known"),
+                          F.when(is_rare, F.col("times") * F.log10(p_1)).otherwise(nothing).alias("base_more"),
+                          (F.col("times") * value).alias("value"))
+            .unionByName(found.filter("value is not null").select("row", F.lit(0).cast("long").alias("known"),
+                                                                  nothing.alias("base_more"), "value"))
+            .groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known", "base_more", "value"))))
     return scored.join(tail, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("score") + F.coalesce(F.col("tail_score"), F.lit(0.0))).alias("score"))
+        (F.col("base") + F.coalesce(F.col("base_more"), nothing)).alias("base_score"),
+        (F.col("score") + F.coalesce(F.col("value"), nothing)).alias("score"))
