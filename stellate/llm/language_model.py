@@ -54,14 +54,17 @@ BITS_PER_ENTRY = 16
 PROBES = 6
 BUFFER_TOKENS = 1 << 22
 BLOCK_BYTES = 1 << 22
+#: Text bytes scored at once; each of their pairs becomes a row of a dozen columns.
+SCORE_BYTES = 1 << 20
 END = np.uint64(0x8F3A1C5D7E9B2461)
 BEGIN = np.uint64(0x51ED270B9F3C6A87)
 CONTEXT = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Texts that a task sums up pairs for before it hands the sums on.
 MOST_SUMS = 1 << 20
 #: Of pairs whose word or context is rare; word and context are 0 where their counts are known.
-RARE = pa.struct([(c, pa.int64()) for c in ("before", "word", "context", "count")])
-COLUMNS = ["key", "row", "times", "count", "text", "rare"]
+RARE = ("before", "word", "context", "count")
+TEXT = ("doc_id", "held_out", "n_tokens", "n_known", "base", "score")
+COLUMNS = ["key", "who", "count", "extra"]
 
 
 class Lookup:
@@ -302,62 +305,70 @@ def train(texts: DataFrame, order: int = ORDER, floor: float = FLOOR) -> tuple[M
     return model, words
 
 
+def coded(row: np.ndarray, times: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the row, row, binary digit of ``times`` and ``held`` in one long) for each digit that is set."""
+    at, out = [], []
+    for digit in range(int(times.max(initial=0)).bit_length()):
+        here = np.flatnonzero(times >> digit & 1)
+        at.append(here)
+        out.append(row[here] << 6 | digit << 1 | held[here])
+    return np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros(0, np.int64), *out])
+
+
 def _pair_sums(whole: float):
-    """Of rows sorted by key and falling times: texts as they are, sums of known pairs by text, rare pairs with their counts.
+    """Of rows sorted by key, training rows first: texts as they are, sums of known pairs by text, rare pairs with their counts.
 
-    A pair's count n is the times of its training rows; these come first, and there are fewer than the floor, so
-    nothing else of a key is held.  What a pair adds to its factor for n = 0 is log10(1 + n / (MASS * p_1)).
+    A pair's count n is the times of its training rows, and there are fewer of them than the floor, so nothing else
+    of a key is held.  What a pair adds to its factor for n = 0 is log10(1 + n / (MASS * p_1)).
     """
     def add(sums, row, value):
         row, at = np.unique(np.concatenate([sums[0], row]), return_inverse=True)
         return row, np.bincount(at, weights=np.concatenate([sums[1], value]), minlength=len(row))
 
-    def out(rows: pa.Table, **columns):
-        rows = rows.select(["row", "text", "rare"])
-        for name in ("times", "n", "value"):
-            rows = rows.append_column(name, columns.get(name, pa.nulls(rows.num_rows, pa.float64() if name == "value" else pa.int64())))
-        return rows.select(["row", "times", "n", "value", "text", "rare"]).combine_chunks().to_batches()
+    def out(row, extra, times=None, n=None, value=None):
+        columns = [pa.array(row), *(pa.nulls(len(row), pa.int64()) if x is None else pa.array(x) for x in (times, n)),
+                   pa.nulls(len(row), pa.float64()) if value is None else pa.array(value), extra]
+        return pa.table(columns, names=["row", "times", "n", "value", "extra"]).combine_chunks().to_batches()
 
     def run(batches):
-        held, sums, shape = None, (np.zeros(0, np.int64), np.zeros(0)), None
+        held, sums, kind = None, (np.zeros(0, np.int64), np.zeros(0)), None
         going = None                                            # key whose count is final, its count
         for batch in _with_end(batches):
             if batch is not None:
                 t = pa.Table.from_batches([batch])
-                shape = t.schema
-                is_text = t.column("text").is_valid()
-                yield from out(t.filter(is_text))
+                extra = t.column("extra").combine_chunks()
+                kind = extra.type
+                is_text = pc.is_valid(pc.struct_field(extra, "n_tokens"))
+                text = t.filter(is_text)
+                if text.num_rows:
+                    yield from out(text.column("who").to_numpy() >> 6, text.column("extra").combine_chunks())
                 t = t.filter(pc.invert(is_text))
                 held = t if held is None else pa.concat_tables([held, t])
             if held is None or not held.num_rows:
                 continue
-            key, times, count = (held.column(c).to_numpy() for c in ("key", "times", "count"))
+            key, who = held.column("key").to_numpy(), held.column("who").to_numpy()
+            times, learnt = np.int64(1) << (who >> 1 & 31), 1 - (who & 1)
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            n = np.add.reduceat(np.maximum(times, 0), first)
+            n = np.add.reduceat(times * learnt, first)
             if going is not None and key[0] == going[0]:
                 n[0] = going[1]
-            final = batch is None or times[-1] < 0 or (going is not None and key[-1] == going[0])
+            final = batch is None or not learnt[-1] or (going is not None and key[-1] == going[0])
             stop = len(key) if final else first[-1]
             going = (key[-1], n[-1]) if final else None
             each = np.repeat(n, np.diff(np.append(first, len(key))))[:stop]
-            known = held.column("rare").is_null().to_numpy()[:stop]
+            known = held.column("extra").is_null().to_numpy()[:stop]
             at = np.flatnonzero(known & (each > 0))
-            value = np.abs(times[at]) * np.log10(1 + each[at] * whole / (MASS * (count[at] + 1.0)))
-            sums = add(sums, held.column("row").to_numpy()[at], value)
+            count = held.column("count").to_numpy()[at].astype(np.float64)
+            sums = add(sums, who[at] >> 6, times[at] * np.log10(1 + each[at] * whole / (MASS * (count + 1.0))))
             rare = np.flatnonzero(~known)
             if len(rare):
-                yield from out(held.take(pa.array(rare)), times=pa.array(np.abs(times[rare])), n=pa.array(each[rare]))
+                yield from out(who[rare] >> 6, held.column("extra").take(pa.array(rare)).combine_chunks(), times[rare], each[rare])
             held = held.slice(stop)
-            if len(sums[0]) >= MOST_SUMS or batch is None:
-                yield from _sum_rows(shape, sums)
+            if len(sums[0]) >= MOST_SUMS:
+                yield from out(sums[0], pa.nulls(len(sums[0]), kind), value=sums[1])
                 sums = (np.zeros(0, np.int64), np.zeros(0))
-        if shape is not None and len(sums[0]):
-            yield from _sum_rows(shape, sums)
-
-    def _sum_rows(shape, sums):
-        rows = pa.table({"row": pa.array(sums[0]), "text": pa.nulls(len(sums[0]), shape.field("text").type),
-                         "rare": pa.nulls(len(sums[0]), shape.field("rare").type)})
-        return out(rows, value=pa.array(sums[1]))
+        if len(sums[0]):
+            yield from out(sums[0], pa.nulls(len(sums[0]), kind), value=sums[1])
 
     return run
 
@@ -382,7 +393,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
     def run(batches):
         rows = row_ids()
         m = shared.value
-        for part, data, offs in scan.blocks(batches, limit=BLOCK_BYTES):
+        for part, data, offs in scan.blocks(batches, limit=SCORE_BYTES):
             t = Tokens(data, offs)
             exact, log_p, lacks, pair, before = m.scores(t, order)
             n = part.num_rows
@@ -394,39 +405,37 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
             log_p[sure] += np.log10(np.where(before[sure] > 0, MASS * p_1 / (before[sure] + MASS), p_1))
             sums = [np.bincount(t.doc, weights=x, minlength=n) for x in (base, log_p, seen)]
             ids = np.array(rows.take(n), np.int64)
-            text = pa.StructArray.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array(t.size), pa.array(sums[2].astype(np.int64)),
-                 pa.array(sums[0]), pa.array(sums[1])], ["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
-            zero = pa.array(np.zeros(n, np.int64))
-            no_rare = pa.nulls(n, RARE)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), zero, zero, text, no_rare], COLUMNS)
+            ids = ids >> 40 << 30 | ids & ((1 << 30) - 1)       # a task's number, then the text's in it
+            text = [part.column("doc_id"), part.column("held_out"), pa.array(t.size), pa.array(sums[2].astype(np.int64)),
+                    pa.array(sums[0]), pa.array(sums[1])]
+            extra = pa.StructArray.from_arrays([*text, *[pa.nulls(n, pa.int64()) for _ in RARE]], [*TEXT, *RARE])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(ids << 6), pa.array(np.zeros(n, np.float32)), extra], COLUMNS)
             tail = np.flatnonzero(lacks & ~(sure & (before == 0)))
             tail = tail[np.lexsort((pair[tail], t.doc[tail]))]
             fresh = np.ones(len(tail), bool)
             fresh[1:] = (pair[tail[1:]] != pair[tail[:-1]]) | (t.doc[tail[1:]] != t.doc[tail[:-1]])
             at = np.flatnonzero(fresh)
-            times = np.diff(np.append(at, len(tail)))
-            one = tail[at]
-            learnt = ~part.column("held_out").to_numpy(zero_copy_only=False)[t.doc[one]]
-            word = np.where(seen[one], 0, scan.signed(t.key)[one])
-            context = np.where(look[one], scan.signed(t.previous)[one], 0)
-            rare = pa.StructArray.from_arrays(
-                [pa.array(before[one].astype(np.int64)), pa.array(word), pa.array(context), pa.array(exact[one].astype(np.int64))],
-                [f.name for f in RARE], mask=pa.array(sure[one]))
+            held = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = t.doc[tail[at]]
+            at_row, who = coded(ids[owner], np.diff(np.append(at, len(tail))), held[owner])
+            one = tail[at][at_row]
+            rare = [before[one].astype(np.int64), np.where(seen[one], 0, scan.signed(t.key)[one]),
+                    np.where(look[one], scan.signed(t.previous)[one], 0), exact[one].astype(np.int64)]
+            extra = pa.StructArray.from_arrays(
+                [*[pa.nulls(len(one), x.type) for x in text], *[pa.array(x) for x in rare]], [*TEXT, *RARE], mask=pa.array(sure[one]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(scan.signed(pair)[one]), pa.array(ids[t.doc[one]]), pa.array(np.where(learnt, times, -times)),
-                 pa.array(exact[one].astype(np.int64)), pa.nulls(len(one), text.type), rare], COLUMNS)
+                [pa.array(scan.signed(pair)[one]), pa.array(who), pa.array(exact[one].astype(np.float32)), extra], COLUMNS)
 
-    kind = column_type(docs, "doc_id")
-    text = (f"text struct<doc_id: {kind}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, score: double>")
-    rare = "rare struct<before: bigint, word: bigint, context: bigint, count: bigint>"
+    extra = (f"extra struct<doc_id: {column_type(docs, 'doc_id')}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, "
+             "score: double, before: bigint, word: bigint, context: bigint, count: bigint>")
     found = materialize(
-        texts.mapInArrow(run, f"key long, row long, times long, count long, {text}, {rare}")
-        .repartition("key").sortWithinPartitions("key", F.desc("times"))
-        .mapInArrow(_pair_sums(total), f"row long, times long, n long, value double, {text}, {rare}"), "scored")
+        texts.mapInArrow(run, f"key long, who long, count float, {extra}")
+        .repartition("key").sortWithinPartitions("key", F.col("who").bitwiseAND(1))
+        .mapInArrow(_pair_sums(total), f"row long, times long, n long, value double, {extra}"), "scored")
     release(texts.sparkSession)
-    scored = found.filter("text is not null").select("row", "text.*")
-    looked = found.filter("rare is not null").select("row", "times", "n", "rare.*")
+    scored = found.filter("extra.n_tokens is not null").select("row", *[f"extra.{c}" for c in TEXT])
+    looked = found.filter("extra.word is not null").select("row", "times", "n", *[f"extra.{c}" for c in RARE])
     below = words.filter(F.col("n") < model.least)
     for name, column in (("word", "count"), ("context", "before")):
         known = below.select(F.col("key").alias("known"), F.col("n").alias("known_n"))

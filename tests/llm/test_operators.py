@@ -186,13 +186,17 @@ def test_pair_sums_in_tiny_batches():
             rows += [(key, rnd.randrange(5), -rnd.randint(1, 3), 10 * key + 1) for _ in range(rnd.choice([0, 3, 40]))]
         rows.sort(key=lambda r: (r[0], -r[2]))
         rare = [r[0] % 3 == 2 for r in rows]
-        k, d, t, c = (np.array(x, np.int64) for x in zip(*rows)) if rows else [np.zeros(0, np.int64)] * 4
-        table = pa.table({"key": k, "row": d, "times": t, "count": c, "text": pa.nulls(len(k), pa.struct([("x", pa.int64())])),
-                          "rare": pa.array([{"before": 1, "word": 2, "context": 0, "count": 0} if r else None for r in rare], language_model.RARE)})
-        cut = sorted(rnd.sample(range(len(rows) + 1), min(6, len(rows) + 1)))
-        batches = [b for i, j in itertools.pairwise([0, *cut, len(rows)]) for b in table.slice(i, j - i).combine_chunks().to_batches()]
-        got = list(language_model._pair_sums(500.0)(iter(batches)))
-        got = [r for b in got for r in b.to_pylist()]
+        kind = pa.struct([(c, pa.int64()) for c in (*language_model.TEXT, *language_model.RARE)])
+        made = []
+        for (key, row, times, count), r in zip(rows, rare):
+            _, who = language_model.coded(*(np.array([x], np.int64) for x in (row, abs(times), times < 0)))
+            made += [(key, int(x), float(count), {"before": 1, "word": 2, "context": 0, "count": 0} if r else None) for x in who]
+        k, d, c, e = zip(*made) if made else [()] * 4
+        table = pa.table({"key": pa.array(k, pa.int64()), "who": pa.array(d, pa.int64()), "count": pa.array(c, pa.float32()),
+                          "extra": pa.array(e, kind)})
+        cut = sorted(rnd.sample(range(len(made) + 1), min(6, len(made) + 1)))
+        batches = [b for i, j in itertools.pairwise([0, *cut, len(made)]) for b in table.slice(i, j - i).combine_chunks().to_batches()]
+        got = [r for b in language_model._pair_sums(500.0)(iter(batches)) for r in b.to_pylist()]
         n = collections.Counter()
         for key, _, times, _ in rows:
             n[key] += max(times, 0)
@@ -205,8 +209,15 @@ def test_pair_sums_in_tiny_batches():
             if r["value"] is not None:
                 sums[r["row"]] += r["value"]
         assert {x: round(v, 9) for x, v in sums.items()} == {x: round(v, 9) for x, v in want.items()}
-        assert sorted((r["row"], r["times"], r["n"]) for r in got if r["rare"]) == sorted(
-            (row, abs(times), n[key]) for (key, row, times, _), r in zip(rows, rare) if r)
+        found = collections.Counter()
+        for r in got:
+            if r["extra"]:
+                found[r["row"], r["n"]] += r["times"]
+        asked = collections.Counter()
+        for (key, row, times, _), r in zip(rows, rare):
+            if r:
+                asked[row, n[key]] += abs(times)
+        assert found == asked
 
 
 def test_a_pair_that_only_held_out_texts_hold(spark):
