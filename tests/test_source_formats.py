@@ -104,3 +104,19 @@ def test_a_dbf_that_does_not_fit_its_shapes_fails(spark):
         f.write(whole.replace(b"a", b"\xe9"))
     with pytest.raises(Exception, match="utf-8|codec"):
         read_shapefile(spark, path).collect()
+
+
+def test_a_partition_is_written_as_several_shapefiles(spark, monkeypatch):
+    from stellate.operators.geometry import GEOM_TYPE
+    from stellate.sources import shapefile
+    monkeypatch.setattr(shapefile, "FILE_ROWS", 20)
+    monkeypatch.setattr(shapefile, "ROWS", 7)
+    square = [[[[0.0, 0.0], [0.0, 1.0], [1.0, 1.0], [1.0, 0.0], [0.0, 0.0]]]]
+    given = [(f"n{i}", None if i % 9 == 0 else square) for i in range(90)]
+    path = scratch_dir(spark, "several-shp")
+    shapefile.write_shapefile(spark.createDataFrame(given, f"NAME string, geometry {GEOM_TYPE}").coalesce(1), path)
+    names = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".shp")]
+    assert len(names) >= 5
+    got = shapefile.read_shapefile(spark, path).collect()
+    assert sorted((r.NAME, r.geometry) for r in got if r.geometry) == sorted(x for x in given if x[1])
+    assert len(got) == 90
