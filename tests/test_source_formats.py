@@ -120,3 +120,13 @@ def test_a_partition_is_written_as_several_shapefiles(spark, monkeypatch):
     got = shapefile.read_shapefile(spark, path).collect()
     assert sorted((r.NAME, r.geometry) for r in got if r.geometry) == sorted(x for x in given if x[1])
     assert len(got) == 90
+
+
+def test_a_partition_is_written_as_several_workbooks(spark, monkeypatch):
+    from stellate.sources import xlsx
+    monkeypatch.setattr(xlsx, "FILE_ROWS", 20)
+    given = [(str(i), f"name {i}") for i in range(90)]
+    path = scratch_dir(spark, "several-xlsx")
+    xlsx.write_xlsx(spark.createDataFrame(given, "`Cust Key` string, name string").coalesce(1), path, header_row=2)
+    assert len(os.listdir(path.removeprefix("file:"))) >= 5
+    assert rows(read_xlsx(spark, path, header_row=2)) == sorted(given)
