@@ -397,6 +397,15 @@ def test_shared_instructions_are_no_contamination(spark):
     assert len(found) <= 4                                                                  # not one for each of the family
 
 
+def test_items_of_boilerplate_only_are_all_found(spark):
+    """An item that shares each of its windows with many, most of them with smaller items without windows of their own."""
+    rnd = random.Random(9)
+    own = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    one, two = own(30), own(30)
+    items = [one, two] + [f"{own(12)} {one} {two}" for _ in range(12)] + [f"{one} {two}"]
+    assert found_items(spark, items, [f"so {one} {two} then", own(30)]) == {(0, 0, "verbatim"), (0, 1, "verbatim"), (0, 14, "verbatim")}
+
+
 def test_decontamination_of_numbers(spark):
     table = " ".join(f"{i} {i * i}" for i in range(3, 30))
     items = ["What is 12 times 7", "3 + 4 * 5 - 6 / 7 + 8 = ?", table, "42"]
