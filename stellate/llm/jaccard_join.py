@@ -17,9 +17,11 @@ sample of texts shows to be frequent last, the rest by hash.
 
 Sets that share a block are counted: in small groups all pairs, in large ones
 each set with the first; pairs with enough equal blocks are candidates.  After
-components are known, each pair of a large group that lies across components
-and that the whole sketches allow is one, too, compared in bounded chunks, so
-no pair depends on the count of a group that is too large to be paired.  Every
+components are known, pairs of a large group that lie across components and
+that the whole sketches allow are candidates, too, compared in bounded chunks, so
+no pair depends on the count of a group that is too large to be paired.  Only
+those that would join parts of a chunk are taken, fewer than it has members, as
+long as that finds links; what then still lies across components is taken whole.  Every
 candidate is verified: whole sketches that differ in too many bits rule a pair
 out, the sets themselves decide the rest.  Equal sets are one node of the graph.
 
@@ -61,6 +63,8 @@ NARROW = 1 << 28
 FILTER_BLOCKS = 1 << 17
 SEED = 1
 NULL_ID = -(1 << 63)
+#: Rounds in which large groups give spanning pairs only, before one with all pairs left.
+SPANNING = 4
 
 
 def band(size: int) -> int:
@@ -260,9 +264,9 @@ def _and_last(batches):
     yield None
 
 
-def short(node):
-    """31 bits of a node; of two longs or two columns."""
-    return (node >> 1) & SHORT
+def short(node, mask):
+    """The bits of a node that ``mask`` keeps, the lowest one left out."""
+    return (node >> 1) & mask
 
 
 def _candidates(similarity: tuple[int, int], narrow: bool):
@@ -273,6 +277,7 @@ def _candidates(similarity: tuple[int, int], narrow: bool):
     of edited copies that is rather the original.  ``narrow``: u and v are shortened to half a long each, in k.
     """
     a, c = similarity
+    mask = SHORT                                # the driver's: a task's own import of this module has the default
 
     def pairs(u, v, us, vs):
         us, vs = (x & ((1 << SIZE_BITS) - 1) for x in (us, vs))
@@ -280,7 +285,7 @@ def _candidates(similarity: tuple[int, int], narrow: bool):
         near = (us * c >= vs * a) & (vs * c >= us * a) & (u != v)
         u, v = u[near], v[near]
         if narrow:
-            u, v = short(u), short(v)
+            u, v = short(u, mask), short(v, mask)
             u, v = np.minimum(u, v) << 32 | np.maximum(u, v), np.zeros(len(u), np.int64)
         return _rows(u, v, PAIR - shared_least(np.minimum(us, vs)[near], similarity))
 
@@ -349,16 +354,18 @@ def _near(pairs: DataFrame, sketches: DataFrame, similarity: tuple[int, int]) ->
     return pairs.join(side("u", "one", "us"), "u").join(side("v", "two", "vs"), "v").mapInArrow(run, "u long, v long")
 
 
-def _across(similarity: tuple[int, int]):
+def _across(similarity: tuple[int, int], spanning: bool):
     """Of members sorted by (k, lo, hi): pairs of different roots whose sketches allow the similarity.
 
-    A group is dealt out in pairs (lo, hi) of chunks, so what is held here is two chunks.
+    A group is dealt out in pairs (lo, hi) of chunks, so what is held here is two chunks.  With ``spanning`` only
+    pairs that connect parts which no earlier pair of the chunks does, the nearest first: none only if there is none.
     """
     a, c = similarity
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         node, root, size, chunk = (t.column(n).to_numpy() for n in ("node", "root", "size", "chunk"))
         apart = t.column("lo")[0] != t.column("hi")[0]
+        part = np.unique(root, return_inverse=True)[1]
         raw = t.column("sketch").to_pylist()
         length = np.array([len(x) for x in raw])
         us, vs = [], []
@@ -372,7 +379,7 @@ def _across(similarity: tuple[int, int]):
                     two = two[:, :two.shape[1] // 2] ^ two[:, two.shape[1] // 2:]
                 for row, i in enumerate(here):
                     j = there if y > x else there[row + 1:]
-                    ok = (root[j] != root[i]) & (size[j] * c >= size[i] * a) & (size[i] * c >= size[j] * a)
+                    ok = (part[j] != part[i]) & (size[j] * c >= size[i] * a) & (size[i] * c >= size[j] * a)
                     if apart:
                         ok &= chunk[j] != chunk[i]
                     at = np.flatnonzero(ok)
@@ -380,7 +387,13 @@ def _across(similarity: tuple[int, int]):
                         continue
                     other = two[at] if y > x else two[row + 1:][at]
                     differ = np.bitwise_count(other ^ one[row]).sum(axis=1, dtype=np.int64)
-                    at = at[differ <= (size[j[at]] + size[i]) * (c - a) // (c + a)]
+                    spare = (size[j[at]] + size[i]) * (c - a) // (c + a) - differ
+                    at, spare = at[spare >= 0], spare[spare >= 0]
+                    if spanning and len(at):
+                        at = at[np.argsort(-spare, kind="stable")]
+                        met, nearest = np.unique(part[j[at]], return_index=True)
+                        at = at[nearest]
+                        part[np.isin(part, met)] = part[i]
                     us.append(np.minimum(node[j[at]], node[i]))
                     vs.append(np.maximum(node[j[at]], node[i]))
         none = [np.zeros(0, np.int64)]
@@ -464,20 +477,31 @@ def join_documents(docs: DataFrame, n: int = WORDS, similarity: tuple[int, int]
     release(texts.sparkSession)
     roots = materialize(components(links), "roots")
 
-    large = found.filter("w > 0").select("k", F.col("v").alias("node"))
-    split = large.groupBy("k").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).filter("chunks > 1")
-    known = sketches.join(roots, "node", "left").select("node", "size", "sketch", F.coalesce("root", "node").alias("root"))
-    dealt = (large.join(split, "k", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-             .withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
-             .join(known, "node")
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("k", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
-                     "chunk", "node", "root", "size", "sketch"))
-    across = materialize(dealt.repartition("k", "lo", "hi").sortWithinPartitions("k", "lo", "hi", "node")
-                         .mapInArrow(_across(similarity), "u long, v long").distinct(), "across")
-    release(texts.sparkSession)
-    if across.limit(1).count():
-        roots = materialize(components(links.union(_verified(across, texts, n, similarity))), "roots")
+    members = found.filter("w > 0").select("k", F.col("v").alias("node"))
+    split = members.groupBy("k").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")).filter("chunks > 1")
+    spanning = True
+    for done in range(SPANNING + 1):
+        known = sketches.join(roots, "node", "left").select("node", "size", "sketch", F.coalesce("root", "node").alias("root"))
+        dealt = (members.join(split, "k", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+                 .withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
+                 .join(known, "node")
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+                 .select("k", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                         "chunk", "node", "root", "size", "sketch"))
+        spanning = spanning and done < SPANNING
+        across = materialize(dealt.repartition("k", "lo", "hi").sortWithinPartitions("k", "lo", "hi", "node")
+                             .mapInArrow(_across(similarity, spanning), "u long, v long").distinct(), "across")
+        release(texts.sparkSession)
+        if across.limit(1).count() == 0:
+            break
+        more = _verified(across, texts, n, similarity)
+        linked = more.limit(1).count() > 0
+        if linked:
+            links = links.union(more)
+            roots = materialize(components(links), "roots")
+        if not spanning:
+            break
+        spanning = linked
 
     real = F.when(F.col("doc_id") != NULL_ID, F.col("doc_id"))
     nodes = rows.filter("size > 0").groupBy("node").agg(F.min(real).alias("least"))

@@ -358,6 +358,31 @@ def test_candidates_in_tiny_batches(monkeypatch):
             assert {a: sorted(x) for a, x in large.items()} == {a: sorted(g) for a, g in groups.items() if len(g) > small}
 
 
+def test_spanning_pairs_of_a_large_group():
+    """A group of near copies gives fewer pairs than members, and pairs between all parts that any pair connects."""
+    import numpy as np
+    import pyarrow as pa
+    rnd = random.Random(4)
+    bodies = [["w%d" % rnd.randrange(10 ** 9) for _ in range(120)] for _ in range(3)]
+    texts = [" ".join(bodies[i % 3][i // 3 % 4:]) for i in range(90)]
+    data = "".join(texts).encode()
+    offs = np.cumsum([0] + [len(x) for x in texts])
+    key, bound, _ = jaccard_join.shingle_sets(np.frombuffer(data, np.uint8), offs)
+    sketch = [jaccard_join.whole_sketch(key[bound[d]:bound[d + 1]]) for d in range(90)]
+    column = {"k": [5] * 90, "lo": [0] * 90, "hi": [0] * 90, "chunk": [0] * 90, "node": list(range(90)),
+              "root": list(range(90)), "size": np.diff(bound).tolist(), "sketch": sketch}
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in column.values()], list(column))
+    for spanning in (True, False):
+        out = pa.Table.from_batches(list(jaccard_join._across(jaccard_join.SIMILARITY, spanning)(iter([batch])))).to_pydict()
+        pairs = list(zip(out["u"], out["v"]))
+        assert {(u % 3, v % 3) for u, v in pairs} == {(0, 0), (1, 1), (2, 2)}
+        if spanning:
+            group = list(range(90))
+            for u, v in pairs:
+                group = [group[v] if g == group[u] else g for g in group]
+            assert len(pairs) == 87 and len(set(group)) == 3
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(30, 31), (33, 31), (50, 50)]
     got = {tuple(r) for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
