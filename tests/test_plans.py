@@ -1,6 +1,7 @@
 """Physical-plan properties: pushdown, pruning, partial aggregation, shuffle count."""
 
 import __spark_entry__ as E
+from stellate.operators import overlay
 from stellate.operators.dedupe import dedupe
 from stellate.operators.reconcile import reconcile
 
@@ -45,3 +46,13 @@ def test_no_python_udf_in_cleaning_queries(spark):
     for key in ("html_table_cell", "polygon_wkt", "polygon_area", "campus_base_name", "safe_cast"):
         plan = _plan(E.queries()[key](spark, SF))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+
+
+def test_edges_are_cut_without_functions_of_array_elements(spark):
+    """Spark does not compile lambda functions; a cut runs for every pair of edges that share a cell."""
+    edges = spark.createDataFrame([((1,), 0, 0, 4, 0, 1), ((1,), 2, 0, 6, 0, 1), ((1,), 3, -2, 3, 2, 1)],
+                                  "k struct<key: int>, ax long, ay long, bx long, by long, f long")
+    cut = overlay._cut(edges, overlay._grids(edges, overlay.PER_CELL))
+    assert "lambda" not in _plan(cut)
+    assert sorted((r.ax, r.ay, r.bx, r.by, r.f) for r in cut.collect()) == [
+        (0, 0, 2, 0, 1), (2, 0, 3, 0, 2), (3, -2, 3, 0, 1), (3, 0, 3, 2, 1), (3, 0, 4, 0, 2), (4, 0, 6, 0, 1)]
