@@ -16,12 +16,16 @@ it, which bounds everything that is broadcast whatever the corpus:
   n-gram, in a filter of the same kind.
 
 Rarer words and pairs never enter a filter, but none is dropped: a pair that
-is not in the filter is emitted with its text and its word's count only, once a
-text; sorted by pair, its exact count is the sum over the training rows, which
-come first, and what it adds to its text is summed up before anything is
-written.  Rare words and contexts are looked up by a shuffle join.  As no longer
-n-gram over such a pair is stored, what higher orders add is a factor known in
-the task.  N-grams of order three or more below the floor are not stored.
+is not in the filter goes with its text and its word's count, once a text, to
+the bucket of its hash; a rare word goes with its pair to the bucket of the
+word's.  What many texts send to a bucket is one packed row.  All training rows
+of a pair or rare word meet there, so their sum is its exact count, and what
+that adds to each text is summed up before anything is written, and handed on
+packed, too, to the part of the texts that it belongs to.  The factor for
+n = 0 splits into one of the word and one of the context, hence a rare word adds
+both, its own and that of the pair it begins.  As no longer n-gram over such a
+pair is stored, what higher orders add is a factor known in the task.  N-grams
+of order three or more below the floor are not stored.
 
 Probability: p_n = (c_n + (left + mass) * p_(n-1)) / (context + mass), where
 ``left`` is the context's count not covered by stored n-grams (0 for pairs);
@@ -35,6 +39,7 @@ counts are 0.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -52,8 +57,10 @@ LEVEL_BASE = 1.25
 MASS = 2.0
 BITS_PER_ENTRY = 16
 PROBES = 6
-BUFFER_TOKENS = 1 << 22
-BLOCK_BYTES = 1 << 22
+BUFFER_TOKENS = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Counted rows in a batch: Spark holds a batch outside its heap.
+BATCH_ROWS = 1 << 16
 #: Text bytes scored at once; each of their pairs becomes a row of a dozen columns.
 SCORE_BYTES = 1 << 20
 END = np.uint64(0x8F3A1C5D7E9B2461)
@@ -61,8 +68,18 @@ BEGIN = np.uint64(0x51ED270B9F3C6A87)
 CONTEXT = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Texts that a task sums up pairs for before it hands the sums on.
 MOST_SUMS = 1 << 20
-#: Of pairs whose word or context is rare; word and context are 0 where their counts are known.
-RARE = ("before", "word", "context", "count")
+#: Pairs that a task gathers before it packs them, and texts that they may come from.
+PACKED = 1 << 20
+PACKED_TEXTS = 1 << 20
+#: Buckets of pairs: so many, or one for each so many training tokens.
+BUCKETS = 1 << 10
+BUCKET_TOKENS = 1 << 21
+#: Held-out rows of a bucket that are opened at once, and rows that are summed up at once.
+OPENED = 1 << 19
+#: Binary digits of a text's number within the part of the texts whose sums meet.
+PART_BITS = 12
+#: What the rare words of a text add to it where they are known.
+RARE = ("known", "base_more", "score_more")
 TEXT = ("doc_id", "held_out", "n_tokens", "n_known", "base", "score")
 COLUMNS = ["key", "who", "count", "extra"]
 
@@ -250,11 +267,16 @@ class Model:
         return exact, np.log10(p), lacks, pair, first
 
 
-def _summed(kind: int, keys: list[np.ndarray]) -> pa.RecordBatch:
-    key, n = np.unique(np.concatenate(keys), return_counts=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(key), kind, np.int8)), pa.array(scan.signed(key)), pa.array(n.astype(np.int64))],
-        ["kind", "key", "n"])
+def _summed(kind: int, keys: list[np.ndarray]):
+    key = np.concatenate(keys)
+    keys.clear()
+    key.sort()
+    first, n = _runs(key)
+    key = scan.signed(key[first])
+    for i in range(0, len(key), BATCH_ROWS):
+        part = key[i:i + BATCH_ROWS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(part), kind, np.int8)), pa.array(part), pa.array(n[i:i + BATCH_ROWS])], ["kind", "key", "n"])
 
 
 def _count(texts: DataFrame, keys_of, kinds: int = 2) -> DataFrame:
@@ -271,11 +293,11 @@ def _count(texts: DataFrame, keys_of, kinds: int = 2) -> DataFrame:
             if size >= BUFFER_TOKENS:
                 for kind, keys in enumerate(held):
                     if keys:
-                        yield _summed(kind, keys)
+                        yield from _summed(kind, keys)
                 held, size = [[], []], 0
         for kind, keys in enumerate(held):
             if keys:
-                yield _summed(kind, keys)
+                yield from _summed(kind, keys)
 
     return (texts.select("text").mapInArrow(run, "kind byte, key long, n long")
             .groupBy("kind", "key").agg(F.sum("n").alias("n")))
@@ -315,6 +337,179 @@ def coded(row: np.ndarray, times: np.ndarray, held: np.ndarray) -> tuple[np.ndar
     return np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros(0, np.int64), *out])
 
 
+def pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of one length, the bytes of a value apart: those that hardly differ shrink to nothing."""
+    return pa.compress(b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() for x in columns),
+                       codec="zstd", asbytes=True)
+
+
+def unpack(raw: bytes, n: int, types: list) -> list[np.ndarray]:
+    types = [np.dtype(t) for t in types]
+    data = np.frombuffer(pa.decompress(raw, n * sum(t.itemsize for t in types), "zstd", asbytes=True), np.uint8)
+    edge = np.cumsum([0, *(n * t.itemsize for t in types)])
+    return [np.ascontiguousarray(data[a:b].reshape(-1, n).T).view(t).ravel() for a, b, t in zip(edge, edge[1:], types)]
+
+
+#: Types of a packed row's columns: key as differences, text and code less those of the first text, and of pairs the
+#: word's count, of rare words the pair.
+PAIR_TYPES = (np.uint64, np.uint32, np.float32)
+RARE_TYPES = (np.uint64, np.uint32, np.uint64)
+PACKED_SCHEMA = "bucket int, rare byte, held byte, n int, first long, packed binary"
+
+
+def _packed(rare: int, parts: list[list[np.ndarray]], first: int, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket (the high bits of the key) and its training or held-out rows, of (key, who, other)."""
+    key, who, other = (np.concatenate(x) for x in zip(*parts))
+    who = (who - (first << 6)).astype(np.uint32)
+    order = np.lexsort((key, who & 1))
+    key, who, other = key[order], who[order], other[order]
+    place = (key >> np.uint64(65 - buckets.bit_length())).astype(np.int64) if buckets > 1 else np.zeros(len(key), np.int64)
+    where = place << 1 | (who & 1)
+    begin, rows = _runs(where)
+    made = [pack([np.diff(key[a:b], prepend=np.uint64(0)), who[a:b], other[a:b]]) for a, b in zip(begin, begin + rows)]
+    n = len(begin)
+    return pa.RecordBatch.from_arrays(
+        [pa.array((where[begin] >> 1).astype(np.int32)), pa.array(np.full(n, rare, np.int8)),
+         pa.array((where[begin] & 1).astype(np.int8)), pa.array(rows.astype(np.int32)), pa.array(np.full(n, first, np.int64)),
+         pa.array(made, pa.binary())], ["bucket", "rare", "held", "n", "first", "packed"])
+
+
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+    return first, np.diff(np.append(first, len(key)))
+
+
+def _position(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``key`` are in the sorted ``keys``, where these are)."""
+    at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+    here = np.flatnonzero(keys[at] == key) if len(keys) else np.zeros(0, np.int64)
+    return here, at[here]
+
+
+def _opened(order: int):
+    """Of texts and packed rows sorted by bucket, training rows first: rows sorted by key, as ``_pair_sums`` takes them.
+
+    The training rows of one bucket are held.  Held-out rows whose key no training row has add nothing; the others
+    are opened a bounded number at a time, the training rows with them, from the second time on as rows of no text.
+    """
+    def pieces(rows, types):
+        learnt, held, size, again, keys = [], [], 0, False, None
+        none = [[np.zeros(0, t) for t in (np.uint64, np.int64, types[2])]]
+
+        def joined(parts):
+            return [np.concatenate(x) for x in zip(*(none + parts))]
+
+        for is_held, n, first, raw in rows:
+            key, who, other = unpack(raw, n, types)
+            part = [np.cumsum(key, dtype=np.uint64), who.astype(np.int64) + (first << 6), other]
+            if not is_held:
+                learnt.append(part)
+                continue
+            if keys is None:
+                learnt = [joined(learnt)]
+                keys = np.unique(learnt[0][0])
+            here, _ = _position(keys, part[0])
+            held.append([x[here] for x in part])
+            size += len(here)
+            if size >= OPENED:
+                yield joined(learnt), joined(held), again
+                held, size, again = [], 0, True
+        if size or not again:
+            yield joined(learnt), joined(held), again
+
+    def read(batches, extra_type):
+        for batch in batches:
+            extra_type[:] = [batch.schema.field("extra").type]
+            is_text = batch.column("packed").is_null()
+            text = batch.filter(is_text)
+            if text.num_rows:
+                yield -1, 0, text
+            packed = batch.filter(pc.invert(is_text))
+            yield from zip(*(packed.column(c).to_pylist() for c in ("bucket", "rare", "held", "n", "first", "packed")))
+
+    def run(batches):
+        kind = []
+        more, waiting = _Sums(), _Waiting()
+        for (bucket, rare), rows in itertools.groupby(read(batches, kind), lambda r: r[:2]):
+            if bucket < 0:
+                for _, _, text in rows:
+                    who = text.column("first").to_numpy() << 6
+                    yield _columns(np.zeros(len(who), np.int64), who, np.zeros(len(who), np.float32), text.column("extra"))
+                continue
+            for learnt, held, again in pieces((r[2:] for r in rows), RARE_TYPES if rare else PAIR_TYPES):
+                key, who, other = (np.concatenate(x) for x in zip(learnt, held))
+                known = len(learnt[0])
+                if rare:
+                    words, at = np.unique(learnt[0], return_inverse=True)
+                    count = np.bincount(at, weights=_times(learnt[1]), minlength=len(words))
+                    each = count[np.concatenate([at, _position(words, held[0])[1]])]
+                    new = slice(known if again else 0, None)
+                    begins = (key[new] != END) & (order > 1)
+                    more.add(who[new] >> 6, _times(who[new]), each[new], begins)
+                    if len(more.row) >= MOST_SUMS:
+                        yield more.taken(kind[0])
+                    key, other = other, each
+                if again:
+                    who[:known] = -1 << 6 | who[:known] & 63
+                if order > 1:
+                    waiting.add(key, who, other)
+                    if waiting.size >= OPENED:
+                        yield waiting.taken(kind[0])
+        if waiting.size:
+            yield waiting.taken(kind[0])
+        if len(more.row):
+            yield more.taken(kind[0])
+
+    return run
+
+
+def _times(who: np.ndarray) -> np.ndarray:
+    return np.int64(1) << (who >> 1 & 31)
+
+
+def _columns(key, who, count, extra) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(who), pa.array(count.astype(np.float64)), extra], COLUMNS)
+
+
+class _Sums:
+    """What known rare words add, by text."""
+
+    def __init__(self):
+        self.row, self.sums = np.zeros(0, np.int64), [np.zeros(0) for _ in RARE]
+
+    def add(self, row: np.ndarray, times: np.ndarray, count: np.ndarray, begins: np.ndarray) -> None:
+        base = times * np.log10(count + 1.0)
+        new = [times.astype(np.float64), base, base + times * begins * np.log10(MASS / (count + MASS))]
+        self.row, at = np.unique(np.concatenate([self.row, row]), return_inverse=True)
+        self.sums = [np.bincount(at, weights=np.concatenate([x, y]), minlength=len(self.row)) for x, y in zip(self.sums, new)]
+
+    def taken(self, kind: pa.DataType) -> pa.RecordBatch:
+        n = len(self.row)
+        filled = [pa.array(self.sums[0].astype(np.int64)), *(pa.array(x) for x in self.sums[1:])]
+        extra = pa.StructArray.from_arrays([*(pa.nulls(n, f.type) for f in list(kind)[:len(TEXT)]), *filled], [*TEXT, *RARE])
+        out = _columns(np.zeros(n, np.int64), self.row << 6 | 1, np.zeros(n), extra)
+        self.__init__()
+        return out
+
+
+class _Waiting:
+    """Pairs of whole buckets that are summed up together."""
+
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, *part: np.ndarray) -> None:
+        key, who, count = part
+        order = np.lexsort((who & 1, key))
+        self.parts.append([key[order], who[order], count[order].astype(np.float64)])
+        self.size += len(key)
+
+    def taken(self, kind: pa.DataType) -> pa.RecordBatch:
+        key, who, count = (np.concatenate(x) for x in zip(*self.parts))
+        self.__init__()
+        return _columns(scan.signed(key), who, count, pa.nulls(len(key), kind))
+
+
 def _pair_sums(whole: float):
     """Of rows sorted by key, training rows first: texts as they are, sums of known pairs by text, rare pairs with their counts.
 
@@ -373,6 +568,60 @@ def _pair_sums(whole: float):
     return run
 
 
+SUM_TYPES = (np.int64, np.int64, np.float64, np.float64)
+SUMS_SCHEMA = "part long, row long, n int, packed binary"
+
+
+def _by_part(batches):
+    """Of what ``_pair_sums`` gives: texts as they are, what is to be added to them as packed rows, one a part of the texts."""
+    for batch in batches:
+        extra = batch.column("extra")
+        is_text = pc.is_valid(pc.struct_field(extra, "n_tokens"))
+        text = batch.filter(is_text)
+        n = text.num_rows
+        if n:
+            row = text.column("row").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(row >> PART_BITS), pa.array(row), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                                              text.column("extra")], ["part", "row", "n", "packed", "extra"])
+        rest = batch.filter(pc.and_(pc.invert(is_text), pc.greater_equal(batch.column("row"), 0)))
+        if not rest.num_rows:
+            continue
+        known, base, more = (pc.struct_field(rest.column("extra"), c) for c in RARE)
+        columns = [rest.column("row").to_numpy(), *(pc.fill_null(x, 0).to_numpy(zero_copy_only=False) for x in (
+            known, base, pc.coalesce(rest.column("value"), more)))]
+        order = np.argsort(columns[0], kind="stable")
+        row, *columns = (x[order] for x in columns)
+        begin, rows = _runs(row >> PART_BITS)
+        made = [pack([np.diff(row[a:b], prepend=0), *(x[a:b] for x in columns)]) for a, b in zip(begin, begin + rows)]
+        n = len(begin)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row[begin] >> PART_BITS), pa.nulls(n, pa.int64()), pa.array(rows.astype(np.int32)), pa.array(made, pa.binary()),
+             pa.nulls(n, rest.schema.field("extra").type)], ["part", "row", "n", "packed", "extra"])
+
+
+def _added(tokens: int):
+    """Of a part's texts and packed rows: the texts with all that is added to them."""
+    def run(t: pa.Table) -> pa.Table:
+        is_text = pc.is_null(t.column("packed"))
+        text = t.filter(is_text)
+        text = text.take(pc.sort_indices(text.column("row")))
+        row = text.column("row").to_numpy()
+        sums = [np.zeros(len(row)) for _ in RARE]
+        packed = t.filter(pc.invert(is_text))
+        for n, raw in zip(packed.column("n").to_pylist(), packed.column("packed").to_pylist()):
+            at, *more = unpack(raw, n, SUM_TYPES)
+            at = np.searchsorted(row, np.cumsum(at))
+            for x, y in zip(sums, more):
+                x += np.bincount(at, weights=y, minlength=len(row))
+        doc_id, held_out, n_tokens, n_known, base, score = text.column("extra").combine_chunks().flatten()[:len(TEXT)]
+        return pa.table([doc_id, held_out, n_tokens, pa.array(n_known.to_numpy() + sums[0].astype(np.int64)),
+                         pa.array(np.full(len(row), tokens, np.int64)), pa.array(base.to_numpy() + sums[1]),
+                         pa.array(score.to_numpy() + sums[2])],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return run
+
+
 def _with_end(batches):
     """The batches that have rows, then None."""
     yield from (b for b in batches if b.num_rows)
@@ -390,28 +639,40 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
     shared = texts.sparkSession.sparkContext.broadcast(model)
     total = model.tokens + model.distinct + 1.0
 
+    buckets = 1 << max(BUCKETS - 1, model.tokens // BUCKET_TOKENS).bit_length()
+
     def run(batches):
         rows = row_ids()
         m = shared.value
+        pairs, rare, size, first = [], [], 0, 0
+        kind = None
+
+        def packed():
+            for which, parts in ((0, pairs), (1, rare)):
+                if parts:
+                    made = _packed(which, parts, first, buckets)
+                    yield pa.RecordBatch.from_arrays([*made.columns, pa.nulls(made.num_rows, kind)], [*made.schema.names, "extra"])
+
         for part, data, offs in scan.blocks(batches, limit=SCORE_BYTES):
             t = Tokens(data, offs)
             exact, log_p, lacks, pair, before = m.scores(t, order)
             n = part.num_rows
             seen = exact > 0
-            base = np.where(seen, np.log10((exact + 1.0) / total), 0.0)
-            look = lacks & (before == 0) & (t.place > 0) & (order > 1)     # the context's count isn't known here
-            sure = lacks & seen & ~look                          # these lack their own count only
-            p_1 = (exact[sure] + 1.0) / total
-            log_p[sure] += np.log10(np.where(before[sure] > 0, MASS * p_1 / (before[sure] + MASS), p_1))
+            base = np.log10((exact + 1.0) / total)                # of rare words: as if no training row had them
+            log_p[lacks] += base[lacks] + np.log10(MASS / (before[lacks] + MASS))
             sums = [np.bincount(t.doc, weights=x, minlength=n) for x in (base, log_p, seen)]
             ids = np.array(rows.take(n), np.int64)
             ids = ids >> 40 << 30 | ids & ((1 << 30) - 1)       # a task's number, then the text's in it
             text = [part.column("doc_id"), part.column("held_out"), pa.array(t.size), pa.array(sums[2].astype(np.int64)),
                     pa.array(sums[0]), pa.array(sums[1])]
-            extra = pa.StructArray.from_arrays([*text, *[pa.nulls(n, pa.int64()) for _ in RARE]], [*TEXT, *RARE])
+            extra = pa.StructArray.from_arrays(
+                [*text, pa.nulls(n, pa.int64()), *(pa.nulls(n, pa.float64()) for _ in RARE[1:])], [*TEXT, *RARE])
+            kind = extra.type
+            none = np.zeros(n, np.int8)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(ids << 6), pa.array(np.zeros(n, np.float32)), extra], COLUMNS)
-            tail = np.flatnonzero(lacks & ~(sure & (before == 0)))
+                [pa.array((-1 - ids % buckets).astype(np.int32)), pa.array(none), pa.array(none), pa.array(none.astype(np.int32)),
+                 pa.array(ids), pa.nulls(n, pa.binary()), extra], ["bucket", "rare", "held", "n", "first", "packed", "extra"])
+            tail = np.flatnonzero(lacks)
             tail = tail[np.lexsort((pair[tail], t.doc[tail]))]
             fresh = np.ones(len(tail), bool)
             fresh[1:] = (pair[tail[1:]] != pair[tail[:-1]]) | (t.doc[tail[1:]] != t.doc[tail[:-1]])
@@ -420,42 +681,25 @@ def score(docs: DataFrame, held_out, order: int = ORDER, floor: float = FLOOR) -
             owner = t.doc[tail[at]]
             at_row, who = coded(ids[owner], np.diff(np.append(at, len(tail))), held[owner])
             one = tail[at][at_row]
-            rare = [before[one].astype(np.int64), np.where(seen[one], 0, scan.signed(t.key)[one]),
-                    np.where(look[one], scan.signed(t.previous)[one], 0), exact[one].astype(np.int64)]
-            extra = pa.StructArray.from_arrays(
-                [*[pa.nulls(len(one), x.type) for x in text], *[pa.array(x) for x in rare]], [*TEXT, *RARE], mask=pa.array(sure[one]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(scan.signed(pair)[one]), pa.array(who), pa.array(exact[one].astype(np.float32)), extra], COLUMNS)
+            known = seen[one]
+            if not size:
+                first = int(ids[0])
+            pairs.append([pair[one[known]], who[known], exact[one[known]].astype(np.float32)])
+            rare.append([t.key[one[~known]], who[~known], pair[one[~known]]])
+            size += len(one)
+            if size >= PACKED or ids[-1] - first >= PACKED_TEXTS:
+                yield from packed()
+                pairs, rare, size = [], [], 0
+        yield from packed()
 
     extra = (f"extra struct<doc_id: {column_type(docs, 'doc_id')}, held_out: boolean, n_tokens: bigint, n_known: bigint, base: double, "
-             "score: double, before: bigint, word: bigint, context: bigint, count: bigint>")
+             "score: double, known: bigint, base_more: double, score_more: double>")
+    opened, summed = _opened(order), _pair_sums(total)
     found = materialize(
-        texts.mapInArrow(run, f"key long, who long, count float, {extra}")
-        .repartition("key").sortWithinPartitions("key", F.col("who").bitwiseAND(1))
-        .mapInArrow(_pair_sums(total), f"row long, times long, n long, value double, {extra}"), "scored")
+        texts.mapInArrow(run, f"{PACKED_SCHEMA}, {extra}")
+        .repartition("bucket").sortWithinPartitions("bucket", "rare", "held")
+        .mapInArrow(lambda batches: _by_part(summed(opened(batches))), f"{SUMS_SCHEMA}, {extra}"), "scored")
     release(texts.sparkSession)
-    scored = found.filter("extra.n_tokens is not null").select("row", *[f"extra.{c}" for c in TEXT])
-    looked = found.filter("extra.word is not null").select("row", "times", "n", *[f"extra.{c}" for c in RARE])
-    below = words.filter(F.col("n") < model.least)
-    for name, column in (("word", "count"), ("context", "before")):
-        known = below.select(F.col("key").alias("known"), F.col("n").alias("known_n"))
-        # Rows that need no count are spread by their own row.
-        asked = F.when(F.col(name) != 0, F.col(name)).otherwise(F.xxhash64("row", "word", "context"))
-        looked = looked.join(known, asked == F.col("known"), "left").withColumn(
-            column, F.when(F.col(name) != 0, F.coalesce("known_n", F.lit(0))).otherwise(F.col(column))).drop("known", "known_n")
-    p_1 = (F.col("count") + 1.0) / F.lit(total)
-    value = F.when(F.col("before") > 0, F.log10((F.col("n") + F.lit(MASS) * p_1) / (F.col("before") + F.lit(MASS)))
-                   ).otherwise(F.log10(p_1))
-    is_rare = F.col("word") != 0
-    nothing = F.lit(0.0)
-    tail = (looked.select("row", F.when(is_rare & (F.col("count") > 0), F.col("times")).otherwise(0).alias("known"),
-                          F.when(is_rare, F.col("times") * F.log10(p_1)).otherwise(nothing).alias("base_more"),
-                          (F.col("times") * value).alias("value"))
-            .unionByName(found.filter("value is not null").select("row", F.lit(0).cast("long").alias("known"),
-                                                                  nothing.alias("base_more"), "value"))
-            .groupBy("row").agg(*(F.sum(c).alias(c) for c in ("known", "base_more", "value"))))
-    return scored.join(tail, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce(F.col("base_more"), nothing)).alias("base_score"),
-        (F.col("score") + F.coalesce(F.col("value"), nothing)).alias("score"))
+    return found.groupBy("part").applyInArrow(
+        _added(model.tokens), f"doc_id {column_type(docs, 'doc_id')}, held_out boolean, n_tokens bigint, n_known bigint, "
+        "train_tokens bigint, base_score double, score double")

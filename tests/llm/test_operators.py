@@ -220,6 +220,57 @@ def test_pair_sums_in_tiny_batches():
         assert found == asked
 
 
+def test_packed_pairs_meet_in_their_buckets(monkeypatch):
+    """What texts send as packed rows, a few a bucket instead of one a pair; held-out rows that outnumber what is opened at once."""
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(language_model, "OPENED", 7)
+    lm, rnd, total = language_model, random.Random(8), 900.0
+    keys = [rnd.getrandbits(64) for _ in range(30)]
+    words = [rnd.getrandbits(64) for _ in range(5)] + [int(lm.END)]
+    kind = pa.struct([*((c, pa.int64()) for c in (*lm.TEXT, "known")), ("base_more", pa.float64()), ("score_more", pa.float64())])
+    for buckets in (1, 8):
+        rows = []                                               # text, key, word if it is rare, times, held out
+        for text in range(120):
+            for i in rnd.sample(range(30), rnd.randint(0, 30 if text == 3 else 6)):
+                rows.append((text, keys[i], words[i % 6] if i % 3 else None, rnd.randint(1, 3), text % 3 > 0 or i == 5))
+        batches = []
+        for first, stop in ((0, 50), (50, 120)):
+            for rare in (0, 1):
+                part = [r for r in rows if first <= r[0] < stop and (r[2] is not None) == bool(rare)]
+                at, who = lm.coded(*(np.array(x, np.int64) for x in zip(*((r[0], r[3], r[4]) for r in part))))
+                key, word = (np.array([part[i][c] or 0 for i in at], np.uint64) for c in (1, 2))
+                columns = [word, who, key] if rare else [key, who, np.full(len(key), 4, np.float32)]
+                batches.append(lm._packed(rare, [[x[:9] for x in columns], [x[9:] for x in columns]], first, buckets))
+        t = pa.Table.from_batches(batches)
+        assert t.num_rows <= 8 * buckets < len(rows) / 4
+        t = t.append_column("extra", pa.nulls(t.num_rows, kind)).sort_by([(c, "ascending") for c in ("bucket", "rare", "held")])
+        made = list(lm._pair_sums(total)(lm._opened(2)(iter(t.combine_chunks().to_batches(max_chunksize=3)))))
+        got = [r for b in made for r in b.to_pylist()]
+        handed = [r for b in lm._by_part(iter(made)) for r in b.to_pylist()]
+        assert len(handed) <= len(made) and sum(r["n"] for r in handed) == sum(r["row"] >= 0 for r in got) > 10 * len(handed)
+        n, c = collections.Counter(), collections.Counter()
+        for _, key, word, times, held in rows:
+            n[key] += times * (not held)
+            c[word] += times * (not held)
+        c[None] = 4
+        want, have = collections.defaultdict(lambda: [0, 0.0, 0.0]), collections.defaultdict(lambda: [0, 0.0, 0.0])
+        for text, key, word, times, _ in rows:
+            value = math.log10(1 + n[key] * total / (lm.MASS * (c[word] + 1)))
+            if word is not None and c[word]:
+                base = math.log10(c[word] + 1)
+                value += base + (math.log10(lm.MASS / (c[word] + lm.MASS)) if word != int(lm.END) else 0)
+                want[text][0] += times
+                want[text][1] += times * base
+            want[text][2] += times * value
+        for r in got:
+            if r["row"] >= 0:
+                more = r["extra"] or {"known": 0, "base_more": 0.0, "score_more": r["value"]}
+                have[r["row"]] = [x + more[c] for x, c in zip(have[r["row"]], lm.RARE)]
+        rounded = lambda d: {k: [round(x, 8) for x in v] for k, v in d.items() if any(abs(x) > 1e-9 for x in v)}
+        assert rounded(have) == rounded(want)
+
+
 def test_a_pair_that_only_held_out_texts_hold(spark):
     """Its rows all count 0 and meet nothing that grows with them."""
     rows = [(i, "known words here and there") for i in range(400)] + [(1000 + i, "there known") for i in range(20_000)]
