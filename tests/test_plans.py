@@ -42,6 +42,16 @@ def test_reconcile_shuffle_budget(spark):
     assert plan.count("partial_min_by") >= 2
 
 
+def test_reconciled_rows_travel_once(spark):
+    """The input's rows are aggregated by their order, which holds them: only the second aggregation takes rows beside it."""
+    left = spark.createDataFrame([(1, "a", 1, "x"), (2, "a", 1, None)], "school_id int, school_name string, postcode int, kind string")
+    right = spark.createDataFrame([("a", 1, None, 2.0), ("a", 1, "q", 1.0), ("b", 1, "q", 1.0)],
+                                  "school_name string, postcode int, gender string, other double")
+    out = reconcile(left, right, id_col=None)
+    assert _plan(out).count("partial_min_by") == 3
+    assert [tuple(r) for r in out.collect()] == [("a", 1, 1, "x", "q", 1.0)]
+
+
 def test_no_python_udf_in_cleaning_queries(spark):
     for key in ("html_table_cell", "polygon_wkt", "polygon_area", "campus_base_name", "safe_cast"):
         plan = _plan(E.queries()[key](spark, SF))
