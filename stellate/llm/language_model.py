@@ -69,7 +69,7 @@ CONTEXT = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Texts that a task sums up pairs for before it hands the sums on.
 MOST_SUMS = 1 << 20
 #: Pairs that a task gathers before it packs them, and texts that they may come from.
-PACKED = 1 << 20
+PACKED = 1 << 19
 PACKED_TEXTS = 1 << 20
 #: Buckets of pairs: so many, or one for each so many training tokens.
 BUCKETS = 1 << 10
