@@ -1,8 +1,10 @@
 """Exact join of texts by the Jaccard similarity of their word n-grams, through parity sketches.
 
-A set's sketch has k blocks of 64 bits; each shingle flips one bit of one
-block.  A shingle that only one of two sets holds changes one bit, so the
-sketches differ in at most |A ^ B| bits.  At similarity t or more that is at
+A set's sketch has k blocks of 2^64 bits; each shingle flips one bit of one
+block, kept as the xor of hashes of the bits that are set: unlike sets of
+shingles agree in a block by chance only once in 2^64, while in blocks of 64
+bits those of one or two shingles did so all the time.  A shingle that only one
+of two sets holds changes one bit, so the sketches differ in at most |A ^ B| bits.  At similarity t or more that is at
 most D = (1 - t) / t * |A|, hence at most D of A's blocks differ: whenever
 more than D of its blocks are not zero, one such block is equal in both.  k
 depends on the set's size band only; sets near the upper edge of a band are
@@ -79,7 +81,7 @@ def band_blocks(b: int) -> int:
 
     ``SIGMAS`` standard deviations of the number of occupied blocks are kept
     as margin: odds below 1e-18 a set.  The fewer the blocks, the more
-    shingles each holds and the fewer sets share one by chance.
+    shingles each holds and the fewer sets with a passage in common share one.
     """
     top = math.isqrt((1 << (b + 1)) - 1)
     if top < 32:
@@ -89,7 +91,7 @@ def band_blocks(b: int) -> int:
         k += max(1, k // 64)
         x = top / k
         empty = math.exp(-x)
-        filled = k * (1 - empty - empty * x * x / 128)
+        filled = k * (1 - empty)
         if filled - SIGMAS * math.sqrt(k * empty * (1 - (1 + x) * empty)) > most_different(top) + shared_least(top):
             return k
 
@@ -134,9 +136,8 @@ def sketch_blocks(key: np.ndarray, k: int, b: int, seed: int) -> np.ndarray:
     """Hashes of the blocks that are not zero of one set's sketch."""
     h = scan.mix64(key ^ np.uint64((seed * 0x9E3779B97F4A7C15 + b * 0xD1B54A32D192ED03) % (1 << 64)))
     block = ((h >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-    bit = np.uint64(1) << (h & np.uint64(63))
     order = np.argsort(block, kind="stable")
-    block, bit = block[order], bit[order]
+    block, bit = block[order], scan.mix64(h[order])
     first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
     parity = np.bitwise_xor.reduceat(bit, first)
     keep = parity != 0

@@ -409,6 +409,21 @@ def test_candidates_in_tiny_batches(monkeypatch):
             assert {a: sorted(x) for a, x in large.items()} == {a: sorted(g) for a, g in groups.items() if len(g) > small}
 
 
+@pytest.mark.parametrize("size", [10, 30, 200, 250])
+def test_sets_without_a_common_shingle_share_no_block(size):
+    """Blocks of few shingles too: else pairs by chance grow with the square of the texts."""
+    import numpy as np
+    rnd = np.random.default_rng(size)
+    made = []
+    for _ in range(1500):
+        key = np.unique(rnd.integers(0, 1 << 63, size, dtype=np.uint64))
+        for blocks in jaccard_join._blocks_of(key, jaccard_join.SIMILARITY, jaccard_join.SEED):
+            assert len(blocks) >= jaccard_join.most_different(size) + jaccard_join.shared_least(size)
+            made.append(blocks)
+    made = np.concatenate(made)
+    assert len(np.unique(made >> np.uint64(16))) == len(made)
+
+
 def test_spanning_pairs_of_a_large_group():
     """A group of near copies gives fewer pairs than members, and pairs between all parts that any pair connects."""
     import numpy as np
