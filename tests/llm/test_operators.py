@@ -497,6 +497,33 @@ def test_items_of_boilerplate_only_are_all_found(spark):
     assert found_items(spark, items, [f"so {one} {two} then", own(30)]) == {(0, 0, "verbatim"), (0, 1, "verbatim"), (0, 14, "verbatim")}
 
 
+def test_items_of_a_family_are_judged_one_by_one(spark):
+    """A copy names the item it copies, not the smallest of those with the same windows; all that are equally near are named."""
+    family = ["Add the two given numbers %d and %d and write down only their sum here please" % (k, 3 * k) for k in range(1, 31)]
+    assert found_items(spark, family, [family[5], "no " + family[17] + " yes", family[3].replace("4", "99").replace("12", "7")]) == {
+        (0, 5, "verbatim"), (1, 17, "verbatim"), *((2, k, "reparameterised") for k in range(30))}
+    # one text, many units: a smaller item that uses one unit throughout does not stand for one that uses two
+    made = lambda k, a, b: f"{k} {a} rope {k} {b} wire {k} {a} cord {k} {b} tape {k} {a} band {k} {b} lace all sold here"
+    family = [made(k, "km", "km") for k in range(1, 13)] + [made(k, "kg", "lb") for k in range(1, 13)]
+    assert (0, 20, "verbatim") in found_items(spark, family, [f"so {family[20]} then"])
+
+
+def test_nearly_whole_copies_through_shared_windows(spark):
+    """A passage under many short questions: a text with the passage only is found too, under the nearest items."""
+    rnd = random.Random(10)
+    own = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    passage, other = own(40), own(40)
+    items = [f"{passage} {own(3 + k % 3)}" for k in range(12)] + [f"{other} {own(30)}" for _ in range(12)]
+    texts = [f"so {passage} then", items[4], f"so {other} then", own(30), f"{other[:-len(other) // 2]} {own(9)} {items[15]}"]
+    assert found_items(spark, items, texts) == {
+        (0, 0, "verbatim"), (0, 3, "verbatim"), (0, 6, "verbatim"), (0, 9, "verbatim"), (1, 4, "verbatim"), (4, 15, "verbatim")}
+    # own words mostly replaced, shared ones too few to be enough alone: looked up where an own window was found
+    items = [f"{passage} {own(12)}" for _ in range(12)]
+    words = items[7].split()
+    text = " ".join([*words[:43], *own(9).split()])
+    assert found_items(spark, items, [f"so {text} then", f"so {passage} then"]) == {(0, 7, "verbatim")}
+
+
 def test_decontamination_of_numbers(spark):
     table = " ".join(f"{i} {i * i}" for i in range(3, 30))
     items = ["What is 12 times 7", "3 + 4 * 5 - 6 / 7 + 8 = ?", table, "42"]
