@@ -524,6 +524,17 @@ def test_nearly_whole_copies_through_shared_windows(spark):
     assert found_items(spark, items, [f"so {text} then", f"so {passage} then"]) == {(0, 7, "verbatim")}
 
 
+def test_the_pipeline_drops_texts_of_shared_passages(spark, tmp_path):
+    """The pipeline's stage leaves out a text that items match through windows that many of them share."""
+    rnd = random.Random(11)
+    own = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    passage = own(40)
+    spark.createDataFrame([(k, f"{passage} {own(4)}") for k in range(12)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(0, f"so {passage} then"), (1, own(50)), (2, None)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()} == {1, 2}
+
+
 def test_decontamination_of_numbers(spark):
     table = " ".join(f"{i} {i * i}" for i in range(3, 30))
     items = ["What is 12 times 7", "3 + 4 * 5 - 6 / 7 + 8 = ?", table, "42"]
