@@ -1,5 +1,9 @@
 """Physical-plan properties: pushdown, pruning, partial aggregation, shuffle count."""
 
+import contextlib
+import io
+import re
+
 import __spark_entry__ as E
 from stellate.operators import overlay
 from stellate.operators.dedupe import dedupe
@@ -66,3 +70,21 @@ def test_edges_are_cut_without_functions_of_array_elements(spark):
     assert "lambda" not in _plan(cut)
     assert sorted((r.ax, r.ay, r.bx, r.by, r.f) for r in cut.collect()) == [
         (0, 0, 2, 0, 1), (2, 0, 3, 0, 2), (3, -2, 3, 0, 1), (3, 0, 3, 2, 1), (3, 0, 4, 0, 2), (4, 0, 6, 0, 1)]
+
+
+def test_edges_are_cut_in_methods_that_java_compiles(spark):
+    """Spark's generated methods stay below the 8,000 bytes of code up to which Java compiles one."""
+    edges = spark.createDataFrame([((1,), 0, 0, 4, 4, 1), ((1,), 0, 4, 4, 0, 1)],
+                                  "k struct<key: int>, ax long, ay long, bx long, by long, f long")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")                                   # the final plan, before it runs
+    try:
+        found = overlay._cuts(overlay._in_cells(edges, overlay._grids(edges, 4)))
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            found.explain("codegen")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(-?\d+)", out.getvalue())]
+        assert sizes and all(0 < x < 8000 for x in sizes)
+        assert {(r.ax, r.ay, *r.point) for r in found.collect()} == {(0, 0, 2, 2), (0, 4, 2, 2)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
